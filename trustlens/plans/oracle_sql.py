@@ -374,3 +374,265 @@ ORACLES["preprocess_stats"] = with_ctes(REVIEWS_RAW) + f"""
 SELECT count(*) AS rows_before, count(*) FILTER (WHERE NOT {blank_sql('text')}) AS rows_after,
        count(*) FILTER (WHERE {blank_sql('text')}) AS rows_removed
 FROM reviews_raw"""
+
+
+# --- balancing and splits ----------------------------------------------------------
+GIVEN = with_ctes(REVIEWS_RAW, "base AS (SELECT review_id, label FROM reviews_raw WHERE label IS NOT NULL)")
+ORDERS_BASE = "WITH base AS (SELECT o_orderkey AS review_id, o_orderstatus AS label FROM orders)\n"
+
+
+def h(stage: str, *cols: str) -> str:
+    """md5 key 'seed:stage:cols' and its first 12 hex digits as BIGINT."""
+    inner = " || ':' || ".join([f"'42:{stage}'"] + [f"CAST({c} AS VARCHAR)" for c in cols])
+    return f"md5({inner})"
+
+
+def h_int(stage: str, *cols: str) -> str:
+    return f"('0x' || substr({h(stage, *cols)}, 1, 12))::BIGINT"
+
+
+PROFILE = """,
+cnt AS (SELECT label, count(*) AS n FROM base WHERE label IS NOT NULL GROUP BY label),
+rk AS (SELECT *, row_number() OVER (ORDER BY n DESC, label ASC) AS rmaj,
+                 row_number() OVER (ORDER BY n ASC, label DESC) AS rmin FROM cnt),
+prof AS (SELECT max(CASE WHEN rmaj = 1 THEN label END) AS majority,
+                max(CASE WHEN rmin = 1 THEN label END) AS minority,
+                max(CASE WHEN rmaj = 1 THEN n END) AS majority_count,
+                max(CASE WHEN rmin = 1 THEN n END) AS minority_count,
+                count(*) AS n_classes FROM rk)
+"""
+
+
+def ranked_cte(name: str, stage: str) -> str:
+    return (f", {name} AS (SELECT b.*, row_number() OVER (PARTITION BY label ORDER BY "
+            f"{h(stage, 'review_id')}, review_id) AS rk FROM base b)\n")
+
+
+def under_sql(target: str = "minority") -> str:
+    n = "minority_count" if target == "minority" else "floor((majority_count + minority_count) / 2)"
+    minority = "OR label = minority" if target == "minority" else ""
+    return (f"SELECT review_id, label, CAST(0 AS BIGINT) AS copy_no FROM ru, prof "
+            f"WHERE (label = majority AND rk <= {n}) {minority}")
+
+
+def draws_sql(stage: str, n: str) -> str:
+    return (f"SELECT r.review_id, r.label, d.copy_no FROM "
+            f"(SELECT rk - 1 AS copy_no, ({h_int(stage + '-draw', 'rk - 1')} % minority_count) + 1 AS pick "
+            f" FROM r_{stage}, prof WHERE label = majority AND rk <= {n}) d "
+            f"JOIN r_{stage} r ON r.rk = d.pick, prof WHERE r.label = prof.minority")
+
+
+def _balancing(base: str) -> str:
+    return (base + PROFILE + ranked_cte("ru", "undersample") + ranked_cte("r_oversample", "oversample")
+            + ranked_cte("r_hybrid", "hybrid"))
+
+
+ORACLES["class_profile_orders"] = ORDERS_BASE + PROFILE + """
+SELECT majority, minority, majority_count, minority_count, n_classes,
+       round(majority_count / minority_count, 6) AS imbalance_ratio FROM prof"""
+
+ORACLES["undersample_orders"] = _balancing(ORDERS_BASE) + under_sql()
+
+OVER = ("SELECT review_id, label, CAST(0 AS BIGINT) AS copy_no FROM base, prof WHERE label = majority "
+        "UNION ALL " + draws_sql("oversample", "majority_count"))
+HYBRID = (under_sql("mid") + " UNION ALL "
+          + draws_sql("hybrid", "floor((majority_count + minority_count) / 2)"))
+
+ORACLES["oversample_labels"] = _balancing(GIVEN) + OVER
+ORACLES["hybrid_labels"] = _balancing(GIVEN) + HYBRID
+ORACLES["balance_comparison"] = _balancing(GIVEN) + f"""
+, under AS ({under_sql()}), over AS ({OVER}), hyb AS ({HYBRID}),
+parts AS (SELECT 'Original' AS dataset, 0 AS ord, label FROM base
+          UNION ALL SELECT 'Undersampling', 1, label FROM under
+          UNION ALL SELECT 'Oversampling', 2, label FROM over
+          UNION ALL SELECT 'Kombinasi', 3, label FROM hyb)
+SELECT dataset, ord, count(*) AS total,
+       count(*) FILTER (WHERE label = majority) AS majority_rows,
+       count(*) FILTER (WHERE label = minority) AS minority_rows
+FROM parts, prof GROUP BY dataset, ord"""
+
+ORACLES["balance_status"] = GIVEN + """
+, c AS (SELECT label, count(*) AS n FROM base GROUP BY label),
+s AS (SELECT count(*) AS n_classes, sum(n) AS total, max(n) - min(n) AS diff FROM c)
+SELECT n_classes, CAST(total AS BIGINT) AS total,
+       CASE WHEN n_classes = 2 THEN round(diff * 100.0 / total, 6) END AS diff_pct,
+       CASE WHEN n_classes <> 2 THEN NULL
+            WHEN diff * 100.0 / total < 5 THEN 'BALANCED'
+            WHEN diff * 100.0 / total < 15 THEN 'FAIR' ELSE 'NOT BALANCED' END AS status
+FROM s"""
+
+SPLIT = f""", sp AS (
+  SELECT b.*, row_number() OVER (ORDER BY {h('split', 'review_id')}, review_id) AS rk,
+         count(*) OVER () AS n FROM base b),
+split AS (SELECT review_id, label, CASE WHEN rk <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS set, rk
+          FROM sp)
+"""
+
+ORACLES["split_exact"] = GIVEN + SPLIT + "SELECT review_id, label, set FROM split"
+
+ORACLES["split_validation"] = GIVEN + SPLIT + f"""
+, tr AS (SELECT review_id, row_number() OVER (ORDER BY {h('split', 'review_id')}, review_id) AS vr,
+                count(*) OVER () AS n FROM split WHERE set = 'train')
+SELECT review_id, vr <= GREATEST(1, floor(n * 0.1)) AS is_validation FROM tr"""
+
+ORACLES["split_stratified"] = GIVEN + f"""
+, s AS (SELECT b.*, row_number() OVER (PARTITION BY label ORDER BY {h('stratified', 'review_id')}, review_id) AS rk,
+               count(*) OVER (PARTITION BY label) AS n FROM base b)
+SELECT review_id, label, CASE WHEN rk <= round(n * 0.2) THEN 'test' ELSE 'train' END AS set FROM s"""
+
+ORACLES["bootstrap_bags"] = GIVEN + f"""
+, r AS (SELECT review_id, row_number() OVER (ORDER BY {h('bag', 'review_id')}, review_id) AS rk,
+               count(*) OVER () AS n FROM base),
+d AS (SELECT CAST(t.tree AS INTEGER) AS tree, ({h_int('bag-draw', 't.tree', 'r.rk - 1')} % r.n) + 1 AS pick
+      FROM r CROSS JOIN (SELECT range AS tree FROM range(3)) t)
+SELECT d.tree, r.review_id, count(*) AS weight FROM d JOIN r ON r.rk = d.pick GROUP BY d.tree, r.review_id"""
+
+
+# --- vectorisation ------------------------------------------------------------------
+TOKENS_DOCS = f"""WITH toks AS MATERIALIZED (
+  SELECT doc_id AS review_id,
+         list_filter(regexp_split_to_array({preprocess_sql('text')}, '{WS_SQL}'), lambda w: w <> '') AS tokens
+  FROM documents),
+tc AS (SELECT review_id, term, count(*) AS tf_count FROM (SELECT review_id, unnest(tokens) AS term FROM toks)
+       GROUP BY review_id, term),
+stats AS (SELECT term, CAST(sum(tf_count) AS BIGINT) AS total, count(*) AS df FROM tc GROUP BY term),
+vocab AS (SELECT term, CAST(row_number() OVER (ORDER BY total DESC, term ASC) - 1 AS INTEGER) AS term_id,
+                 total, df, ln((SELECT count(*) FROM toks) / (df + 1)) AS idf
+          FROM (SELECT * FROM stats ORDER BY total DESC, term ASC LIMIT 1000))
+"""
+
+ORACLES["term_stats"] = TOKENS_DOCS + "SELECT term, total, df FROM stats"
+ORACLES["vocabulary"] = TOKENS_DOCS + "SELECT term, term_id, total, df, round(idf, 6) AS idf FROM vocab"
+ORACLES["tfidf"] = TOKENS_DOCS + """
+SELECT tc.review_id, v.term_id, round(tc.tf_count / len(t.tokens) * v.idf, 6) AS tfidf
+FROM tc JOIN vocab v ON v.term = tc.term JOIN toks t ON t.review_id = tc.review_id"""
+ORACLES["term_frequency"] = TOKENS_DOCS + """
+SELECT tc.review_id, tc.term, tc.tf_count, round(tc.tf_count / len(t.tokens), 6) AS tf
+FROM tc JOIN toks t ON t.review_id = tc.review_id"""
+
+
+# --- naive Bayes on labelled documents --------------------------------------------------
+def _nb_base(as_list: bool = False):
+    union = " UNION ALL ".join(
+        f"SELECT review_id, y, '{c}' AS feature, CAST({c} AS DOUBLE) AS x FROM tqm"
+        for c in L.TEXT_QUALITY_FEATURES)
+    ld = ("ld AS (SELECT d.doc_id AS review_id, CASE WHEN l.quality = 0 THEN 1 ELSE -1 END AS y, "
+          "d.text FROM documents d JOIN labels l ON l.doc_id = d.doc_id)")
+    toks = (f"toks AS (SELECT review_id, list_filter(regexp_split_to_array("
+            f"{preprocess_sql('text')}, '{WS_SQL}'), lambda w: w <> '') AS tokens FROM ld)")
+    parts = [ld, tq_ctes("ld", "text", "review_id, y"),
+             "tqm AS MATERIALIZED (SELECT * FROM tq)", toks, f"""
+sp AS (SELECT review_id, y, row_number() OVER (ORDER BY {h('split', 'review_id')}, review_id) AS rk,
+              count(*) OVER () AS n FROM ld)""", """
+sets AS (SELECT review_id, y, CASE WHEN rk <= floor(n * 0.8) THEN 'train' ELSE 'test' END AS set FROM sp)""",
+        "ntrain AS (SELECT count(*) AS n FROM sets WHERE set = 'train')", f"""
+fl AS (SELECT f.review_id, f.y, f.feature, f.x, s.set FROM
+       ({union}) f
+       JOIN sets s ON s.review_id = f.review_id)""", """
+scaler AS (SELECT feature, avg(x) AS mean,
+                  CASE WHEN stddev_pop(x) = 0 OR stddev_pop(x) IS NULL THEN 1.0 ELSE stddev_pop(x) END AS scale
+           FROM fl WHERE set = 'train' GROUP BY feature)""", """
+scaled AS (SELECT fl.review_id, fl.y, fl.set, fl.feature, (fl.x - sc.mean) / sc.scale AS z
+           FROM fl JOIN scaler sc ON sc.feature = fl.feature)""", """
+priors AS (SELECT y, count(*) AS n, count(*) / (SELECT n FROM ntrain) AS prior FROM sets WHERE set = 'train' GROUP BY y)""", """
+gauss AS (SELECT y, feature, avg(z) AS mean, var_pop(z) + 1e-9 AS var FROM scaled WHERE set = 'train' GROUP BY y, feature)""", """
+num AS (SELECT s.review_id, g.y AS cls,
+               ln(p.prior + 1e-12) + sum(-0.5 * ln(2 * pi() * g.var) - 0.5 * (s.z - g.mean) * (s.z - g.mean) / g.var) AS score
+        FROM scaled s JOIN gauss g ON g.feature = s.feature JOIN priors p ON p.y = g.y
+        GROUP BY s.review_id, g.y, p.prior)""", """
+tc AS (SELECT review_id, term, count(*) AS tf_count FROM (SELECT review_id, unnest(tokens) AS term FROM toks)
+       GROUP BY review_id, term)""", """
+nw AS (SELECT review_id, len(tokens) AS n_words FROM toks)""", """
+tstats AS (SELECT term, sum(tf_count) AS total, count(*) AS df FROM tc JOIN sets s ON s.review_id = tc.review_id
+           WHERE s.set = 'train' GROUP BY term)""", """
+vocab AS (SELECT term, row_number() OVER (ORDER BY total DESC, term ASC) - 1 AS term_id,
+                 ln((SELECT n FROM ntrain) / (df + 1)) AS idf
+          FROM (SELECT * FROM tstats ORDER BY total DESC, term ASC LIMIT 1000))""", """
+tfidf AS (SELECT tc.review_id, v.term_id, tc.tf_count / nw.n_words * v.idf AS x
+          FROM tc JOIN vocab v ON v.term = tc.term JOIN nw ON nw.review_id = tc.review_id)""", """
+wcs AS (SELECT s.y, t.term_id, sum(t.x) AS wc FROM tfidf t JOIN sets s ON s.review_id = t.review_id
+        WHERE s.set = 'train' GROUP BY s.y, t.term_id)""", """
+grid AS (SELECT c.y, v.term_id, COALESCE(w.wc, 0) AS wc FROM (SELECT DISTINCT y FROM sets WHERE set = 'train') c
+         CROSS JOIN vocab v LEFT JOIN wcs w ON w.y = c.y AND w.term_id = v.term_id)""", """
+tot AS (SELECT y, sum(wc) AS tot FROM grid GROUP BY y)""", """
+lp AS (SELECT g.y, g.term_id, ln((g.wc + 1.0) / (t.tot + 1.0 * (SELECT count(*) FROM vocab) + 1e-12)) AS log_prob
+       FROM grid g JOIN tot t ON t.y = g.y)""", """
+tsum AS (SELECT t.review_id, lp.y AS cls, sum(t.x * lp.log_prob) AS s FROM tfidf t JOIN lp ON lp.term_id = t.term_id
+         GROUP BY t.review_id, lp.y)""", """
+txt AS (SELECT r.review_id, p.y AS cls, ln(p.prior) + COALESCE(ts.s, 0) AS score
+        FROM sets r CROSS JOIN priors p LEFT JOIN tsum ts ON ts.review_id = r.review_id AND ts.cls = p.y)""", """
+comb AS (SELECT t.review_id, t.cls, 0.6 * t.score + 0.4 * n.score AS c
+         FROM txt t JOIN num n ON n.review_id = t.review_id AND n.cls = t.cls)""", """
+wide AS (SELECT review_id, max(CASE WHEN cls = 1 THEN c END) AS cf, max(CASE WHEN cls = -1 THEN c END) AS cr
+         FROM comb GROUP BY review_id)""", """
+pred AS (SELECT w.review_id, s.set, s.y, CASE WHEN cf > cr THEN 1 ELSE -1 END AS y_pred,
+                exp(cf - greatest(cf, cr)) / (exp(cf - greatest(cf, cr)) + exp(cr - greatest(cf, cr))) AS prob_fake,
+                exp(cr - greatest(cf, cr)) / (exp(cf - greatest(cf, cr)) + exp(cr - greatest(cf, cr))) AS prob_real
+         FROM wide w JOIN sets s ON s.review_id = w.review_id)"""]
+    return parts if as_list else with_ctes(*parts)
+
+
+NB_BASE = _nb_base()
+
+# The numeric half of the NB model (scaler, Gaussian NB, hybrid scores and the
+# metrics built on them) is not given as SQL: DuckDB stalls on the unpivoted
+# quality measures. tests/test_bayes.py checks it against a NumPy brute force.
+NB_NUMERIC_NO_ORACLE = ("scaler_fit", "nb_gaussian_fit", "nb_predict", "nb_metrics",
+                        "confusion_matrix", "classification_report")
+
+ORACLES["scaler_fit"] = NB_BASE + "SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM scaler"
+ORACLES["nb_text_fit"] = NB_BASE + "SELECT y, CAST(term_id AS INTEGER) AS term_id, round(log_prob, 6) AS log_prob FROM lp"
+ORACLES["nb_gaussian_fit"] = NB_BASE + """
+SELECT g.y, p.n, round(p.prior, 6) AS prior, g.feature, round(g.mean, 6) AS mean, round(g.var, 6) AS var
+FROM gauss g JOIN priors p ON p.y = g.y"""
+ORACLES["nb_predict"] = NB_BASE + """
+SELECT review_id, set, y, y_pred, round(prob_fake, 6) AS prob_fake, round(prob_real, 6) AS prob_real FROM pred"""
+
+_COUNTS = """
+, cm AS (SELECT set, count(*) FILTER (WHERE y = 1 AND y_pred = 1) AS tp, count(*) FILTER (WHERE y = -1 AND y_pred = 1) AS fp,
+         count(*) FILTER (WHERE y = -1 AND y_pred = -1) AS tn, count(*) FILTER (WHERE y = 1 AND y_pred = -1) AS fn
+         FROM pred GROUP BY set),
+mt AS (SELECT *, (tp + tn) / (tp + fp + tn + fn) AS accuracy,
+              CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+              CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM cm)
+"""
+ORACLES["nb_metrics"] = NB_BASE + _COUNTS + """
+SELECT set, tp, fp, tn, fn, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision,
+       round(recall, 6) AS recall,
+       round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 6) AS f1
+FROM mt"""
+
+_LABELLED_PREDS = """
+, lpred AS (SELECT review_id, CASE WHEN y = 1 THEN 'FAKE' ELSE 'REAL' END AS label,
+                   CASE WHEN y_pred = 1 THEN 'FAKE' ELSE 'REAL' END AS predicted_label FROM pred),
+cells AS (SELECT a.c AS actual, b.c AS predicted FROM (VALUES ('FAKE'), ('REAL')) a(c), (VALUES ('FAKE'), ('REAL')) b(c)),
+cmx AS (SELECT c.actual, c.predicted, COALESCE(n.cnt, 0) AS count FROM cells c LEFT JOIN
+        (SELECT label, predicted_label, count(*) AS cnt FROM lpred GROUP BY 1, 2) n
+        ON n.label = c.actual AND n.predicted_label = c.predicted)
+"""
+ORACLES["confusion_matrix"] = NB_BASE + _LABELLED_PREDS + "SELECT actual, predicted, CAST(count AS BIGINT) AS count FROM cmx"
+ORACLES["classification_report"] = NB_BASE + _LABELLED_PREDS + """
+, per AS (SELECT actual AS cls, sum(CASE WHEN actual = predicted THEN count ELSE 0 END) AS tp, sum(count) AS support
+          FROM cmx GROUP BY actual),
+npred AS (SELECT predicted AS cls, sum(count) AS n_pred FROM cmx GROUP BY predicted),
+rows_ AS (SELECT p.cls, p.support, CASE WHEN n.n_pred > 0 THEN p.tp / n.n_pred ELSE 0.0 END AS precision,
+                 CASE WHEN p.support > 0 THEN p.tp / p.support ELSE 0.0 END AS recall
+          FROM per p JOIN npred n ON n.cls = p.cls),
+r2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM rows_),
+allr AS (
+  SELECT cls, support, precision, recall, f1 FROM r2
+  UNION ALL SELECT 'macro avg', sum(support), avg(precision), avg(recall), avg(f1) FROM r2
+  UNION ALL SELECT 'weighted avg', sum(support),
+      CASE WHEN sum(support) > 0 THEN sum(precision * support) / sum(support) ELSE 0.0 END,
+      CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0 END,
+      CASE WHEN sum(support) > 0 THEN sum(f1 * support) / sum(support) ELSE 0.0 END FROM r2
+  UNION ALL SELECT 'accuracy', sum(support),
+      CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0 END,
+      CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0 END,
+      CASE WHEN sum(support) > 0 THEN sum(recall * support) / sum(support) ELSE 0.0 END FROM r2)
+SELECT cls, CAST(support AS BIGINT) AS support, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1 FROM allr"""
+
+
+for _name in NB_NUMERIC_NO_ORACLE:
+    ORACLES.pop(_name, None)

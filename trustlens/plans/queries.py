@@ -180,6 +180,152 @@ def q_preprocess_stats(spark, sf):
     return C.blank_stats(reviews_raw(spark, sf), "text")
 
 
+# --- balancing and splits (H) --------------------------------------------------------
+
+def q_class_profile_orders(spark, sf):
+    return SM.class_profile(orders_status(spark, sf), "label")
+
+
+def q_undersample_orders(spark, sf):
+    return SM.undersample(orders_status(spark, sf)).select("review_id", "label", "copy_no")
+
+
+def q_oversample_labels(spark, sf):
+    return SM.oversample(given_labels(spark, sf)).select("review_id", "label", "copy_no")
+
+
+def q_hybrid_labels(spark, sf):
+    return SM.hybrid_balance(given_labels(spark, sf)).select("review_id", "label", "copy_no")
+
+
+def q_balance_comparison(spark, sf):
+    return SM.balance_comparison(given_labels(spark, sf))
+
+
+def q_balance_status(spark, sf):
+    return SM.balance_status(given_labels(spark, sf))
+
+
+def q_split_exact(spark, sf):
+    return SM.split_exact(given_labels(spark, sf)).select("review_id", "label", "set")
+
+
+def q_split_stratified(spark, sf):
+    return SM.split_stratified(given_labels(spark, sf)).select("review_id", "label", "set")
+
+
+def q_split_validation(spark, sf):
+    train = SM.split_exact(given_labels(spark, sf)).where(F.col("set") == "train").drop("rank")
+    return SM.split_validation(train).select("review_id", "is_validation")
+
+
+def q_bootstrap_bags(spark, sf):
+    return SM.bootstrap_weights(given_labels(spark, sf), 3)
+
+
+# --- vectorisation (I) ----------------------------------------------------------------
+
+def q_term_stats(spark, sf):
+    return V.term_stats(tokens_docs(spark, sf))
+
+
+def q_vocabulary(spark, sf):
+    return V.vocabulary(tokens_docs(spark, sf), V.MAX_FEATURES).withColumn("idf", _r("idf"))
+
+
+def q_tfidf(spark, sf):
+    t = tokens_docs(spark, sf)
+    return V.tfidf(t, V.vocabulary(t, V.MAX_FEATURES)).withColumn("tfidf", _r("tfidf"))
+
+
+def q_term_frequency(spark, sf):
+    return V.term_frequency(tokens_docs(spark, sf)).select(
+        "review_id", "term", "tf_count", _r("tf").alias("tf"))
+
+
+# --- naive Bayes on labelled documents (J1-J6), scaler (I7, I8), evaluation (L) ----------
+
+def labelled_docs(spark, sf) -> DataFrame:
+    """Documents with a given label (y: quality 0 -> FAKE = 1, 1 -> REAL = -1),
+    preprocessed, tokenised, with the 14 quality features of the raw text."""
+    lab = read_table(spark, sf, "labels").select(
+        F.col("doc_id").alias("review_id"),
+        F.when(F.col("quality") == 0, F.lit(1)).otherwise(F.lit(-1)).alias("y"))
+    d = documents(spark, sf).select(F.col("doc_id").alias("review_id"), "text")
+    d = d.join(lab, "review_id", "inner")
+    d = d.withColumns(text_quality_columns("text"))
+    return V.with_tokens(C.preprocess(d, "text"))
+
+
+NB_COLS = list(L.TEXT_QUALITY_FEATURES)
+
+
+def nb_split(spark, sf):
+    return SM.split_exact(labelled_docs(spark, sf)).drop("rank")
+
+
+def nb_model(spark, sf):
+    from trustlens.operators.bayes import fit_hybrid_nb
+    data = nb_split(spark, sf)
+    train = data.where(F.col("set") == "train")
+    return data, fit_hybrid_nb(train, NB_COLS, k=V.MAX_FEATURES)
+
+
+def q_scaler_fit(spark, sf):
+    data = nb_split(spark, sf).where(F.col("set") == "train")
+    sc = V.scaler_table(V.fit_scaler(data, NB_COLS), NB_COLS)
+    return sc.select("feature", _r("mean").alias("mean"), _r("scale").alias("scale"))
+
+
+def q_nb_text_fit(spark, sf):
+    _, m = nb_model(spark, sf)
+    return m.log_prob.withColumn("log_prob", _r("log_prob"))
+
+
+def q_nb_gaussian_fit(spark, sf):
+    _, m = nb_model(spark, sf)
+    stack = ", ".join(f"'{c}', `mean__{c}`, `var__{c}`" for c in NB_COLS)
+    return m.gauss.selectExpr("y", "n", "prior",
+                              f"stack({len(NB_COLS)}, {stack}) AS (feature, mean, var)").select(
+        "y", "n", _r("prior").alias("prior"), "feature", _r("mean").alias("mean"),
+        _r("var").alias("var"))
+
+
+def nb_predictions(spark, sf):
+    from trustlens.operators.bayes import predict_hybrid_nb
+    data, m = nb_model(spark, sf)
+    return predict_hybrid_nb(m, data)
+
+
+def q_nb_predict(spark, sf):
+    p = nb_predictions(spark, sf)
+    return p.select("review_id", "set", "y", "y_pred", _r("prob_fake").alias("prob_fake"),
+                    _r("prob_real").alias("prob_real"))
+
+
+def q_nb_metrics(spark, sf):
+    m = EV.metrics_by_set(nb_predictions(spark, sf))
+    return m.select("set", "tp", "fp", "tn", "fn", *[_r(c).alias(c) for c in
+                                                    ("accuracy", "precision", "recall", "f1")])
+
+
+def _nb_labelled_preds(spark, sf):
+    p = nb_predictions(spark, sf)
+    return p.select(
+        "review_id",
+        F.when(F.col("y") == 1, "FAKE").otherwise("REAL").alias("label"),
+        F.when(F.col("y_pred") == 1, "FAKE").otherwise("REAL").alias("predicted_label"))
+
+
+def q_confusion_matrix(spark, sf):
+    return EV.confusion_matrix(_nb_labelled_preds(spark, sf))
+
+
+def q_classification_report(spark, sf):
+    r = EV.classification_report(_nb_labelled_preds(spark, sf))
+    return r.select("cls", "support", *[_r(c).alias(c) for c in ("precision", "recall", "f1")])
+
+
 QUERIES = {
     "label_distribution": q_label_distribution,
     "label_reviews": q_label_reviews,
@@ -200,6 +346,27 @@ QUERIES = {
     "gibberish_compare": q_gibberish_compare,
     "preprocess_reviews": q_preprocess_reviews,
     "preprocess_stats": q_preprocess_stats,
+    "class_profile_orders": q_class_profile_orders,
+    "undersample_orders": q_undersample_orders,
+    "oversample_labels": q_oversample_labels,
+    "hybrid_labels": q_hybrid_labels,
+    "balance_comparison": q_balance_comparison,
+    "balance_status": q_balance_status,
+    "split_exact": q_split_exact,
+    "split_stratified": q_split_stratified,
+    "split_validation": q_split_validation,
+    "bootstrap_bags": q_bootstrap_bags,
+    "term_stats": q_term_stats,
+    "vocabulary": q_vocabulary,
+    "tfidf": q_tfidf,
+    "term_frequency": q_term_frequency,
+    "scaler_fit": q_scaler_fit,
+    "nb_text_fit": q_nb_text_fit,
+    "nb_gaussian_fit": q_nb_gaussian_fit,
+    "nb_predict": q_nb_predict,
+    "nb_metrics": q_nb_metrics,
+    "confusion_matrix": q_confusion_matrix,
+    "classification_report": q_classification_report,
 }
 
 _unused = (EV, SM)
