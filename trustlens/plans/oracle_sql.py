@@ -636,3 +636,58 @@ SELECT cls, CAST(support AS BIGINT) AS support, round(precision, 6) AS precision
 
 for _name in NB_NUMERIC_NO_ORACLE:
     ORACLES.pop(_name, None)
+
+
+# --- trees, SVM and covariance on embeddings --------------------------------------------
+ORACLES["gini_by_lang"] = """
+WITH d AS (SELECT d.lang, CASE WHEN l.quality = 0 THEN 1 ELSE -1 END AS y
+           FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+c AS (SELECT lang, y, count(*) AS c FROM d GROUP BY lang, y)
+SELECT lang, sum(c) AS n, round(1.0 - sum(c * c) / (sum(c) * sum(c)), 6) AS gini FROM c GROUP BY lang"""
+
+_EMB_LONG = """
+WITH e AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE -1 END AS y, embedding FROM embeddings),
+long AS (SELECT vec_id, y, CAST(i - 1 AS INTEGER) AS feature, CAST(embedding[i] AS DOUBLE) AS value
+         FROM e, range(1, 65) r(i))
+"""
+
+ORACLES["best_split"] = _EMB_LONG + """
+, cnt AS (SELECT feature, value, count(*) FILTER (WHERE y = 1) AS p, count(*) FILTER (WHERE y <> 1) AS q
+          FROM long GROUP BY feature, value),
+run AS (SELECT feature, value,
+               sum(p) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS lp,
+               sum(q) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS lq,
+               sum(p) OVER (PARTITION BY feature) AS tp, sum(q) OVER (PARTITION BY feature) AS tq,
+               lead(value) OVER (PARTITION BY feature ORDER BY value) AS nv FROM cnt),
+c AS (SELECT feature, 0.5 * (value + nv) AS threshold, lp + lq AS nl, (tp - lp) + (tq - lq) AS nr, tp, tq, lp, lq
+      FROM run WHERE nv IS NOT NULL),
+g AS (SELECT *, (1.0 - (tp / (tp + tq)) ** 2 - (tq / (tp + tq)) ** 2)
+               - (nl / (tp + tq)) * CASE WHEN nl > 0 THEN 1.0 - (lp / nl) ** 2 - (lq / nl) ** 2 ELSE 0.0 END
+               - (nr / (tp + tq)) * CASE WHEN nr > 0 THEN 1.0 - ((tp - lp) / nr) ** 2 - ((tq - lq) / nr) ** 2 ELSE 0.0 END
+               AS gain FROM c)
+SELECT 0 AS node, feature, round(threshold, 6) AS threshold, round(gain, 6) AS gain,
+       CAST(nl AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right
+FROM g WHERE gain > 0 AND nl >= 2 AND nr >= 2
+ORDER BY gain DESC, feature ASC, threshold ASC LIMIT 1"""
+
+ORACLES["covariance"] = "WITH e AS (SELECT " + ", ".join(
+    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(8)) + " FROM embeddings)\n" + \
+    "\nUNION ALL\n".join(
+        f"SELECT 'e{a}' AS col_a, 'e{b}' AS col_b, round(covar_samp(e{a}, e{b}), 6) AS covariance FROM e"
+        for a in range(8) for b in range(a, 8))
+
+_W = "[" + ", ".join(f"{((j % 7) - 3) / 10.0}::DOUBLE" for j in range(64)) + "]"
+_SVM = f"""
+WITH e AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE -1 END AS y,
+                  list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+m AS (SELECT vec_id, y, x, list_sum(list_transform(range(1, 65), lambda i: x[i] * ({_W})[i])) + 0.1 AS s FROM e),
+h AS (SELECT *, 1.0 - y * s AS margin, CASE WHEN 1.0 - y * s > 0 THEN y ELSE 0 END AS my FROM m)
+"""
+_REG = 0.01 * sum((((j % 7) - 3) / 10.0) ** 2 for j in range(64))
+ORACLES["svm_loss_grad"] = _SVM + f"""
+SELECT -2 AS component, round(sum(GREATEST(margin, 0.0)) / count(*) + {_REG!r}, 6) AS value FROM h
+UNION ALL SELECT -1, round(-sum(my) / count(*), 6) FROM h
+UNION ALL SELECT CAST(i - 1 AS INTEGER), round(2 * 0.01 * ({_W})[i] - sum(my * x[i]) / count(*), 6)
+  FROM h, range(1, 65) r(i) GROUP BY i"""
+ORACLES["svm_score"] = _SVM + """
+SELECT vec_id AS review_id, round(s, 6) AS decision_score, CASE WHEN s >= 0 THEN 1 ELSE -1 END AS y_pred FROM m"""

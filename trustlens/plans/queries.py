@@ -261,7 +261,12 @@ NB_COLS = list(L.TEXT_QUALITY_FEATURES)
 
 
 def nb_split(spark, sf):
-    return SM.split_exact(labelled_docs(spark, sf)).drop("rank")
+    """Labelled documents with their train / test set, checkpointed: the
+    vocabulary, scaler, both NB fits and the scoring all read this table, so
+    it is computed once and its lineage is cut (shared checkpoint folder)."""
+    from trustlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    return SM.split_exact(labelled_docs(spark, sf)).drop("rank").checkpoint(eager=True)
 
 
 def nb_model(spark, sf):
@@ -326,6 +331,116 @@ def q_classification_report(spark, sf):
     return r.select("cls", "support", *[_r(c).alias(c) for c in ("precision", "recall", "f1")])
 
 
+# --- trees, SVM, covariance on embeddings (J7, J10, J13-J15, J19, J22, J23) ----------------
+
+EMB_DIM = 64
+
+
+def embeddings_wide(spark, sf, dims: int = EMB_DIM) -> DataFrame:
+    """Embeddings as numeric columns e0..e63 with y: label < 5 -> FAKE (1), else -1."""
+    e = read_table(spark, sf, "embeddings")
+    cols = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(dims)]
+    return e.select(F.col("vec_id").alias("review_id"),
+                    F.when(F.col("label") < 5, F.lit(1)).otherwise(F.lit(-1)).alias("y"), *cols)
+
+
+def q_gini_by_lang(spark, sf):
+    from trustlens.operators.forest import gini
+    d = labelled_docs_plain(spark, sf)
+    return gini(d, ["lang"]).withColumn("gini", _r("gini"))
+
+
+def labelled_docs_plain(spark, sf):
+    lab = read_table(spark, sf, "labels").select("doc_id", "quality")
+    return documents(spark, sf).join(lab, "doc_id", "inner").select(
+        "doc_id", "lang", F.when(F.col("quality") == 0, F.lit(1)).otherwise(F.lit(-1)).alias("y"))
+
+
+def q_best_split(spark, sf):
+    from trustlens.operators.forest import best_split, to_long
+    w = embeddings_wide(spark, sf)
+    long = to_long(w, "review_id", [f"e{i}" for i in range(EMB_DIM)]).withColumn("node", F.lit(0))
+    return best_split(long, "node", 2).select(
+        "node", "feature", _r("threshold").alias("threshold"), _r("gain").alias("gain"),
+        "n_left", "n_right")
+
+
+def q_covariance(spark, sf):
+    from trustlens.operators.svm import covariance
+    return covariance(embeddings_wide(spark, sf, 8), [f"e{i}" for i in range(8)])
+
+
+# --- fixed values: the weights the SVM checks use (w_j = ((j mod 7) - 3) / 10, b = 0.1)
+SVM_B = 0.1
+
+
+def svm_weights(dims: int = EMB_DIM):
+    return [((j % 7) - 3) / 10.0 for j in range(dims)]
+
+
+def emb_vectors(spark, sf):
+    from trustlens.operators.vectorize import assemble
+    w = embeddings_wide(spark, sf)
+    return assemble(w, [f"e{i}" for i in range(EMB_DIM)])
+
+
+def q_svm_loss_grad(spark, sf):
+    """J7 at fixed weights: loss and gradient as a long table
+    (component -2 = loss, -1 = bias gradient, 0.. = weight gradient)."""
+    import numpy as np
+
+    from pyspark.ml.functions import vector_to_array
+    from trustlens.operators.svm import LAMBDA, hinge_sums
+    w = np.array(svm_weights())
+    sums = hinge_sums(emb_vectors(spark, sf), w, SVM_B)
+    reg = LAMBDA * float(np.dot(w, w))
+    wl = F.array(*[F.lit(float(x)) for x in w])
+    grad = F.zip_with(vector_to_array("sum_myx"), wl,
+                      lambda s, wj: F.lit(2 * LAMBDA) * wj - s / F.col("n"))
+    head = sums.select(F.lit(-2).alias("component"), (F.col("hinge") / F.col("n") + reg).alias("value"))
+    bias = sums.select(F.lit(-1).alias("component"), (-F.col("sum_my") / F.col("n")).alias("value"))
+    comps = sums.select(F.posexplode(grad).alias("component", "value"))
+    return head.unionByName(bias).unionByName(comps).withColumn("value", _r("value"))
+
+
+def q_svm_score(spark, sf):
+    import numpy as np
+
+    from trustlens.operators.svm import LinearSVMModel, score_svm
+    m = LinearSVMModel(np.array(svm_weights()), SVM_B, [])
+    return score_svm(emb_vectors(spark, sf), m).select(
+        "review_id", _r("decision_score").alias("decision_score"), "y_pred")
+
+
+def q_forest_votes(spark, sf):
+    """J19 + J22 + J23 (MLlib forest, rows and invariants only)."""
+    from trustlens.operators.forest import fit_forest, tree_predictions, vote, vote_proba
+    d = emb_vectors(spark, sf)
+    m = fit_forest(d, n_trees=30, max_depth=12)
+    tp = tree_predictions(d, m)
+    return vote(tp).join(vote_proba(tp), "review_id")
+
+
+def q_nb_scoring(spark, sf):
+    """K1 + K4 + K6: NB fitted on the given labels, scoring every review."""
+    from trustlens.operators.bayes import fit_hybrid_nb
+    from trustlens.operators.features import build_features
+    from trustlens.operators.scoring import score_reviews_nb
+    raw = reviews_raw(spark, sf)
+    train = V.with_tokens(build_features(raw.where(F.col("label").isNotNull())))
+    train = LB.encode_label(train, "signed")
+    model = fit_hybrid_nb(train, list(L.NUMERIC_FEATURES))
+    out = score_reviews_nb(raw, model)
+    return out.select("review_id", "predicted_label", _r("confidence").alias("confidence"),
+                      _r("prob_fake").alias("prob_fake"), "overridden")
+
+
+def q_prediction_summary(spark, sf):
+    """K8 over the NB scoring job."""
+    from trustlens.operators.scoring import prediction_summary
+    return prediction_summary(q_nb_scoring(spark, sf))
+
+
 QUERIES = {
     "label_distribution": q_label_distribution,
     "label_reviews": q_label_reviews,
@@ -367,6 +482,14 @@ QUERIES = {
     "nb_metrics": q_nb_metrics,
     "confusion_matrix": q_confusion_matrix,
     "classification_report": q_classification_report,
+    "gini_by_lang": q_gini_by_lang,
+    "best_split": q_best_split,
+    "covariance": q_covariance,
+    "svm_loss_grad": q_svm_loss_grad,
+    "svm_score": q_svm_score,
+    "forest_votes": q_forest_votes,
+    "nb_scoring": q_nb_scoring,
+    "prediction_summary": q_prediction_summary,
 }
 
 _unused = (EV, SM)
