@@ -691,3 +691,68 @@ UNION ALL SELECT CAST(i - 1 AS INTEGER), round(2 * 0.01 * ({_W})[i] - sum(my * x
   FROM h, range(1, 65) r(i) GROUP BY i"""
 ORACLES["svm_score"] = _SVM + """
 SELECT vec_id AS review_id, round(s, 6) AS decision_score, CASE WHEN s >= 0 THEN 1 ELSE -1 END AS y_pred FROM m"""
+
+
+# --- the trainers' feature table ---------------------------------------------------------
+def images_sql(x: str) -> str:
+    s = f"trim({x})"
+    q = f"replace(replace({s}, '''', '\"'), 'None', 'null')"
+    raw = (f"(CASE WHEN {s} IS NULL THEN []::VARCHAR[] "
+           f"WHEN {s} LIKE '[%]' AND json_valid({s}) THEN json_extract_string({s}, '$[*]') "
+           f"WHEN {s} LIKE '[%]' AND json_valid({q}) THEN json_extract_string({q}, '$[*]') "
+           f"WHEN {s} LIKE '%,%' AND NOT {s} LIKE 'http%' THEN string_split({s}, ',') "
+           f"WHEN {s} LIKE '%;%' THEN string_split({s}, ';') "
+           f"WHEN {s} LIKE '%|%' THEN string_split({s}, '|') ELSE [{s}] END)")
+    unq = ("list_transform(list_transform(" + raw + ", lambda t: trim(t)), lambda t: "
+           "CASE WHEN length(t) >= 2 AND ((t LIKE '\"%\"') OR (t LIKE '''%''')) "
+           "THEN trim(t[2:-2]) ELSE t END)")
+    return (f"list_filter({unq}, lambda t: t IS NOT NULL AND t <> '' "
+            f"AND lower(t) NOT IN ('nan', 'none', 'null'))")
+
+
+ORACLES["image_features"] = with_ctes(REVIEWS_RAW, f"i AS (SELECT review_id, reviewImageUrls, {images_sql('reviewImageUrls')} AS imgs FROM reviews_raw)") + """
+SELECT review_id, CAST(len(imgs) AS INTEGER) AS n_images, CASE WHEN len(imgs) > 0 THEN 1 ELSE 0 END AS has_image,
+       imgs[1] AS first_image,
+       CASE WHEN trim(reviewImageUrls) IS NOT NULL AND trim(reviewImageUrls) <> ''
+                 AND lower(trim(reviewImageUrls)) <> 'nan' THEN 1 ELSE 0 END AS has_image_simple
+FROM i"""
+
+
+def _features_sql() -> str:
+    tp = preprocess_sql("text", slang=L.SLANG_TRAINER, digit_repl=" ")
+    f = (f"f AS MATERIALIZED (SELECT review_id, COALESCE(text, '') AS text, {tp} AS tp, stars, "
+         f"reviewerNumberOfReviews, isLocalGuide, reviewImageUrls, reviewDetailedRating, "
+         f"CASE WHEN publishedAtDate IS NULL OR publishedAtDate = 'garbage' THEN NULL ELSE ts_value END AS pts "
+         f"FROM reviews_raw)")
+    det_toks = (f"list_filter(regexp_split_to_array(replace(COALESCE(reviewDetailedRating, 'None'), ',', ' '), "
+                f"'{WS_SQL}'), lambda t: regexp_matches(replace(t, '.', ''), '^\\p{{Nd}}+$'))")
+    g = (f"g AS (SELECT *, {words_sql('tp')} AS w, {words_sql('text')} AS wr, "
+         f"{images_sql('reviewImageUrls')} AS imgs, {det_toks} AS det, "
+         f"COALESCE(TRY_CAST(stars AS DOUBLE), 0) AS stars_d, "
+         f"COALESCE(TRY_CAST(reviewerNumberOfReviews AS DOUBLE), 0) AS rc FROM f)")
+    days = "days AS (SELECT CAST(pts AS DATE) AS d, CAST(count(*) AS INTEGER) AS n FROM g WHERE pts IS NOT NULL GROUP BY 1)"
+    h = ("h AS (SELECT g.*, CASE WHEN g.pts IS NULL THEN 1 ELSE COALESCE(days.n, 1) END AS same_day_count, "
+         "len(imgs) AS n_img FROM g LEFT JOIN days ON days.d = CAST(g.pts AS DATE))")
+    return with_ctes(REVIEWS_RAW, f, g, days, h) + """
+SELECT review_id, COALESCE(hour(pts), 0) AS publish_hour,
+  CAST(len(w) AS INTEGER) AS text_word_count, CAST(length(tp) AS INTEGER) AS text_char_count,
+  round(CASE WHEN len(w) > 0 THEN length(regexp_replace(tp, '[\\s\\p{Z}]', '', 'g')) / len(w) ELSE 0.0 END, 6) AS avg_word_length,
+  CAST(len(regexp_extract_all(text, '!')) AS INTEGER) AS exclamation_count,
+  CAST(len(regexp_extract_all(text, '\\?')) AS INTEGER) AS question_count,
+  CAST(len(regexp_extract_all(text, '[.,;:!?"''()\\\\\\-]')) AS INTEGER) AS punctuation_count,
+  round(len(list_filter(wr, lambda x: upper(x) = x AND lower(x) <> x)) / GREATEST(len(wr), 1), 6) AS uppercase_word_ratio,
+  round(stars_d / 5.0, 6) AS stars_norm,
+  CASE WHEN n_img > 0 THEN 1 ELSE 0 END AS has_image, CAST(n_img AS INTEGER) AS n_images,
+  round(ln(1 + rc), 6) AS reviewer_count_log,
+  CASE WHEN lower(isLocalGuide) IN ('1', 'true', 'yes') THEN 1 ELSE 0 END AS is_local_guide,
+  CASE WHEN len(det) > 0 AND len(list_filter(det, lambda t: COALESCE(TRY_CAST(t AS DOUBLE) = 5.0, false))) = len(det)
+       THEN 1 ELSE 0 END AS detail_rating_all_5,
+  same_day_count,
+  CASE WHEN stars_d = 5 AND len(w) < 5 THEN 1 ELSE 0 END AS pattern_5star_short,
+  CASE WHEN stars_d = 5 AND n_img = 0 THEN 1 ELSE 0 END AS pattern_5star_nophoto,
+  CASE WHEN rc <= 2 THEN 1 ELSE 0 END AS pattern_new_reviewer,
+  CASE WHEN same_day_count > 5 THEN 1 ELSE 0 END AS pattern_same_day
+FROM h"""
+
+
+ORACLES["review_features"] = _features_sql()

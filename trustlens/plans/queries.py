@@ -441,6 +441,29 @@ def q_prediction_summary(spark, sf):
     return prediction_summary(q_nb_scoring(spark, sf))
 
 
+# --- the trainers' feature table (E1-E19) ----------------------------------------------
+
+def q_review_features(spark, sf):
+    """E18 on the raw reviews: the 18 base numeric features (the 14 quality
+    features of the same table are the ``text_quality`` operators)."""
+    from trustlens.operators.features import build_features
+    f = build_features(reviews_raw(spark, sf))
+    cols = [F.col("review_id"), F.col("publish_hour")]
+    for c in L.BASE_NUMERIC_FEATURES:
+        cols.append(_r(c).alias(c) if c in ("avg_word_length", "uppercase_word_ratio", "stars_norm",
+                                            "reviewer_count_log") else F.col(c))
+    return f.select(*cols)
+
+
+def q_image_features(spark, sf):
+    """E10-E12 on the raw image field."""
+    from trustlens.functions.features import has_image_simple, image_features, parse_image_urls
+    r = reviews_raw(spark, sf).select("review_id", "reviewImageUrls")
+    r = r.withColumn("images", parse_image_urls("reviewImageUrls"))
+    return r.select("review_id", *[v.alias(k) for k, v in image_features(F.col("images")).items()],
+                    has_image_simple("reviewImageUrls").alias("has_image_simple"))
+
+
 QUERIES = {
     "label_distribution": q_label_distribution,
     "label_reviews": q_label_reviews,
@@ -490,6 +513,8 @@ QUERIES = {
     "forest_votes": q_forest_votes,
     "nb_scoring": q_nb_scoring,
     "prediction_summary": q_prediction_summary,
+    "review_features": q_review_features,
+    "image_features": q_image_features,
 }
 
 _unused = (EV, SM)
