@@ -178,3 +178,46 @@ def text_quality_columns(c: Column | str, lexicon=LEXICON, prefix: str = "tq_")
         prefix + "gibberish_score": pct.cast("double") / 100.0,
         prefix + "is_gibberish": (pct > GIBBERISH_FLAG_PCT).cast("int"),
     }
+
+
+def with_text_quality(df, c: str, lexicon=LEXICON, prefix: str = "tq_"):
+    """D14 on a DataFrame in three projections: the six base measures once
+    per row, then the flags from those columns, then the score.
+
+    Each base measure feeds several flags; as separate projections Catalyst
+    keeps them computed once (it does not collapse a projection whose
+    expensive expressions the next one references more than once).
+    """
+    from pyspark.sql import functions as F  # noqa: F811
+    p = prefix
+    blank = "_tq_blank"
+    df = df.withColumns({
+        blank: is_blank(c),
+        p + "vowel_ratio": vowel_ratio(c),
+        p + "valid_word_ratio": valid_word_ratio(c, lexicon),
+        p + "avg_word_length": avg_word_length(c),
+        p + "entropy": char_entropy(c),
+        p + "repeated_ratio": repeated_ratio(c),
+        p + "consonant_cluster": consonant_cluster(c),
+    })
+    df = df.withColumns({
+        p + "abnormal_vowel": abnormal_vowel(F.col(p + "vowel_ratio")),
+        p + "low_valid_words": low_valid_words(F.col(p + "valid_word_ratio")),
+        p + "has_long_words": F.when(F.col(blank), F.lit(0)).otherwise(
+            (F.col(p + "avg_word_length") > LONG_WORD_MEAN).cast("int")),
+        p + "high_entropy": high_entropy(F.col(p + "entropy")),
+        p + "has_repeated": has_repeated(F.col(p + "repeated_ratio")),
+        p + "long_consonant": long_consonant(F.col(p + "consonant_cluster")),
+    })
+    total = None
+    for w, f in zip(WEIGHTS_PCT, ("abnormal_vowel", "low_valid_words", "has_long_words",
+                                  "high_entropy", "has_repeated", "long_consonant")):
+        term = F.col(p + f) * F.lit(w)
+        total = term if total is None else total + term
+    pct = F.when(F.col(blank), F.lit(0)).otherwise(total)
+    df = df.withColumn("_tq_pct", pct)
+    df = df.withColumns({
+        p + "gibberish_score": F.col("_tq_pct").cast("double") / 100.0,
+        p + "is_gibberish": (F.col("_tq_pct") > GIBBERISH_FLAG_PCT).cast("int"),
+    })
+    return df.drop(blank, "_tq_pct")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from trustlens.functions import features as FE
 from trustlens.functions import lexicons as L
 from trustlens.functions import text as T
-from trustlens.functions.quality import text_quality_columns
+from trustlens.functions.quality import with_text_quality
 from trustlens.operators.cleaning import ensure_preprocessed
 from trustlens.operators.labeling import same_day_count
 from trustlens.sources import schema as S
@@ -83,7 +83,7 @@ def build_features(df: DataFrame, force_preprocess: bool = False, punct_col: str
         "pattern_new_reviewer": (F.col("reviewer_count") <= NEW_REVIEWER_MAX).cast("int"),
         "pattern_same_day": (F.col("same_day_count") > BURST_MIN).cast("int"),
     })
-    df = df.withColumns(text_quality_columns("text_preprocessed"))
+    df = with_text_quality(df, "text_preprocessed")
     return S.fill_features(df, list(L.NUMERIC_FEATURES))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trustlens.functions import lexicons as L
-from trustlens.functions.quality import text_quality_columns
+from trustlens.functions.quality import text_quality_columns, with_text_quality
 from trustlens.operators import cleaning as C
 from trustlens.operators import evaluation as EV
 from trustlens.operators import labeling as LB
@@ -128,7 +128,7 @@ def q_same_day_events(spark, sf):
 
 def tq_documents(spark, sf):
     d = documents(spark, sf).select("doc_id", "lang", "text")
-    return d.withColumns(text_quality_columns("text"))
+    return with_text_quality(d, "text")
 
 
 def q_text_quality(spark, sf):
@@ -234,7 +234,11 @@ def q_vocabulary(spark, sf):
 
 
 def q_tfidf(spark, sf):
-    t = tokens_docs(spark, sf)
+    # the tokens feed both the vocabulary and the weights: computed once,
+    # lineage cut in the shared checkpoint folder
+    from trustlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    t = tokens_docs(spark, sf).checkpoint(eager=True)
     return V.tfidf(t, V.vocabulary(t, V.MAX_FEATURES)).withColumn("tfidf", _r("tfidf"))
 
 
@@ -253,7 +257,7 @@ def labelled_docs(spark, sf) -> DataFrame:
         F.when(F.col("quality") == 0, F.lit(1)).otherwise(F.lit(-1)).alias("y"))
     d = documents(spark, sf).select(F.col("doc_id").alias("review_id"), "text")
     d = d.join(lab, "review_id", "inner")
-    d = d.withColumns(text_quality_columns("text"))
+    d = with_text_quality(d, "text")
     return V.with_tokens(C.preprocess(d, "text"))
 
 

@@ -36,8 +36,26 @@ def _pick(key: Column, values) -> Column:
     return expr
 
 
+# Tables whose rows carry long texts: per-row work on them is CPU-heavy.
+TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one partition per core.
+
+    A scan is split by file and row group; a small file with one large row
+    group of long texts is a single task. When the scan plans fewer partitions
+    than the default parallelism, rows are spread round-robin. The check reads
+    plan metadata only (no job); on large inputs the scan already has far more
+    partitions than cores and nothing is shuffled.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
