@@ -159,3 +159,47 @@ def test_svm_steps_match_numpy(spark):
     loss, gw, gb = S.hinge_loss_grad(df, np.ones(5) * 0.1, 0.2, 0.01)
     mm = 1 - y * (X @ (np.ones(5) * 0.1) + 0.2)
     assert loss == pytest.approx(np.mean(np.maximum(0, mm)) + 0.01 * 0.05)
+
+
+def py_cart(X, y, depth=0, max_depth=3, min_split=2, min_leaf=2):
+    if depth >= max_depth or len(y) < min_split or len(np.unique(y)) == 1:
+        return ("leaf", 1 if (y == 1).sum() > (y != 1).sum() else -1)
+    gain, f, t = brute_best_split(X, y, min_leaf)
+    if f is None:
+        return ("leaf", 1 if (y == 1).sum() > (y != 1).sum() else -1)
+    m = X[:, f] <= t
+    return ("split", f, t, py_cart(X[m], y[m], depth + 1, max_depth, min_split, min_leaf),
+            py_cart(X[~m], y[~m], depth + 1, max_depth, min_split, min_leaf))
+
+
+def py_predict(tree, x):
+    while tree[0] == "split":
+        tree = tree[3] if x[tree[1]] <= tree[2] else tree[4]
+    return tree[1]
+
+
+def test_cart_and_predict_match_recursive(spark):
+    X = RNG.randint(0, 10, size=(120, 3)).astype(float)
+    y = np.where(X[:, 0] * 2 - X[:, 1] + RNG.normal(0, 3, 120) > 5, 1, -1)
+    rows = [(i, int(y[i]), *map(float, X[i])) for i in range(120)]
+    df = spark.createDataFrame(rows, "review_id int, y int, f0 double, f1 double, f2 double")
+    long = FR.to_long(df, "review_id", ["f0", "f1", "f2"])
+    nodes = FR.fit_cart(long, df.select("review_id", "y"), max_depth=3)
+    feats = df.select("review_id", F.array("f0", "f1", "f2").alias("feature_values"))
+    got = {r.review_id: r.tree_prediction for r in FR.predict_cart(feats, nodes, max_depth=3).collect()}
+    tree = py_cart(X, y, max_depth=3)
+    want = {i: py_predict(tree, X[i]) for i in range(120)}
+    assert got == want
+
+
+def test_vote_columns_match_long_votes(spark):
+    X = RNG.normal(size=(80, 3))
+    y = np.where(X[:, 0] > 0, 1, -1)
+    rows = [(i, int(y[i]), *map(float, X[i])) for i in range(80)]
+    df = V.assemble(spark.createDataFrame(rows, "review_id int, y int, a double, b double, c double"),
+                    ["a", "b", "c"])
+    m = FR.fit_forest(df, n_trees=5, max_depth=3)
+    tp = FR.tree_predictions(df, m)
+    long = {r.review_id: (r.voted, r.votes) for r in FR.vote(tp).collect()}
+    wide = {r.review_id: (r.voted, r.votes) for r in FR.tree_vote_columns(df, m).collect()}
+    assert long == wide

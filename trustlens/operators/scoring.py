@@ -117,14 +117,13 @@ def score_reviews_rf(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
     """K3 + K5: RF scoring by per-tree votes; confidence = winning share,
     decision_score = FAKE share - REAL share. ``blank_policy='model'`` scores
     blank texts with the model (the RF predictor's behaviour), 'fake' applies K6."""
-    from trustlens.operators.forest import tree_predictions, vote, vote_proba
+    from trustlens.operators.forest import tree_vote_columns
     src, blank = (raw, None) if blank_policy == "model" else split_blank(raw, text_col)
     feats = V.with_tokens(build_features(src))
     feats = V.scale(feats, scaler, cols, suffix="__s")
     feats = V.tfidf_vector(feats, vocab)
     feats = V.assemble(feats, ["text_features"] + [f"{c}__s" for c in cols])
-    tp = tree_predictions(feats, forest, id_col)
-    scored = (feats.join(vote(tp, id_col), id_col).join(vote_proba(tp, id_col), id_col)
+    scored = (tree_vote_columns(feats, forest)
               .withColumns({
                   "predicted_label": _label(F.col("voted")),
                   "confidence": F.greatest("share_fake", "share_real"),

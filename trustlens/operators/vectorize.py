@@ -133,7 +133,8 @@ def scale(df: DataFrame, scaler: DataFrame, cols: list[str], suffix: str = "") -
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """Concatenate vector / numeric columns into one MLlib vector."""
     from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
+    # inputs are null-filled (B8); "error" also needs no vector-size metadata
+    return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
 def baseline_text_pipeline(text_col: str = "text", vocab_size: int = 10000):

@@ -756,3 +756,16 @@ FROM h"""
 
 
 ORACLES["review_features"] = _features_sql()
+
+
+# --- label correction and confidence statistics -------------------------------------------
+ORACLES["label_correction"] = "WITH d AS (SELECT d.doc_id, d.text, CASE WHEN l.quality = 0 THEN 'FAKE' ELSE 'REAL' END AS label FROM documents d JOIN labels l ON l.doc_id = d.doc_id),\n" + \
+    tq_ctes("d", "text", "doc_id, label") + """,
+c AS (SELECT label, CASE WHEN tq_is_gibberish = 1 AND round(tq_gibberish_score * 100) > 70 THEN 'FAKE' ELSE label END AS label_after FROM tq)
+SELECT count(*) FILTER (WHERE label = 'FAKE') AS fake_before, count(*) FILTER (WHERE label_after = 'FAKE') AS fake_after,
+       count(*) FILTER (WHERE label <> label_after) AS changed FROM c"""
+
+ORACLES["confidence_stats"] = _SVM + """
+, c AS (SELECT 1.0 / (1.0 + exp(-abs(s))) AS confidence FROM m)
+SELECT count(confidence) AS n, round(avg(confidence), 6) AS mean, round(median(confidence), 6) AS median,
+       round(stddev_samp(confidence), 6) AS std, count(*) FILTER (WHERE confidence > 0.8) AS n_high FROM c"""

@@ -418,11 +418,11 @@ def q_svm_score(spark, sf):
 
 def q_forest_votes(spark, sf):
     """J19 + J22 + J23 (MLlib forest, rows and invariants only)."""
-    from trustlens.operators.forest import fit_forest, tree_predictions, vote, vote_proba
+    from trustlens.operators.forest import fit_forest, tree_vote_columns
     d = emb_vectors(spark, sf)
     m = fit_forest(d, n_trees=30, max_depth=12)
-    tp = tree_predictions(d, m)
-    return vote(tp).join(vote_proba(tp), "review_id")
+    return tree_vote_columns(d, m).select("review_id", "voted", "votes", "share_fake",
+                                          "share_real")
 
 
 def q_nb_scoring(spark, sf):
@@ -468,6 +468,165 @@ def q_image_features(spark, sf):
                     has_image_simple("reviewImageUrls").alias("has_image_simple"))
 
 
+# --- more operators: F8, G10, J8/J11, J9, J12, J20, J21, L6, L7, K2, K3 ---------------------
+
+def q_label_correction(spark, sf):
+    """F8 on labelled documents: gibberish (flag and score > 0.7) becomes FAKE."""
+    d = labelled_docs_plain(spark, sf).join(
+        documents(spark, sf).select("doc_id", "text"), "doc_id")
+    d = with_text_quality(d, "text").withColumn(
+        "label", F.when(F.col("y") == 1, F.lit("FAKE")).otherwise(F.lit("REAL")))
+    return LB.correction_counts(LB.correct_labels(d, 0.7))
+
+
+def q_confidence_stats(spark, sf):
+    """G10 over SVM confidences 1 / (1 + e^-|s|) (K2) at the fixed weights."""
+    from trustlens.operators.scoring import svm_confidence
+    s = q_svm_score(spark, sf).withColumn("confidence", svm_confidence())
+    return P.confidence_stats(s, "confidence", 0.8)
+
+
+def _emb_split(spark, sf):
+    from trustlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    d = SM.split_exact(emb_vectors(spark, sf)).drop("rank")
+    return d.checkpoint(eager=True)
+
+
+def q_svm_gd_history(spark, sf):
+    """J8 + J9 (validation cut) + J11: five gradient steps with early-stopping
+    bookkeeping; the loss history table."""
+    from trustlens.operators.svm import fit_linear_svm
+    d = _emb_split(spark, sf)
+    train = SM.split_validation(d.where(F.col("set") == "train"))
+    m = fit_linear_svm(train.where(~F.col("is_validation")), train.where(F.col("is_validation")),
+                       max_iter=5)
+    return m.loss_history(spark)
+
+
+def q_linear_svc(spark, sf):
+    """MLlib LinearSVC with the reference objective; test-set predictions."""
+    from trustlens.operators.svm import fit_linear_svc
+    d = _emb_split(spark, sf)
+    m = fit_linear_svc(d.where(F.col("set") == "train"), max_iter=50)
+    return m.transform(d.where(F.col("set") == "test")).select("review_id", "y", "prediction")
+
+
+def q_pca(spark, sf):
+    """Centred two-component PCA of the embeddings."""
+    from pyspark.ml.functions import vector_to_array
+    from trustlens.operators.svm import fit_pca, project_pca
+    d = emb_vectors(spark, sf)
+    p = project_pca(d, fit_pca(d, 2))
+    return p.select("review_id", "y", vector_to_array("pca").alias("pc"))
+
+
+def q_oob_score(spark, sf):
+    """J18 + J20: out-of-bag accuracy of 30 bagged trees."""
+    from trustlens.operators.forest import oob_score
+    d = emb_vectors(spark, sf)
+    bags = SM.bootstrap_weights(d, 30)
+    acc = oob_score(d, bags, 30, max_depth=12)
+    return spark.range(1).select(F.lit(acc).alias("oob_accuracy"))
+
+
+def q_rf_importances(spark, sf):
+    """J19 + J21: split-count importances of the MLlib forest, with names."""
+    from trustlens.operators.forest import fit_forest, node_table, split_importances
+    from trustlens.session import checkpoint_path
+    d = emb_vectors(spark, sf)
+    m = fit_forest(d)
+    nodes = node_table(m, checkpoint_path(spark, "rf_model_importances"), spark)
+    names = spark.range(EMB_DIM).select(F.col("id").cast("int").alias("feature_id"),
+                                        F.concat(F.lit("e"), F.col("id")).alias("name"))
+    return split_importances(nodes, names)
+
+
+def q_nb_overfit(spark, sf):
+    """L6 + L7 on the NB documents model."""
+    p = nb_predictions(spark, sf).withColumns({
+        "y_text": F.when(F.col("text_fake") > F.col("text_real"), 1).otherwise(-1),
+        "y_num": F.when(F.col("num_fake") > F.col("num_real"), 1).otherwise(-1)})
+    acc = EV.component_accuracy(p)
+    gap = EV.overfit_gap(EV.metrics_by_set(p))
+    return acc.crossJoin(gap)
+
+
+def q_cart(spark, sf):
+    """J16 + J17: CART (depth 12, leaf >= 2) grown level-wise on the training
+    embeddings, predictions for every row."""
+    from trustlens.operators.forest import fit_cart, predict_cart, to_long
+    d = embeddings_wide(spark, sf)
+    split = SM.split_exact(d).drop("rank")
+    train = split.where(F.col("set") == "train")
+    long = to_long(train, "review_id", [f"e{i}" for i in range(EMB_DIM)])
+    nodes = fit_cart(long, train.select("review_id", "y"))
+    feats = split.select("review_id", "set", "y",
+                         F.array(*[F.col(f"e{i}") for i in range(EMB_DIM)]).alias("feature_values"))
+    return predict_cart(feats, nodes).drop("feature_values")
+
+
+def _review_training(spark, sf):
+    """Feature table of the reviews with a given label, vocabulary and scaler
+    fitted on it, and assembled vectors (I6 + I8 + I9) for SVM / RF."""
+    from trustlens.operators.features import build_features
+    from trustlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    raw = reviews_raw(spark, sf)
+    cols = list(L.NUMERIC_FEATURES)
+    feats = V.with_tokens(build_features(raw.where(F.col("label").isNotNull())))
+    feats = LB.encode_label(feats, "signed").checkpoint(eager=True)
+    vocab = V.vocabulary(feats, V.MAX_FEATURES)
+    scaler = V.fit_scaler(feats, cols)
+    x = V.scale(feats, scaler, cols, suffix="__s")
+    x = V.tfidf_vector(x, vocab)
+    x = V.assemble(x, ["text_features"] + [f"{c}__s" for c in cols])
+    return raw, vocab, scaler, cols, x
+
+
+def q_svm_scoring(spark, sf):
+    """K2 + K4 + K6: gradient-descent SVM (20 steps) on the labelled reviews,
+    scoring every review."""
+    from trustlens.operators.scoring import score_reviews_svm
+    from trustlens.operators.svm import fit_linear_svm
+    raw, vocab, scaler, cols, x = _review_training(spark, sf)
+    m = fit_linear_svm(x, None, max_iter=20)
+    out = score_reviews_svm(raw, vocab, scaler, cols, m)
+    return out.select("review_id", "predicted_label", _r("confidence").alias("confidence"),
+                      _r("decision_score").alias("decision_score"), "overridden")
+
+
+def q_rf_scoring(spark, sf):
+    """K3 + K5: MLlib forest (30 trees, depth 12) on the labelled reviews,
+    per-tree votes for every review, flagged gibberish override."""
+    from trustlens.operators.forest import fit_forest
+    from trustlens.operators.scoring import score_reviews_rf
+    raw, vocab, scaler, cols, x = _review_training(spark, sf)
+    forest = fit_forest(x)
+    out = score_reviews_rf(raw, vocab, scaler, cols, forest)
+    return out.select("review_id", "predicted_label", _r("confidence").alias("confidence"),
+                      _r("decision_score").alias("decision_score"), "gibberish_override")
+
+
+def q_baselines(spark, sf):
+    """J24 + I10: the labeller's baselines on heuristic labels (stratified
+    80/20), accuracy per model on the test part."""
+    from trustlens.operators.forest import train_baselines
+    d = labelled(spark, sf)
+    d = d.withColumns({"has_image_i": F.col("has_image").cast("int"),
+                       "islocalguid_i": F.col("islocalguid").cast("int")})
+    d = LB.encode_label(d, "signed")
+    split = SM.split_stratified(d, "label").drop("rank")
+    train, test = split.where(F.col("set") == "train"), split.where(F.col("set") == "test")
+    models = train_baselines(train, "text", list(L.LABELLER_NUMERIC_FEATURES))
+    out = None
+    for name, m in models.items():
+        p = m.transform(test).select(F.lit(name).alias("model"), (F.col("prediction") == (
+            F.col("y") == 1).cast("double")).cast("double").alias("hit"))
+        out = p if out is None else out.unionByName(p)
+    return out.groupBy("model").agg(F.avg("hit").alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
     "label_distribution": q_label_distribution,
     "label_reviews": q_label_reviews,
@@ -519,6 +678,18 @@ QUERIES = {
     "prediction_summary": q_prediction_summary,
     "review_features": q_review_features,
     "image_features": q_image_features,
+    "label_correction": q_label_correction,
+    "confidence_stats": q_confidence_stats,
+    "svm_gd_history": q_svm_gd_history,
+    "linear_svc": q_linear_svc,
+    "pca": q_pca,
+    "oob_score": q_oob_score,
+    "rf_importances": q_rf_importances,
+    "nb_overfit": q_nb_overfit,
+    "cart": q_cart,
+    "svm_scoring": q_svm_scoring,
+    "rf_scoring": q_rf_scoring,
+    "baselines": q_baselines,
 }
 
 _unused = (EV, SM)
