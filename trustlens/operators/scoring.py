@@ -72,8 +72,12 @@ def score_reviews_nb(raw: DataFrame, model, text_col: str = "text",
                      threshold: float = NB_OVERRIDE) -> DataFrame:
     """K1 + K4 + K6: NB scoring of a raw review table."""
     from trustlens.operators.bayes import predict_hybrid_nb
+    from trustlens.session import ensure_checkpoint_dir
     valid, blank = split_blank(raw, text_col)
-    feats = V.with_tokens(build_features(valid))
+    # the text and the numeric half both read the feature table: build it once
+    # and cut its lineage (written to the shared checkpoint folder)
+    ensure_checkpoint_dir(raw.sparkSession)
+    feats = V.with_tokens(build_features(valid)).checkpoint()
     p = predict_hybrid_nb(model, feats)
     p = p.withColumns({
         "predicted_label": _label(F.col("y_pred")),

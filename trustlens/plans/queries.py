@@ -430,9 +430,11 @@ def q_nb_scoring(spark, sf):
     from trustlens.operators.bayes import fit_hybrid_nb
     from trustlens.operators.features import build_features
     from trustlens.operators.scoring import score_reviews_nb
+    from trustlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     raw = reviews_raw(spark, sf)
     train = V.with_tokens(build_features(raw.where(F.col("label").isNotNull())))
-    train = LB.encode_label(train, "signed")
+    train = LB.encode_label(train, "signed").checkpoint()
     model = fit_hybrid_nb(train, list(L.NUMERIC_FEATURES))
     out = score_reviews_nb(raw, model)
     return out.select("review_id", "predicted_label", _r("confidence").alias("confidence"),

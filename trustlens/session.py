@@ -48,8 +48,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="trustlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+    try:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the conf
+        pass
     return current
 
 

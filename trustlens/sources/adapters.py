@@ -49,8 +49,12 @@ def spread(df: DataFrame) -> DataFrame:
     plan metadata only (no job); on large inputs the scan already has far more
     partitions than cores and nothing is shuffled.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
+        return df
+    return df.repartition(target) if planned < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
