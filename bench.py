@@ -30,6 +30,7 @@ HEADLINE = [
     "best_split",             # J15 on embeddings
     "svm_loss_grad",          # J7
     "same_day_events",        # E15 on events
+    "nb_scoring",             # K1, K4, K6: fit on given labels, score every review
 ]
 
 
