@@ -641,7 +641,7 @@ ORACLES["gini_by_lang"] = """
 WITH d AS (SELECT d.lang, CASE WHEN l.quality = 0 THEN 1 ELSE -1 END AS y
            FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
 c AS (SELECT lang, y, count(*) AS c FROM d GROUP BY lang, y)
-SELECT lang, sum(c) AS n, round(1.0 - sum(c * c) / (sum(c) * sum(c)), 6) AS gini FROM c GROUP BY lang"""
+SELECT lang, CAST(sum(c) AS BIGINT) AS n, round(1.0 - sum(c * c) / (sum(c) * sum(c)), 6) AS gini FROM c GROUP BY lang"""
 
 _EMB_LONG = """
 WITH e AS (SELECT vec_id, CASE WHEN label < 5 THEN 1 ELSE -1 END AS y, embedding FROM embeddings),
@@ -732,7 +732,7 @@ def _features_sql() -> str:
     h = ("h AS (SELECT g.*, CASE WHEN g.pts IS NULL THEN 1 ELSE COALESCE(days.n, 1) END AS same_day_count, "
          "len(imgs) AS n_img FROM g LEFT JOIN days ON days.d = CAST(g.pts AS DATE))")
     return with_ctes(REVIEWS_RAW, f, g, days, h) + """
-SELECT review_id, COALESCE(hour(pts), 0) AS publish_hour,
+SELECT review_id, CAST(COALESCE(hour(pts), 0) AS INTEGER) AS publish_hour,
   CAST(len(w) AS INTEGER) AS text_word_count, CAST(length(tp) AS INTEGER) AS text_char_count,
   round(CASE WHEN len(w) > 0 THEN length(regexp_replace(tp, '[\\s\\p{Z}]', '', 'g')) / len(w) ELSE 0.0 END, 6) AS avg_word_length,
   CAST(len(regexp_extract_all(text, '!')) AS INTEGER) AS exclamation_count,
