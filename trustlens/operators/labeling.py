@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from trustlens.functions import lexicons as L
 from trustlens.functions.features import any_not_null, detail_all_fives_strict
-from trustlens.functions.text import col_of, word_count
+from trustlens.functions.text import word_count
 from trustlens.sources import schema as S
 
 # --- fixed values: labelling points and thresholds ---------------------------
@@ -214,7 +214,3 @@ def stars_short_preview(df: DataFrame, n: int = 5) -> DataFrame:
     return (df.where((F.col("stars") == 5) & (F.col("text_len_words") <= 3))
               .select("review_id", "title", "stars", "text", "text_len_words", "has_image")
               .orderBy("review_id").limit(n))
-
-
-def label_col(c) -> Column:
-    return col_of(c)

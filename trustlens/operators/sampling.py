@@ -193,6 +193,13 @@ def shuffle_order(df: DataFrame, seed: int = DEFAULT_SEED, id_cols=("review_id",
         "_h", *id_cols).drop("_h")
 
 
+def shuffle_positions(df: DataFrame, seed: int = DEFAULT_SEED, id_cols=("review_id",),
+                      out: str = "position") -> DataFrame:
+    """H7 as data: each row's 1-based position in the seeded shuffle (exact,
+    computed with bucketed ranks, no single-partition sort)."""
+    return hash_rank(df, [], hash_key(seed, "shuffle", *id_cols), list(id_cols), out=out).drop("_key")
+
+
 def split_exact(df: DataFrame, frac: float = 0.8, seed: int = DEFAULT_SEED,
                 id_cols=("review_id",), stage: str = "split") -> DataFrame:
     """H8: ``set`` = 'train' for the first ``int(n * frac)`` rows in seeded

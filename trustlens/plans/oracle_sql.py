@@ -816,3 +816,6 @@ SELECT review_id, set, y, y_pred, round(prob_fake, 6) AS prob_fake, round(prob_r
 ORACLES.update(NB_WIDE_ORACLES)
 for _n in ("nb_metrics", "confusion_matrix", "classification_report"):
     ORACLES[_n] = NB_WIDE + _NB_LONG[_n][len(NB_BASE):]
+
+ORACLES["shuffle_positions"] = GIVEN + f"""
+SELECT review_id, label, row_number() OVER (ORDER BY {h('shuffle', 'review_id')}, review_id) AS position FROM base"""

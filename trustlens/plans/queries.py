@@ -206,6 +206,10 @@ def q_balance_status(spark, sf):
     return SM.balance_status(given_labels(spark, sf))
 
 
+def q_shuffle_positions(spark, sf):
+    return SM.shuffle_positions(given_labels(spark, sf)).select("review_id", "label", "position")
+
+
 def q_split_exact(spark, sf):
     return SM.split_exact(given_labels(spark, sf)).select("review_id", "label", "set")
 
@@ -655,6 +659,7 @@ QUERIES = {
     "hybrid_labels": q_hybrid_labels,
     "balance_comparison": q_balance_comparison,
     "balance_status": q_balance_status,
+    "shuffle_positions": q_shuffle_positions,
     "split_exact": q_split_exact,
     "split_stratified": q_split_stratified,
     "split_validation": q_split_validation,
@@ -694,4 +699,3 @@ QUERIES = {
     "baselines": q_baselines,
 }
 
-_unused = (EV, SM)
