@@ -77,7 +77,8 @@ def score_reviews_nb(raw: DataFrame, model, text_col: str = "text",
     # the text and the numeric half both read the feature table: build it once
     # and cut its lineage (written to the shared checkpoint folder)
     ensure_checkpoint_dir(raw.sparkSession)
-    feats = V.with_tokens(build_features(valid)).checkpoint()
+    from trustlens.session import materialize
+    feats = materialize(V.with_tokens(build_features(valid)), "score_features")
     p = predict_hybrid_nb(model, feats)
     p = p.withColumns({
         "predicted_label": _label(F.col("y_pred")),

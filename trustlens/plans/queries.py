@@ -242,7 +242,8 @@ def q_tfidf(spark, sf):
     # lineage cut in the shared checkpoint folder
     from trustlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    t = tokens_docs(spark, sf).checkpoint(eager=True)
+    from trustlens.session import materialize
+    t = materialize(tokens_docs(spark, sf), "doc_tokens")
     return V.tfidf(t, V.vocabulary(t, V.MAX_FEATURES)).withColumn("tfidf", _r("tfidf"))
 
 
@@ -274,7 +275,8 @@ def nb_split(spark, sf):
     it is computed once and its lineage is cut (shared checkpoint folder)."""
     from trustlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    return SM.split_exact(labelled_docs(spark, sf)).drop("rank").checkpoint(eager=True)
+    from trustlens.session import materialize
+    return materialize(SM.split_exact(labelled_docs(spark, sf)).drop("rank"), "nb_docs")
 
 
 def nb_model(spark, sf):
@@ -438,7 +440,8 @@ def q_nb_scoring(spark, sf):
     ensure_checkpoint_dir(spark)
     raw = reviews_raw(spark, sf)
     train = V.with_tokens(build_features(raw.where(F.col("label").isNotNull())))
-    train = LB.encode_label(train, "signed").checkpoint()
+    from trustlens.session import materialize
+    train = materialize(LB.encode_label(train, "signed"), "review_train")
     model = fit_hybrid_nb(train, list(L.NUMERIC_FEATURES))
     out = score_reviews_nb(raw, model)
     return out.select("review_id", "predicted_label", _r("confidence").alias("confidence"),
@@ -495,8 +498,8 @@ def q_confidence_stats(spark, sf):
 def _emb_split(spark, sf):
     from trustlens.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    d = SM.split_exact(emb_vectors(spark, sf)).drop("rank")
-    return d.checkpoint(eager=True)
+    from trustlens.session import materialize
+    return materialize(SM.split_exact(emb_vectors(spark, sf)).drop("rank"), "emb_split")
 
 
 def q_svm_gd_history(spark, sf):
@@ -581,7 +584,8 @@ def _review_training(spark, sf):
     raw = reviews_raw(spark, sf)
     cols = list(L.NUMERIC_FEATURES)
     feats = V.with_tokens(build_features(raw.where(F.col("label").isNotNull())))
-    feats = LB.encode_label(feats, "signed").checkpoint(eager=True)
+    from trustlens.session import materialize
+    feats = materialize(LB.encode_label(feats, "signed"), "review_train")
     vocab = V.vocabulary(feats, V.MAX_FEATURES)
     scaler = V.fit_scaler(feats, cols)
     x = V.scale(feats, scaler, cols, suffix="__s")

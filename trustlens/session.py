@@ -60,3 +60,14 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back: the lineage is cut and the plan runs a single time (an RDD
+    checkpoint of an uncached plan computes it twice). Executors lost later
+    re-read the files instead of recomputing the upstream plan."""
+    import uuid
+    path = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
