@@ -137,7 +137,7 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="error").transform(df)
 
 
-def baseline_text_pipeline(text_col: str = "text", vocab_size: int = 10000):
+def baseline_text_stages(text_col: str = "text", vocab_size: int = 10000):
     """1-2-gram TF-IDF with L2 normalisation, as an MLlib ``Pipeline``.
 
     Unigrams and bigrams share one vocabulary (sklearn's ``ngram_range=(1, 2)``).
