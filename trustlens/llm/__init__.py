@@ -1 +1,11 @@
-"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
+"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage.
+
+Functions that run inside Spark tasks are sent with the job itself, so the
+executors need not have this package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -20,3 +20,9 @@ def ascii_lower(c: Column) -> Column:
 
 def md5_key(*cols: Column) -> Column:
     return F.md5(F.concat_ws("\x1f", *cols))
+
+
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Hand Python few rows at a time: one batch then holds a bounded number of
+    long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from trustlens.llm import quality, urls
+from trustlens.llm import decontaminate, packing, quality, urls
 from trustlens.llm.common import table
 
 
+def op1_best_fit_packing(spark, sf_dir):
+    """Place of every piece of every document in sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op3_benchmark_decontamination(spark, sf_dir):
+    """Benchmark words and items found in every document."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_rules(spark, sf_dir):
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -16,5 +26,7 @@ def op9_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op8_quality_rules, op9_url_filter)}
-ORACLES = {"op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_benchmark_decontamination,
+                                   op8_quality_rules, op9_url_filter)}
+ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
+           "op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE}
