@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ TOKENIZER = "word_bpe_49k.json"
 PRICING_ROUNDS = 600      # configurations priced by multiplicative weights
 STEP = 2.0                # learning rate of the weights
 GROUP_ROWS = 100_000      # rows that share a length and a salt, about
-CACHE_WORDS = 400_000     # words whose ids a worker remembers
+CACHE_WORDS = 700_000     # words whose ids a worker remembers
 
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
@@ -47,16 +48,32 @@ class _Ids(dict):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        got = np.asarray(ids, "<u4").tobytes()
+        got = self._look_up(word)
         if len(word) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
             self[word] = got
         return got
 
+    def _look_up(self, word: str) -> bytes:
+        """ASCII letters go to the merge model as they are, a last full stop or
+        comma is a token of its own; all else takes the whole tokenizer."""
+        if word.isascii() and word:
+            if word.isalpha():
+                low = word.lower()
+                if low != word:
+                    return self[low]
+                return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            if word[-1] in ".," and word[:-1].isalpha():
+                return self[word[:-1]] + self[word[-1]]
+        return self._whole(word)
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
 
 def tokenise(text: str | None, ids: _Ids) -> bytes:
     """Ids of a text, then the end id. The tokenizer drops white space and never
