@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trustlens.llm import decontaminate, packing, quality, urls
+from trustlens.llm import decontaminate, neardup, packing, quality, urls
 from trustlens.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op3_benchmark_decontamination(spark, sf_dir):
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_minhash_near_dedup(spark, sf_dir):
+    """Component of near-duplicates of every document."""
+    return neardup.link(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark, sf_dir):
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -26,7 +31,8 @@ def op9_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_benchmark_decontamination, op4_minhash_near_dedup,
                                    op8_quality_rules, op9_url_filter)}
 ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
+           "op4_minhash_near_dedup": neardup.ORACLE,
            "op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE}
