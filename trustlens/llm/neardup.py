@@ -8,12 +8,14 @@ in order of rising frequency is posted again: two nodes that agree in at least
 ``MATCHES`` of ``COORDINATES`` places meet in their prefixes, so very common
 values (a passage in a third of all texts) are seldom joined on.
 
-Posting lists are not expanded into pairs. First every node meets the smallest
-node of the list it shares most often (at most one pair per node); the pairs
-whose signatures agree often enough are confirmed on the full sets, and the
-links merged into components. Only then nodes of different components that
-share a posting meet, are counted and confirmed likewise. Links inside a
-component need no proof. A pair of similarity 0.75 agrees in fewer than 24 of
+Posting lists are not expanded into pairs. First every node meets one node, the
+best connected of the lists it shares most often; the pairs whose signatures
+agree often enough are confirmed on the full sets, and the links merged into
+components. Then only lists with several components matter. For their nodes the
+shingles that occur in another component are counted: a link shares at least
+75 / 175 of both sizes, so nodes with fewer such shingles can have none and
+leave. The others meet one node once more, and what is then still apart meets
+pairwise under that bound, made tighter by what both share with the same pivot. Links inside a component need no proof. A pair of similarity 0.75 agrees in fewer than 24 of
 48 places with a probability of about 2e-5.
 
 Null or empty text: empty set, linked with nothing. Repeated rows share a node.
@@ -122,24 +124,73 @@ def sets_of(docs: DataFrame, wanted: DataFrame, key: str, words: int) -> DataFra
     return src.mapInArrow(run, "node binary, set array<long>").dropDuplicates(["node"])
 
 
-def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, words: int, matches: int,
-             percent: int, name: str) -> DataFrame:
-    """The pairs (u, v) whose signatures agree often enough and whose sets prove it."""
-    side = lambda c, n: nodes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
+def _agreeing(pairs: DataFrame, nodes: DataFrame, matches: int, name: str) -> DataFrame:
+    """The pairs (u, v) whose signatures agree in at least ``matches`` places."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
     same = F.expr("aggregate(zip_with(sig_u, sig_v, (x, y) -> if(x = y, 1, 0)), 0, (a, x) -> a + x)")
-    near = materialize(pairs.join(side("u", nodes), "u").join(side("v", nodes), "v")
-                       .where(same >= matches).select("u", "v"), f"{name}-near")
-    wanted = (near.select(F.col("u").alias("node")).unionAll(near.select(F.col("v").alias("node"))).distinct()
-              .join(nodes.select("node", "doc"), "node").select(F.col("doc").alias(key), "node"))
-    sets = materialize(sets_of(docs, materialize(wanted, f"{name}-wanted"), key, words), f"{name}-sets")
+    return materialize(pairs.join(side("u"), "u").join(side("v"), "v").where(same >= matches).select("u", "v"), name)
+
+
+def _proven(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full sets are similar enough."""
     full = (near.join(sets.select(F.col("node").alias("v"), F.col("set").alias("b")), "v")
             .join(sets.select(F.col("node").alias("u"), F.col("set").alias("a")), "u"))
     shared = F.size(F.array_intersect("a", "b"))
     return full.where(100 * shared >= percent * (F.size("a") + F.size("b") - shared)).select("u", "v")
 
 
+def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, words: int, name: str) -> DataFrame:
+    ids = wanted.distinct().join(nodes.select("node", "doc"), "node").select(F.col("doc").alias(key), "node")
+    return materialize(sets_of(docs, materialize(ids, f"{name}-wanted"), key, words), f"{name}-sets")
+
+
+def _star(posted: DataFrame, order: str) -> DataFrame:
+    """(u, v): each node v and, of the first nodes of its lists that have another
+    root, the one it meets most often: at most one pair per node."""
+    first = posted.groupBy("token").agg(F.max(F.struct(order, "node", "root")).alias("u"))
+    return (posted.join(first, "token").where("root <> u.root").groupBy("node", "u.node")
+            .agg(F.count("*").alias("c")).toDF("v", "u", "c")
+            .groupBy("v").agg(F.max(F.struct("c", "u")).alias("best")).select("best.u", "v"))
+
+
+def _mixed(posted: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings with the node's size and root, of lists that have several roots."""
+    labelled = (posted.join(nodes.select("node", "n"), "node")
+                .join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
+                .withColumn("root", F.coalesce("root", "node")))
+    several = (labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+               .where("a <> b").select("token"))
+    return labelled.join(several, "token", "left_semi")
+
+
+def _shared(sets: DataFrame, mixed: DataFrame, percent: int) -> DataFrame:
+    """(node, most, alive): those of a node's shingles that occur under another root,
+    and their number; no link across roots shares others. Nodes with too few for
+    any link are left out."""
+    root = mixed.select("node", F.xxhash64("root").alias("r")).distinct()
+    rows = sets.join(root, "node").select("node", "r", F.explode("set").alias("shingle"))
+    across = rows.groupBy("shingle").agg(F.min("r").alias("a"), F.max("r").alias("b")).where("a <> b").select("shingle")
+    most = rows.join(across, "shingle").groupBy("node").agg(F.collect_list("shingle").alias("alive"))
+    return (most.join(mixed.select("node", "n").distinct(), "node").withColumn("most", F.size("alive").cast("long"))
+            .where(100 * F.col("most") >= percent * F.col("n")).select("node", "most", "alive"))
+
+
+def _pivots(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, pivot, inside): the best shared node of the lists a node is in, and
+    how many of its ``alive`` shingles that one has. Two nodes of the same pivot
+    share at most the lesser ``inside`` plus the lesser rest."""
+    rated = left.withColumn("rank", F.col("most") / F.col("n"))
+    first = rated.groupBy("token").agg(F.max(F.struct("rank", "node")).alias("p"))
+    pivot = (left.select("token", "node").join(first, "token").groupBy("node", "p.node").agg(F.count("*").alias("c"))
+             .toDF("node", "pivot", "c").groupBy("node").agg(F.max(F.struct("c", "pivot")).alias("best"))
+             .select("node", "best.pivot"))
+    return (left.select("node", "alive").dropDuplicates(["node"]).join(pivot, "node")
+            .join(sets.select(F.col("node").alias("pivot"), "set"), "pivot")
+            .select("node", "pivot", F.size(F.array_intersect("alive", "set")).cast("long").alias("inside")))
+
+
 def _prefixes(nodes: DataFrame, matches: int) -> DataFrame:
-    """(token, node, n): the rarest shared signature values of every node that has
+    """(token, node, live): the rarest shared signature values of every node that has
     at least ``matches`` of them; so many that partners must meet in one."""
     tokens = nodes.select("node", F.posexplode("sig").alias("at", "value")).select(
         "node", F.expr("at * 4294967296L + value").alias("token"))
@@ -147,8 +198,9 @@ def _prefixes(nodes: DataFrame, matches: int) -> DataFrame:
     own = (tokens.join(common, "token").groupBy("node")
            .agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("own"))
            .where(F.size("own") >= matches))
-    return own.select("node", F.explode(F.slice("own", 1, F.size("own") - (matches - 1))).alias("o")) \
-              .select("o.token", "node")
+    return own.select("node", F.size("own").alias("live"),
+                      F.explode(F.slice("own", 1, F.size("own") - (matches - 1))).alias("o")) \
+              .select("o.token", "node", "live")
 
 
 def link(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int = PERCENT,
@@ -160,27 +212,34 @@ def link(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int
                              F.first("n_shingles").alias("n")), "op4-nodes")
     posted = materialize(_prefixes(nodes, matches), "op4-posted")
 
-    # Each node and the smallest node of its lists that it meets most often.
-    first = posted.groupBy("token").agg(F.min("node").alias("u"))
-    star = (posted.join(first, "token").where("node <> u").groupBy("node", "u").agg(F.count("*").alias("c"))
-            .groupBy("node").agg(F.max(F.struct("c", "u")).alias("best")).select("best.u", F.col("node").alias("v")))
-    links = materialize(_confirm(star, nodes, docs, key, words, matches, percent, "op4-star"), "op4-links")
+    # Each node and the node of its lists with the most shared values.
+    near = _agreeing(_star(posted.withColumn("root", F.col("node")), "live"), nodes, matches, "op4-star")
+    ends = near.select(F.col("u").alias("node")).unionAll(near.select(F.col("v").alias("node")))
+    links = materialize(_proven(near, _sets(ends, nodes, docs, key, words, "op4-star"), percent), "op4-links")
     roots = components(links, "op4-roots")
 
-    # Nodes of different components that share a posting.
-    labelled = (posted.join(nodes.select("node", "n"), "node")
-                .join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-                .select("token", "node", "n", F.coalesce("root", "node").alias("root")))
-    labelled = materialize(labelled, "op4-labelled")
-    mixed = labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("token")
-    left = labelled.join(mixed, "token", "left_semi")
-    x = left.select("token", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("root").alias("ru"))
-    y = left.select("token", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("root").alias("rv"))
-    apart = (x.join(y, "token").where("ru < rv")
-             .where((100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")))
-             .select("u", "v").distinct())
-    more = _confirm(apart, nodes, docs, key, words, matches, percent, "op4-apart")
-    roots = components(roots.unionAll(more), "op4-all")
+    # Lists with several components: the same again among nodes that share enough
+    # shingles across components, then every pair that is still apart.
+    mixed = materialize(_mixed(posted, nodes, roots), "op4-mixed")
+    sets = _sets(mixed.select("node"), nodes, docs, key, words, "op4-mixed")
+    able = materialize(_shared(sets, mixed, percent), "op4-able")
+    star = _star(mixed.join(able.drop("alive"), "node").withColumn("rank", F.col("most") / F.col("n")), "rank")
+    links = _proven(_agreeing(star, nodes, matches, "op4-again"), sets, percent)
+    roots = components(roots.unionAll(links), "op4-roots")
+
+    mixed = materialize(_mixed(posted.join(able.select("node"), "node", "left_semi"), nodes, roots), "op4-mixed")
+    able = materialize(_shared(sets.join(able.select("node"), "node", "left_semi"), mixed, percent), "op4-able")
+    pivots = _pivots(mixed.join(able, "node"), sets)
+    left = materialize(mixed.join(able.drop("alive"), "node").join(pivots, "node"), "op4-left")
+    side = lambda c: left.select("token", *[F.col(x).alias(x + c) for x in ("node", "n", "root", "most", "pivot", "inside")])
+    lesser = lambda c: F.least(F.col(c + "_u"), F.col(c + "_v"))
+    rest = F.least(F.col("most_u") - F.col("inside_u"), F.col("most_v") - F.col("inside_v"))
+    bound = F.when(F.col("pivot_u") == F.col("pivot_v"), F.least(lesser("most"), lesser("inside") + rest)).otherwise(lesser("most"))
+    apart = (side("_u").join(side("_v"), "token").where("root_u < root_v")
+             .where((100 + percent) * bound >= percent * (F.col("n_u") + F.col("n_v")))
+             .select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct())
+    links = _proven(_agreeing(apart, nodes, matches, "op4-apart"), sets, percent)
+    roots = components(roots.unionAll(links), "op4-roots")
 
     rooted = (nodes.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
               .select("node", "doc", F.coalesce("root", "node").alias("root")))
