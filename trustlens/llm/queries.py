@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trustlens.llm import decontaminate, neardup, packing, quality, urls
+from trustlens.llm import decontaminate, licenses, neardup, packing, pii, quality, urls
 from trustlens.llm.common import table
 
 
@@ -11,6 +11,11 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark, sf_dir):
+    """Spans of personal data in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark, sf_dir):
     """Benchmark words and items found in every document."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -21,6 +26,11 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark, sf_dir):
+    """Licences that a document, its paragraphs or its lines state."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark, sf_dir):
     """Counts and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -31,8 +41,9 @@ def op9_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_benchmark_decontamination, op4_minhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op7_license_scan,
                                    op8_quality_rules, op9_url_filter)}
 ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
            "op4_minhash_near_dedup": neardup.ORACLE,
+           "op7_license_scan": licenses.ORACLE,
            "op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE}
