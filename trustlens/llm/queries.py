@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trustlens.llm import decontaminate, licenses, neardup, packing, pii, quality, urls
+from trustlens.llm import decontaminate, extract, licenses, linedup, neardup, packing, pii, quality, urls
 from trustlens.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark, sf_dir):
+    """Lines of every document that repeat or nearly repeat an earlier one."""
+    return linedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark, sf_dir):
     """Licences that a document, its paragraphs or its lines state."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -41,8 +46,13 @@ def op9_url_filter(spark, sf_dir):
     return urls.judge_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op7_license_scan,
-                                   op8_quality_rules, op9_url_filter)}
+def op10_html_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op6_line_dedup, op7_license_scan,
+                                   op8_quality_rules, op9_url_filter, op10_html_extraction)}
 ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
            "op4_minhash_near_dedup": neardup.ORACLE,
            "op7_license_scan": licenses.ORACLE,
