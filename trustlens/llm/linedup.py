@@ -20,6 +20,7 @@ went becomes empty.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,47 +35,70 @@ SEEN_LINES = 200_000      # lines a task remembers to post them once
 
 
 def lines_of(text: str | None) -> list[str]:
-    return [" ".join(x.split()) for x in text.split("\n")] if text else []
-
-
-def segments(length: int, errors: int = ERRORS) -> list[tuple[int, int]]:
-    """(start, length) of the segments of a line of this length."""
-    parts = errors + 1
-    short, longer = length // parts, length % parts
-    out, at = [], 0
-    for i in range(parts):
-        n = short + (i >= parts - longer)
-        out.append((at, n))
-        at += n
-    return out
-
-
-def index_keys(line: str, errors: int = ERRORS):
-    import xxhash
-    for i, (p, n) in enumerate(segments(len(line), errors)):
-        yield xxhash.xxh3_64_intdigest(line[p:p + n].encode(), len(line) * (errors + 1) + i)
-
-
-def probe_keys(line: str, errors: int = ERRORS):
-    """Keys of the segments that a line of the same or a lesser length may share:
-    with i errors at most before a segment and the rest after it."""
-    import xxhash
-    size = len(line)
-    for length in range(max(size - errors, 1), size + 1):
-        gap = size - length
-        for i, (p, n) in enumerate(segments(length, errors)):
+    """Lines without outer blanks, runs of blanks and tabs inside as one blank."""
+    if not text:
+        return []
+    return [x.strip(" \r") if "  " not in x and "\t" not in x else " ".join(x.replace("\t", " ").strip(" \r").split())
+            for x in text.split("\n")]
+
+
+def index_places(size: np.ndarray, errors: int = ERRORS):
+    """(length, segment, start, chars) of each segment of lines of these sizes."""
+    short, longer = size // (errors + 1), size % (errors + 1)
+    for i in range(errors + 1):
+        extra = np.maximum(0, i - (errors + 1 - longer))  # longer segments before this one
+        yield size, i, i * short + extra, short + (i >= errors + 1 - longer)
+
+
+def probe_places(size: np.ndarray, errors: int = ERRORS):
+    """The same of each substring that could equal a segment of a line of the same or
+    a lesser length: with i errors at most before a segment and the rest after it."""
+    for gap in range(errors + 1):
+        for length, i, p, n in index_places(size - gap, errors):
             after = errors - i
-            for s in range(max(0, p - i, p + gap - after), min(size - n, p + i, p + gap + after) + 1):
-                yield xxhash.xxh3_64_intdigest(line[s:s + n].encode(), length * (errors + 1) + i)
+            for s in range(max(-i, gap - after), min(i, gap + after) + 1):
+                yield length, i, p + s, n
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2**64, and of its inverse."""
+    up, down = np.full(n, _ODD), np.full(n, np.uint64(pow(int(_ODD), -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
+def tokens(lines: list[str], places, errors: int = ERRORS) -> tuple[np.ndarray, np.ndarray]:
+    """(line, token): which line, and the 64-bit hash of length, segment and substring
+    of each of its places. Lines must be longer than ``errors``."""
+    size = np.array([len(x) for x in lines], np.int64)
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    up, down = _powers(len(chars) + 1)
+    before = np.zeros(len(chars) + 1, np.uint64)
+    np.cumsum((chars + np.uint64(1)) * up[:-1], out=before[1:])
+    first = np.cumsum(size) - size
+    at, got = [], []
+    for length, i, start, n in places(size, errors):
+        ok = np.flatnonzero((start >= 0) & (start + n <= size) & (length > errors) & (n > 0))
+        s = first[ok] + start[ok]
+        h = (before[s + n[ok]] - before[s]) * down[s]
+        h ^= (length[ok] * (errors + 1) + i).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ h >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9)
+        at.append(ok)
+        got.append(h ^ h >> np.uint64(29))
+    return np.concatenate(at), np.concatenate(got)
+
+
+_CLASS = bytes(b % 10 for b in range(256))
 
 
 def bag(line: str) -> int:
-    """Eight counts of characters (at most 127 each), as one integer: an edit changes
-    their sum of differences by two at most."""
-    counts = [0] * 8
-    for c, n in ((c, line.count(c)) for c in set(line)):
-        counts[(ord(c) * 0x9E3779B1 >> 16) & 7] += n
-    return sum(min(n, 127) << 8 * i for i, n in enumerate(counts))
+    """Ten counts of characters modulo 64 as one integer; an edit changes the sum of
+    their (circular) differences by two at most."""
+    c = line.encode("latin-1", "replace").translate(_CLASS)
+    return sum((c.count(i) & 63) << 6 * i for i in range(10))
 
 
 def within(a: str, b: str, errors: int = ERRORS) -> bool:
@@ -106,54 +130,57 @@ def _source(docs: DataFrame, key: str) -> DataFrame:
 
 
 def line_table(docs: DataFrame, key: str = "doc_id", least: int = MIN_CHARS) -> DataFrame:
-    """key, place, line (128-bit digest) of every judged line; n_lines on place 0 or
-    null lines where a row has none to judge."""
+    """key, place, line (128-bit digest) and id (64-bit hash) of every judged line."""
     src = _source(docs, key)
 
     def run(batches):
         import xxhash
         for batch in batches:
-            at, place, digest = [], [], []
+            at, place, digest, ids = [], [], [], []
             for i, t in enumerate(batch["text"]):
                 for n, x in enumerate(lines_of(t.as_py())):
                     if len(x) >= least:
                         at.append(i)
                         place.append(n)
-                        digest.append(xxhash.xxh3_128_digest(x.encode()))
+                        raw = x.encode()
+                        digest.append(xxhash.xxh3_128_digest(raw))
+                        ids.append(xxhash.xxh3_64_intdigest(raw))
             yield pa.RecordBatch.from_arrays([batch[key].take(pa.array(at, pa.int64())), pa.array(place, pa.int32()),
-                                              pa.array(digest, pa.binary())], names=[key, "place", "line"])
+                                              pa.array(digest, pa.binary()), pa.array(ids, pa.uint64()).view(pa.int64())],
+                                             names=[key, "place", "line", "id"])
 
-    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, place int, line binary")
+    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, place int, line binary, id long")
 
 
-def postings(docs: DataFrame, keys, key: str, errors: int, least: int) -> DataFrame:
-    """token, line, bag under each of ``keys`` of every judged line, once a task."""
+def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> DataFrame:
+    """token, id, bag at each of ``places`` of every judged line, once a task. id is a
+    64-bit hash of the line; lines that share one are told apart when verified."""
     src = _source(docs, key)
 
     def run(batches):
         import xxhash
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
-            token, line, bags = [], [], []
+            lines, ids = [], []
             for t in batch["text"]:
                 for x in lines_of(t.as_py()):
                     if len(x) < least:
                         continue
-                    d = xxhash.xxh3_128_digest(x.encode())
-                    if d in seen:
-                        continue
-                    if len(seen) >= SEEN_LINES:
-                        seen.clear()
-                    seen.add(d)
-                    own = set(keys(x, errors))
-                    token += own
-                    line += [d] * len(own)
-                    bags += [bag(x)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(token, pa.uint64()).view(pa.int64()), pa.array(line, pa.binary()),
-                                              pa.array(bags, pa.int64())], names=["token", "line", "bag"])
-
-    rows = src.mapInArrow(run, "token long, line binary, bag long")
-    return rows.repartition("token").dropDuplicates(["token", "line"])
+                    d = xxhash.xxh3_64_intdigest(x.encode())
+                    if d not in seen:
+                        if len(seen) >= SEEN_LINES:
+                            seen.clear()
+                        seen.add(d)
+                        lines.append(x)
+                        ids.append(d)
+            if lines:
+                at, token = tokens(lines, places, errors)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(token.view(np.int64)), pa.array(np.array(ids, np.uint64).view(np.int64)[at]),
+                     pa.array(np.array([bag(x) for x in lines], np.int64)[at])], names=["token", "id", "bag"])
+
+    rows = src.mapInArrow(run, "token long, id long, bag long")
+    return rows.repartition("token").dropDuplicates(["token", "id"])
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
@@ -179,16 +206,19 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
 def _links(docs: DataFrame, nodes: DataFrame, key: str, errors: int, least: int) -> DataFrame:
     """(u, v): pairs of different lines within the edit distance."""
     spread = F.lit(0)
-    for i in range(8):
-        part = lambda c, i=i: F.shiftright(c, 8 * i).bitwiseAND(F.lit(127))
-        spread = spread + F.abs(part("bag") - part("bag2"))
-    index = postings(docs, index_keys, key, errors, least)
-    probe = postings(docs, probe_keys, key, errors, least).select("token", F.col("line").alias("line2"), F.col("bag").alias("bag2"))
-    pairs = (index.join(probe, "token").where((F.col("line") != F.col("line2")) & (spread <= 2 * errors))
-             .select(F.least("line", "line2").alias("u"), F.greatest("line", "line2").alias("v")).distinct())
+    for i in range(10):
+        part = F.shiftright(F.col("bag"), 6 * i).bitwiseAND(F.lit(63)) - F.shiftright(F.col("bag2"), 6 * i).bitwiseAND(F.lit(63))
+        spread = spread + F.least(F.abs(part), 64 - F.abs(part))
+    index = postings(docs, index_places, key, errors, least)
+    probe = postings(docs, probe_places, key, errors, least).select("token", F.col("id").alias("id2"), F.col("bag").alias("bag2"))
+    pairs = (index.join(probe, "token").where((F.col("id") != F.col("id2")) & (spread <= 2 * errors))
+             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
     pairs = materialize(pairs, "op6-pairs")
-    ends = pairs.select(F.col("u").alias("line")).unionAll(pairs.select(F.col("v").alias("line"))).distinct()
-    wanted = ends.join(nodes, "line").select(F.col("first")[key].alias(key), F.col("first.place").alias("place"), "line")
+    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    named = materialize(nodes.join(ends, "id").select("id", "line", "first"), "op6-named")
+    wanted = named.select(F.col("first")[key].alias(key), F.col("first.place").alias("place"), "line")
+    pairs = (pairs.join(named.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
+             .join(named.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").select("u", "v"))
     texts = materialize(_texts(docs, wanted, key), "op6-texts")
     full = (pairs.join(texts.select(F.col("line").alias("u"), F.col("x").alias("a")), "u")
             .join(texts.select(F.col("line").alias("v"), F.col("x").alias("b")), "v"))
@@ -204,7 +234,7 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, errors: int, least: int)
 def repeats(docs: DataFrame, key: str = "doc_id", errors: int = ERRORS, least: int = MIN_CHARS) -> DataFrame:
     """key, places: the judged lines of a row that are not the first of their class."""
     lines = materialize(line_table(docs, key, least), "op6-lines")
-    nodes = materialize(lines.groupBy("line").agg(F.min(F.struct(key, "place")).alias("first"), F.count("*").alias("n")), "op6-nodes")
+    nodes = materialize(lines.groupBy("line").agg(F.min(F.struct(key, "place")).alias("first"), F.first("id").alias("id"), F.count("*").alias("n")), "op6-nodes")
     roots = components(_links(docs, nodes, key, errors, least), "op6-roots")
     rooted = (nodes.join(roots.select(F.col("u").alias("line"), F.col("v").alias("root")), "line", "left")
               .withColumn("root", F.coalesce("root", "line")))

@@ -230,13 +230,16 @@ def link(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int
     mixed = materialize(_mixed(posted.join(able.select("node"), "node", "left_semi"), nodes, roots), "op4-mixed")
     able = materialize(_shared(sets.join(able.select("node"), "node", "left_semi"), mixed, percent), "op4-able")
     pivots = _pivots(mixed.join(able, "node"), sets)
-    left = materialize(mixed.join(able.drop("alive"), "node").join(pivots, "node"), "op4-left")
-    side = lambda c: left.select("token", *[F.col(x).alias(x + c) for x in ("node", "n", "root", "most", "pivot", "inside")])
+    left = mixed.join(able.drop("alive"), "node").join(pivots, "node")
+    left = left.join(left.groupBy("node").agg(F.collect_set("token").alias("tokens")), "node")
+    left = materialize(left, "op4-left")
+    side = lambda c: left.select("token", *[F.col(x).alias(x + c) for x in ("node", "n", "root", "most", "pivot", "inside", "tokens")])
     lesser = lambda c: F.least(F.col(c + "_u"), F.col(c + "_v"))
     rest = F.least(F.col("most_u") - F.col("inside_u"), F.col("most_v") - F.col("inside_v"))
     bound = F.when(F.col("pivot_u") == F.col("pivot_v"), F.least(lesser("most"), lesser("inside") + rest)).otherwise(lesser("most"))
     apart = (side("_u").join(side("_v"), "token").where("root_u < root_v")
              .where((100 + percent) * bound >= percent * (F.col("n_u") + F.col("n_v")))
+             .where(F.array_min(F.array_intersect("tokens_u", "tokens_v")) == F.col("token"))  # each pair once
              .select(F.col("node_u").alias("u"), F.col("node_v").alias("v")).distinct())
     links = _proven(_agreeing(apart, nodes, matches, "op4-apart"), sets, percent)
     roots = components(roots.unionAll(links), "op4-roots")

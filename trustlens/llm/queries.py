@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trustlens.llm import decontaminate, extract, licenses, linedup, neardup, packing, pii, quality, urls
+from trustlens.llm import decontaminate, extract, licenses, linedup, neardup, packing, pii, quality, repeats, urls
 from trustlens.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return neardup.link(table(spark, sf_dir, "documents"))
 
 
+def op5_repeated_bytes(spark, sf_dir):
+    """Bytes of every document that lie in a 200-byte string occurring elsewhere."""
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark, sf_dir):
     """Lines of every document that repeat or nearly repeat an earlier one."""
     return linedup.report(table(spark, sf_dir, "documents"))
@@ -51,8 +56,9 @@ def op10_html_extraction(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op6_line_dedup, op7_license_scan,
-                                   op8_quality_rules, op9_url_filter, op10_html_extraction)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_repeated_bytes,
+    op6_line_dedup, op7_license_scan, op8_quality_rules, op9_url_filter, op10_html_extraction)}
 ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
            "op4_minhash_near_dedup": neardup.ORACLE,
            "op7_license_scan": licenses.ORACLE,
