@@ -63,21 +63,30 @@ def probe_places(size: np.ndarray, errors: int = ERRORS):
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2**64, and of its inverse."""
-    up, down = np.full(n, _ODD), np.full(n, np.uint64(pow(int(_ODD), -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+class Powers:
+    """Powers of an odd number modulo 2**64, and of its inverse, as many as asked for."""
 
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
 
-def tokens(lines: list[str], places, errors: int = ERRORS) -> tuple[np.ndarray, np.ndarray]:
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            up, down = np.full(2 * n, _ODD), np.full(2 * n, np.uint64(pow(int(_ODD), -1, 1 << 64)))
+            up[0] = down[0] = 1
+            self.up, self.down = np.multiply.accumulate(up), np.multiply.accumulate(down)
+        return self.up, self.down
+
+
+def tokens(lines: list[str], places, errors: int = ERRORS, powers: Powers | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(line, token): which line, and the 64-bit hash of length, segment and substring
     of each of its places. Lines must be longer than ``errors``."""
     size = np.array([len(x) for x in lines], np.int64)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    up, down = _powers(len(chars) + 1)
+    up, down = (powers or Powers())(len(chars) + 1)
     before = np.zeros(len(chars) + 1, np.uint64)
-    np.cumsum((chars + np.uint64(1)) * up[:-1], out=before[1:])
+    chars += np.uint64(1)
+    chars *= up[:len(chars)]
+    np.cumsum(chars, out=before[1:])
     first = np.cumsum(size) - size
     at, got = [], []
     for length, i, start, n in places(size, errors):
@@ -91,14 +100,15 @@ def tokens(lines: list[str], places, errors: int = ERRORS) -> tuple[np.ndarray,
     return np.concatenate(at), np.concatenate(got)
 
 
-_CLASS = bytes(b % 10 for b in range(256))
-
-
-def bag(line: str) -> int:
-    """Ten counts of characters modulo 64 as one integer; an edit changes the sum of
-    their (circular) differences by two at most."""
-    c = line.encode("latin-1", "replace").translate(_CLASS)
-    return sum((c.count(i) & 63) << 6 * i for i in range(10))
+def bags(lines: list[str]) -> np.ndarray:
+    """Of each line, ten counts of characters modulo 64 as one integer; an edit changes
+    the sum of their (circular) differences by two at most."""
+    size = np.array([len(x) for x in lines], np.int64)
+    kind = np.frombuffer("".join(lines).encode("latin-1", "replace"), np.uint8) % np.uint8(10)
+    place = np.repeat(np.arange(len(lines), dtype=np.int32) * np.int32(10), size)
+    place += kind
+    counts = np.bincount(place, minlength=10 * len(lines)).reshape(-1, 10) & 63
+    return (counts << 6 * np.arange(10)).sum(axis=1)
 
 
 def within(a: str, b: str, errors: int = ERRORS) -> bool:
@@ -160,6 +170,7 @@ def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> Data
     def run(batches):
         import xxhash
         seen: set[int] = set()
+        powers = Powers()
         for batch in batches:
             lines, ids = [], []
             for t in batch["text"]:
@@ -174,10 +185,10 @@ def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> Data
                         lines.append(x)
                         ids.append(d)
             if lines:
-                at, token = tokens(lines, places, errors)
+                at, token = tokens(lines, places, errors, powers)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(token.view(np.int64)), pa.array(np.array(ids, np.uint64).view(np.int64)[at]),
-                     pa.array(np.array([bag(x) for x in lines], np.int64)[at])], names=["token", "id", "bag"])
+                     pa.array(bags(lines)[at])], names=["token", "id", "bag"])
 
     rows = src.mapInArrow(run, "token long, id long, bag long")
     return rows.repartition("token").dropDuplicates(["token", "id"])

@@ -34,7 +34,8 @@ from trustlens.session import materialize
 
 LENGTH, GRAM = 200, 48
 HOT = 20_000                     # most reads of a gram that meet in one task
-BROADCAST_PLACES = 10_000_000    # most places sent to every executor; beyond, a shuffle join
+BROADCAST_PLACES = 8_000_000     # most places (of four bytes) sent to every executor; beyond, a shuffle join
+BROADCAST_SPANS = 1_000_000      # the same for merged spans
 BATCH_READS = 20_000             # reads of whole grams whose order is built at once
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -220,7 +221,7 @@ def _count(reads: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def spans(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """row, spans: sorted doubled byte ranges of every document that has some."""
+    """row, spans: sorted, merged doubled byte ranges of every document that has some."""
     src = _docs(docs, key)
     found = materialize(_anchor_table(src, length, gram), "op5-anchors")
     often = found.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
@@ -230,7 +231,11 @@ def spans(docs: DataFrame, key: str = "doc_id", length: int = LENGTH, gram: int
     several = _compare(reads, length, gram)
     if often.where(F.col("n") > hot).limit(1).count():
         several = several.unionAll(_count(reads, length, gram))
-    return several.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
+    sorted_ = several.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("spans"))
+    last = lambda a: F.element_at(a, -1)
+    return sorted_.select("row", F.aggregate("spans", F.slice("spans", 1, 1), lambda a, x: F.when(
+        x.s <= last(a).e, F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(
+            last(a).s.alias("s"), F.greatest(last(a).e, x.e).alias("e"))))).otherwise(F.array_append(a, x))).alias("spans"))
 
 
 def _merged(spans_) -> list[tuple[int, int]]:
@@ -248,7 +253,7 @@ def report(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
     gone = materialize(spans(docs, key, **parameters), "op5-spans")
     places = gone.agg(F.sum(F.size("spans"))).first()[0] or 0
     src = _docs(docs, key)
-    joined = src.join(F.broadcast(gone) if places <= BROADCAST_PLACES else gone, "row", "left").select(key, "text", "spans")
+    joined = src.join(F.broadcast(gone) if places <= BROADCAST_SPANS else gone, "row", "left").select(key, "text", "spans")
 
     def run(batches):
         for batch in batches:
