@@ -174,6 +174,10 @@ def predict_hybrid_nb(model: HybridNBModel, df: DataFrame, id_col: str = "review
     from trustlens.operators import vectorize as V
     long = V.tfidf(df, model.vocab, id_col)
     text = score_multinomial_nb(long, model.log_prob, model.priors, df, id_col)
-    scaled = V.scale(df, model.scaler, model.cols)
+    # The features themselves are needed later (overrides test the raw score): they
+    # are put back after the scaled ones have been scored.
+    raw = F.struct(*[F.col(c) for c in model.cols]).alias("__features")
+    scaled = V.scale(df.select("*", raw), model.scaler, model.cols)
     num = score_gaussian_nb(scaled, model.gauss, model.cols)
+    num = num.withColumns({c: F.col(f"__features.{c}") for c in model.cols}).drop("__features")
     return num.join(text, id_col, "inner").withColumns(hybrid_columns(model.text_w, model.num_w))

@@ -46,8 +46,12 @@ def hash_rank(df: DataFrame, partition_cols: list[str], key: Column, tiebreak: l
         Window.unboundedPreceding, Window.currentRow)
     offsets = counts.withColumn("_offset", F.sum("_n").over(w_off) - F.col("_n")).drop("_n")
     w_in = Window.partitionBy(*pcols, "_bucket").orderBy("_key", *tiebreak)
-    joined = df.join(offsets, pcols + ["_bucket"], "inner") if pcols else \
-        df.join(offsets, ["_bucket"], "inner")
+    # null-safe: rows whose partition column is null are a group of their own
+    on = F.lit(True)
+    for c in [*pcols, "_bucket"]:
+        offsets = offsets.withColumnRenamed(c, f"_o_{c}")
+        on = on & df[c].eqNullSafe(offsets[f"_o_{c}"])
+    joined = df.join(offsets, on, "inner").drop(*[f"_o_{c}" for c in [*pcols, "_bucket"]])
     return (joined.withColumn(out, F.col("_offset") + F.row_number().over(w_in))
                   .drop("_offset", "_bucket"))
 
@@ -231,7 +235,8 @@ def split_stratified(df: DataFrame, label: str = "label", frac: float = 0.8,
     r = hash_rank(df, [label], hash_key(seed, "stratified", *id_cols), list(id_cols))
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     n_test = F.round(F.col("_n") * F.lit(1.0 - frac)).cast("long")
-    return (r.join(sizes, label, "inner")
+    sizes = sizes.withColumnRenamed(label, "_class")
+    return (r.join(sizes, r[label].eqNullSafe(sizes["_class"]), "inner").drop("_class")
              .withColumn("set", F.when(F.col("rank") <= n_test, F.lit("test")).otherwise(F.lit("train")))
              .drop("_key", "_n"))
 

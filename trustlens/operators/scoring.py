@@ -73,20 +73,24 @@ def score_reviews_nb(raw: DataFrame, model, text_col: str = "text",
     """K1 + K4 + K6: NB scoring of a raw review table."""
     from trustlens.operators.bayes import predict_hybrid_nb
     from trustlens.session import ensure_checkpoint_dir
-    valid, blank = split_blank(raw, text_col)
     # the text and the numeric half both read the feature table: build it once
     # and cut its lineage (written to the shared checkpoint folder)
     ensure_checkpoint_dir(raw.sparkSession)
     from trustlens.session import materialize
-    feats = materialize(V.with_tokens(build_features(valid)), "score_features")
+    # a text is blank if nothing is left of it after preprocessing; the input's own
+    # columns travel in one struct and come out unchanged
+    feats = build_features(raw.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns])))
+    feats = materialize(V.with_tokens(feats), "score_features")
+    valid, blank = split_blank(feats, "text_preprocessed")
+    feats = valid
     p = predict_hybrid_nb(model, feats)
     p = p.withColumns({
         "predicted_label": _label(F.col("y_pred")),
         "confidence": F.greatest("prob_fake", "prob_real"),
     })
     p = override_gibberish(p, threshold)
-    keep = raw.columns + ["predicted_label", "confidence", "prob_fake", "prob_real",
-                          "tq_gibberish_score", "overridden"]
+    keep = ["__raw.*", "predicted_label", "confidence", "prob_fake", "prob_real",
+            "tq_gibberish_score", "overridden"]
     b = blank_rule(blank).withColumn("tq_gibberish_score", F.lit(0.0))
     return p.select(*keep).unionByName(b.select(*keep))
 
@@ -102,8 +106,9 @@ def score_reviews_svm(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
     """K2 + K4 + K6: SVM scoring; overridden / blank rows get
     ``decision_score = override_score`` (+1.0: FAKE is the positive side)."""
     from trustlens.operators.svm import score_svm
-    valid, blank = split_blank(raw, text_col)
-    feats = V.with_tokens(build_features(valid))
+    feats = build_features(raw.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns])))
+    valid, blank = split_blank(feats, "text_preprocessed")
+    feats = V.with_tokens(valid)
     feats = V.scale(feats, scaler, cols, suffix="__s")
     feats = V.tfidf_vector(feats, vocab)
     feats = V.assemble(feats, ["text_features"] + [f"{c}__s" for c in cols])
@@ -111,7 +116,7 @@ def score_reviews_svm(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
     p = p.withColumns({"predicted_label": _label(F.col("y_pred")), "confidence": svm_confidence()})
     p = override_gibberish(p, threshold, with_probs=False, decision="decision_score",
                            override_score=override_score)
-    keep = raw.columns + ["predicted_label", "confidence", "decision_score", "overridden"]
+    keep = ["__raw.*", "predicted_label", "confidence", "decision_score", "overridden"]
     b = blank_rule(blank, with_probs=False, decision="decision_score", override_score=override_score)
     return p.select(*keep).unionByName(b.select(*keep))
 
