@@ -100,7 +100,9 @@ def same_day_count(df: DataFrame, ts_col: str, null_day_count: int = 0,
     trainers).
     """
     df = df.withColumn(day_col, F.to_date(F.col(ts_col)))
-    counts = day_counts(df, day_col)
+    # One row per calendar day: a century is under 40,000 rows, so the side to send has
+    # a fixed bound and the review table with its texts is not shuffled on the day.
+    counts = F.broadcast(day_counts(df, day_col))
     return (df.join(counts, day_col, "left")
               .withColumn("same_day_count",
                           F.when(F.col(day_col).isNull(), F.lit(null_day_count))

@@ -46,13 +46,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors of {master} share")
         current = tempfile.mkdtemp(prefix="trustlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
-    try:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - sessions without a SparkContext use the conf
-        pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(current)
     return current
 
 
