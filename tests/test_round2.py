@@ -29,3 +29,79 @@ def test_nb_predictions_keep_the_raw_features(spark):
     df = spark.createDataFrame(rows, "review_id long, tokens array<string>, score double, y int")
     got = predict_hybrid_nb(fit_hybrid_nb(df, ["score"], k=10), df)
     assert sorted(r["score"] for r in got.select(F.col("score")).collect()) == [float(i) for i in range(8)]
+
+
+def test_balancing_keeps_the_middle_class(spark):
+    labels = ["a"] * 9 + ["b"] * 5 + ["c"] * 3 + [None]
+    df = spark.createDataFrame(list(enumerate(labels)), "review_id long, label string")
+    sizes = lambda d: {r["label"]: r["count"] for r in d.groupBy("label").count().collect()}
+    assert sizes(sampling.undersample(df)) == {"a": 3, "b": 5, "c": 3, None: 1}
+    assert sizes(sampling.oversample(df)) == {"a": 9, "b": 5, "c": 9, None: 1}
+    assert sizes(sampling.hybrid_balance(df)) == {"a": 6, "b": 5, "c": 6, None: 1}
+
+
+def test_comparison_gives_the_sizes_of_the_samples(spark):
+    for labels in (["a"] * 9 + ["b"] * 5 + ["c"] * 3 + [None], ["a"] * 4, ["a"] * 3 + ["b"] * 2, []):
+        df = spark.createDataFrame(list(enumerate(labels)), "review_id long, label string")
+        got = {r["dataset"]: r["total"] for r in sampling.balance_comparison(df).collect()}
+        assert got == {"Original": len(labels), "Undersampling": sampling.undersample(df).count(),
+                       "Oversampling": sampling.oversample(df).count(),
+                       "Kombinasi": sampling.hybrid_balance(df).count()}
+
+
+def test_exact_median(spark):
+    import random
+    import statistics
+
+    from trustlens.operators.profiling import exact_median
+    r = random.Random(4)
+    for values in ([], [2.0], [1.0, 4.0], [1.0] * 50 + [0.5] * 50, [r.random() for _ in range(5001)],
+                   [round(r.random(), 1) for _ in range(4000)] + [None] * 9):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        here = [v for v in values if v is not None]
+        assert exact_median(df, "x").first()[0] == (statistics.median(here) if here else None)
+
+
+def test_image_texts(spark):
+    from trustlens.functions.features import parse_image_urls
+    cases = {'"http://x/a,b.jpg"': ["http://x/a,b.jpg"], "('u1', 'u2')": ["u1", "u2"], "('u1',)": ["u1"],
+             "'a,b'": ["a,b"], "(a, b)": ["(a", "b)"], "null": []}
+    df = spark.createDataFrame([(k,) for k in cases], "v string")
+    assert {r.v: r.o for r in df.select("v", parse_image_urls("v").alias("o")).collect()} == cases
+
+
+def test_strict_fives_take_plain_numbers_only(spark):
+    from trustlens.functions.features import detail_all_fives_strict
+    df = spark.createDataFrame([(x,) for x in ("5,5", "5.0;5", "5d", "5f,5", "5e0", "x", None)], "v string")
+    assert [r[0] for r in df.select(detail_all_fives_strict("v")).collect()] == [True, True, False, False, True, False, False]
+
+
+def test_covariance(spark):
+    import numpy as np
+
+    from trustlens.operators.svm import covariance
+    x = np.random.default_rng(3).normal(size=(40, 3))
+    df = spark.createDataFrame(x.tolist(), "a double, b double, c double")
+    got = {(r["col_a"], r["col_b"]): r["covariance"] for r in covariance(df, ["a", "b", "c"]).collect()}
+    want = np.cov(x.T)
+    assert got == {(p, q): round(want[i][j], 6) for i, p in enumerate("abc") for j, q in enumerate("abc") if i <= j}
+
+
+def test_scoring_writes_every_column_and_blanks_follow_preprocessing(spark, tmp_path):
+    from trustlens.functions import lexicons as L
+    from trustlens.operators import vectorize as V
+    from trustlens.operators.bayes import fit_hybrid_nb
+    from trustlens.operators.features import build_features
+    cols = "review_id long, text string, stars string, reviewerNumberOfReviews string, isLocalGuide string, publishedAtDate string, reviewImageUrls string, reviewDetailedRating string, reviewContext string, label string"
+    text = {1: "makanan enak sekali", 2: "tempat kotor sekali", 3: "http://x.co/a", 4: "123 456", 5: None, 6: "bagus enak ramah"}
+    raw = spark.createDataFrame([(i, t, "x" if i == 3 else "5", "3", "True", "2024-01-02T03:04:05.000Z", None, "5,5", None,
+                                  "FAKE" if i % 2 else "REAL") for i, t in text.items()], cols)
+    train = V.with_tokens(build_features(raw)).withColumn("y", F.when(F.col("label") == "FAKE", 1).otherwise(-1))
+    out = scoring.score_reviews_nb(raw, fit_hybrid_nb(train, list(L.NUMERIC_FEATURES)))
+    path = str(tmp_path / "scored")
+    out.write.parquet(path)
+    back = {r["review_id"]: r for r in spark.read.parquet(path).collect()}
+    assert set(back) == set(text) and back[3]["stars"] == "x"
+    assert {i for i, r in back.items() if r["overridden"]} == {3, 4, 5}
+    assert {back[i]["predicted_label"] for i in (3, 4, 5)} == {"FAKE"}
+    assert all(back[i]["confidence"] == 1.0 for i in (3, 4, 5))

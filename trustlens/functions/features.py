@@ -13,14 +13,17 @@ def parse_image_urls(c: Column | str) -> Column:
     """Image list from JSON, a Python-style list, or ', ; |'-separated text.
 
     Order of attempts: a JSON or Python list (single quotes and bare None are
-    made JSON first), a JSON scalar, ',' (unless the text starts with http),
+    made JSON first), a tuple, a quoted string, ',' (unless the text starts with http),
     ';', '|', else the single value. Items are trimmed, one pair of quotes is
     removed and blank / nan / none / null items are dropped.
     """
     s = F.trim(col_of(c).cast("string"))
-    looks_list = s.startswith("[") & s.endswith("]")
-    as_json = F.regexp_replace(F.regexp_replace(s, "'", '"'), r"\bNone\b", "null")
-    parsed = F.coalesce(F.from_json(s, "array<string>"), F.from_json(as_json, "array<string>"))
+    # a tuple is a list in round brackets, a quoted string a list of one
+    listed = F.when(s.rlike(r"^\(.*\)$"), F.concat(F.lit("["), F.regexp_extract(s, r"(?s)^\((.*?),?\s*\)$", 1), F.lit("]"))) \
+              .when(s.rlike(r"""^"([^"\\]|\\.)*"$|^'[^']*'$"""), F.concat(F.lit("["), s, F.lit("]"))).otherwise(s)
+    looks_list = listed.startswith("[") & listed.endswith("]")
+    as_json = F.regexp_replace(F.regexp_replace(listed, "'", '"'), r"\bNone\b", "null")
+    parsed = F.coalesce(F.from_json(listed, "array<string>"), F.from_json(as_json, "array<string>"))
     by_sep = (F.when(s.contains(",") & ~s.startswith("http"), F.split(s, ","))
                .when(s.contains(";"), F.split(s, ";"))
                .when(s.contains("|"), F.split(s, r"\|"))
@@ -82,7 +85,8 @@ def detail_all_fives_strict(c: Column | str) -> Column:
     parts = F.filter(F.transform(F.split(s, ","), lambda p: F.trim(p)), lambda p: p != "")
 
     def is_five(p):
-        x = p.try_cast("double")
+        # 5d and 5f are numbers to Spark only
+        x = F.when(p.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), p.try_cast("double"))
         return F.coalesce((x >= 5.0) & (x < 6.0), F.lit(False))
 
     return F.coalesce((F.size(parts) > 0) & F.forall(parts, is_five), F.lit(False))

@@ -156,16 +156,18 @@ def fit_hybrid_nb(train: DataFrame, cols: list[str], k: int = 1000, alpha: float
     training rows) is the table the vocabulary and scaler are fitted on; pass
     train + test for the reference's behaviour."""
     from trustlens.operators import vectorize as V
+    from trustlens.session import materialize
     base = fit_on if fit_on is not None else train
-    vocab = V.vocabulary(base, k, id_col)
-    scaler = V.fit_scaler(base, cols)
+    # the model's tables are bounded and read by every scoring plan: written once
+    vocab = materialize(V.vocabulary(base, k, id_col), "nb_vocab")
+    scaler = materialize(V.fit_scaler(base, cols), "nb_scaler")
     long = V.tfidf(train, vocab, id_col)
     labels = train.select(id_col, y)
     log_prob = fit_multinomial_nb(long, labels, vocab, alpha, id_col, y)
     priors = class_priors(labels, y)
-    scaled = V.scale(train, scaler, cols)
-    gauss = fit_gaussian_nb(scaled, cols, y)
-    return HybridNBModel(vocab, scaler, log_prob, priors, gauss, cols)
+    priors = materialize(priors, "nb_prior")
+    gauss = materialize(fit_gaussian_nb(V.scale(train, scaler, cols), cols, y), "nb_numeric")
+    return HybridNBModel(vocab, scaler, materialize(log_prob, "nb_text"), priors, gauss, cols)
 
 
 def predict_hybrid_nb(model: HybridNBModel, df: DataFrame, id_col: str = "review_id"

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from trustlens.functions import lexicons as L
 from trustlens.functions import text as T
 
-# Tables above this many entries are joined instead of inlined as literals: a
-# literal map lookup scans its keys.
-LITERAL_TABLE_MAX = 1000
-
 
 def drop_blank(df: DataFrame, col: str = "text") -> DataFrame:
     """Drop rows whose text is null or blank."""

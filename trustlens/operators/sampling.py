@@ -62,21 +62,23 @@ def class_profile(df: DataFrame, label: str = "label") -> DataFrame:
     Ties: the majority is the smallest label among the largest counts, the
     minority the largest label among the smallest counts.
     """
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(
-        F.count(F.lit(1)).alias("n"))
-    ranked = counts.select(
-        label, "n",
-        F.row_number().over(Window.orderBy(F.desc("n"), F.asc(label))).alias("_rmaj"),
-        F.row_number().over(Window.orderBy(F.asc("n"), F.desc(label))).alias("_rmin"),
-    )
-    return ranked.agg(
-        F.max(F.when(F.col("_rmaj") == 1, F.col(label))).alias("majority"),
-        F.max(F.when(F.col("_rmin") == 1, F.col(label))).alias("minority"),
-        F.max(F.when(F.col("_rmaj") == 1, F.col("n"))).alias("majority_count"),
-        F.max(F.when(F.col("_rmin") == 1, F.col("n"))).alias("minority_count"),
-        F.count(F.lit(1)).alias("n_classes"),
-    ).withColumn("imbalance_ratio",
-                 F.round(F.col("majority_count") / F.col("minority_count"), 6))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    return _profile_of(counts, label).drop("total").withColumn(
+        "imbalance_ratio", F.round(F.col("majority_count") / F.col("minority_count"), 6))
+
+
+def _profile_of(counts: DataFrame, label: str) -> DataFrame:
+    """The profile from (label, n); a null label counts in ``total`` only."""
+    s = F.when(F.col(label).isNotNull(), F.struct((-F.col("n")).alias("neg"), F.col(label).alias("label")))
+    return counts.agg(F.min(s).alias("a"), F.max(s).alias("b"), F.count(label).alias("n_classes"),
+                      F.sum("n").alias("total")).select(
+        F.col("a.label").alias("majority"), F.col("b.label").alias("minority"),
+        (-F.col("a.neg")).alias("majority_count"), (-F.col("b.neg")).alias("minority_count"),
+        "n_classes", "total")
+
+
+def _is(label: str, which: str) -> Column:
+    return F.coalesce(F.col(label) == F.col(which), F.lit(False))
 
 
 def _with_profile(df: DataFrame, label: str) -> DataFrame:
@@ -97,12 +99,15 @@ def undersample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
     majority class drawn without replacement (lowest seeded hash first).
 
     ``target='mid'`` draws ``int((majority + minority) / 2)`` instead (H4).
+    Classes between the two, and rows without a label, stay whole.
     """
     r = _with_profile(_ranked(df, label, seed, "undersample", id_col), label)
     n = F.col("minority_count") if target == "minority" else \
         F.floor((F.col("majority_count") + F.col("minority_count")) / 2)
-    keep = ((F.col(label) == F.col("majority")) & (F.col("rank") <= n)) | \
-           ((F.col(label) == F.col("minority")) & F.lit(target == "minority"))
+    others = ~_is(label, "majority")
+    if target != "minority":
+        others = others & ~_is(label, "minority")
+    keep = (_is(label, "majority") & (F.col("rank") <= n)) | others
     return (r.where(keep).withColumn("copy_no", F.lit(0).cast("long"))
              .drop("_key", "rank", "majority", "minority", "majority_count", "minority_count"))
 
@@ -130,11 +135,12 @@ def draw_with_replacement(df: DataFrame, label: str, seed: int, stage: str, id_c
 def oversample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
                id_col: str = "review_id") -> DataFrame:
     """H3: the whole majority class plus ``majority_count`` draws with
-    replacement from the minority class (``copy_no`` = draw number)."""
+    replacement from the minority class (``copy_no`` = draw number). Classes
+    between the two, and rows without a label, stay whole."""
     prof = F.col("majority_count")
     draws = draw_with_replacement(df, label, seed, "oversample", id_col, prof)
     r = _with_profile(df, label)
-    majority = (r.where(F.col(label) == F.col("majority"))
+    majority = (r.where(_is(label, "majority") | ~_is(label, "minority"))
                  .drop("majority", "minority", "majority_count", "minority_count")
                  .withColumn("copy_no", F.lit(0).cast("long")))
     return majority.unionByName(draws)
@@ -152,20 +158,23 @@ def hybrid_balance(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED
 
 def balance_comparison(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
                        id_col: str = "review_id") -> DataFrame:
-    """H5: rows and per-class counts for original / under / over / hybrid."""
-    prof = class_profile(df, label).select("majority", "minority")
-
-    def summary(name: str, part: DataFrame, order: int) -> DataFrame:
-        return (part.crossJoin(F.broadcast(prof)).agg(
-            F.lit(name).alias("dataset"), F.lit(order).alias("ord"),
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.col(label) == F.col("majority")).alias("majority_rows"),
-            F.count_if(F.col(label) == F.col("minority")).alias("minority_rows")))
-
-    return (summary("Original", df, 0)
-            .unionByName(summary("Undersampling", undersample(df, label, seed, id_col), 1))
-            .unionByName(summary("Oversampling", oversample(df, label, seed, id_col), 2))
-            .unionByName(summary("Kombinasi", hybrid_balance(df, label, seed, id_col), 3)))
+    """H5: rows and per-class counts for original / under / over / hybrid.
+
+    The samplers draw exact numbers, so the sizes follow from one count per class.
+    """
+    p = _profile_of(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")), label)
+    big, small, total = (F.coalesce(F.col(c), F.lit(0)) for c in ("majority_count", "minority_count", "total"))
+    mid = F.floor((big + small) / 2)
+    # with a single class, the draws come on top of the rows they are drawn from
+    extra = F.when(F.col("n_classes") == 1, big).otherwise(F.lit(0))
+    sizes = [("Original", total, big, small),
+             ("Undersampling", total - big + small, small, small),
+             ("Oversampling", total - small + big + extra, big + extra, big + extra),
+             ("Kombinasi", total - big - small + 2 * mid + extra, mid + extra, mid + extra)]
+    rows = F.array(*[F.struct(F.lit(name).alias("dataset"), F.lit(i).alias("ord"), n.alias("total"),
+                              j.alias("majority_rows"), k.alias("minority_rows"))
+                     for i, (name, n, j, k) in enumerate(sizes)])
+    return p.select(F.inline(rows))
 
 
 def balance_status(df: DataFrame, label: str = "label") -> DataFrame:

@@ -156,18 +156,23 @@ def restore_order(df: DataFrame, id_col: str = "review_id") -> DataFrame:
 def prediction_summary(df: DataFrame, high: float = 0.8, digits: int = 6) -> DataFrame:
     """K8: one row: rows, FAKE / REAL counts and shares, confidence mean,
     exact median, sample std, count above ``high``, overridden rows."""
+    from trustlens.operators.profiling import exact_median
+    from trustlens.session import materialize
     c = F.col("confidence")
     n = F.count(F.lit(1))
+    # the scored rows are read more than once below: score them once
+    keep = [x for x in ("predicted_label", "confidence", "overridden") if x in df.columns]
+    df = materialize(df.select(*keep), "prediction_summary")
     agg = [
         n.alias("rows"),
         F.count_if(F.col("predicted_label") == "FAKE").alias("n_fake"),
         F.count_if(F.col("predicted_label") == "REAL").alias("n_real"),
         F.round(F.count_if(F.col("predicted_label") == "FAKE") * 100.0 / n, digits).alias("pct_fake"),
         F.round(F.avg(c), digits).alias("confidence_mean"),
-        F.round(F.median(c), digits).alias("confidence_median"),
         F.round(F.stddev_samp(c), digits).alias("confidence_std"),
         F.count_if(c > high).alias("n_high_confidence"),
     ]
     if "overridden" in df.columns:
         agg.append(F.count_if(F.col("overridden")).alias("n_overridden"))
-    return df.agg(*agg)
+    median = exact_median(df, "confidence").select(F.round("median", digits).alias("confidence_median"))
+    return df.agg(*agg).crossJoin(F.broadcast(median))

@@ -158,11 +158,14 @@ def project_pca(df: DataFrame, models) -> DataFrame:
 
 def covariance(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
     """Sample covariance for every ordered pair i <= j, long form."""
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(F.round(F.covar_samp(a, b), digits).alias(f"{a}|{b}"))
-    wide = df.agg(*aggs)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    stack = ", ".join(f"'{a}', '{b}', `{a}|{b}`" for a, b in pairs)
-    return wide.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, covariance)")
+    n = len(cols)
+    v = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("v"))
+    # one row per first column keeps the aggregation at n measures instead of n * n
+    firsts = v.select("v", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    row = firsts.withColumn("x", F.col("v")[F.col("i")]).groupBy("i").agg(
+        *[F.covar_samp("x", F.col("v")[j]).alias(f"c{j}") for j in range(n)])
+    names = F.array(*[F.lit(c) for c in cols])
+    stack = ", ".join(f"{j}, c{j}" for j in range(n))
+    return (row.selectExpr("i", f"stack({n}, {stack}) AS (j, c)").where("i <= j")
+            .select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"),
+                    F.round("c", digits).alias("covariance")))

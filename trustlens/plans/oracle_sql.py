@@ -62,7 +62,7 @@ reviews_raw AS (
     CASE WHEN d.doc_id % 6 = 0 THEN e.ts + to_days(CAST(d.doc_id AS INTEGER)) ELSE e.ts END
       AS ts_value
   FROM documents d
-  JOIN events e ON e.event_id = d.doc_id
+  LEFT JOIN events e ON e.event_id = d.doc_id
   LEFT JOIN labels l ON l.doc_id = d.doc_id
 )"""
 
@@ -410,9 +410,9 @@ def ranked_cte(name: str, stage: str) -> str:
 
 def under_sql(target: str = "minority") -> str:
     n = "minority_count" if target == "minority" else "floor((majority_count + minority_count) / 2)"
-    minority = "OR label = minority" if target == "minority" else ""
+    others = "label IS DISTINCT FROM majority" + ("" if target == "minority" else " AND label IS DISTINCT FROM minority")
     return (f"SELECT review_id, label, CAST(0 AS BIGINT) AS copy_no FROM ru, prof "
-            f"WHERE (label = majority AND rk <= {n}) {minority}")
+            f"WHERE (label = majority AND rk <= {n}) OR ({others})")
 
 
 def draws_sql(stage: str, n: str) -> str:
@@ -433,7 +433,7 @@ SELECT majority, minority, majority_count, minority_count, n_classes,
 
 ORACLES["undersample_orders"] = _balancing(ORDERS_BASE) + under_sql()
 
-OVER = ("SELECT review_id, label, CAST(0 AS BIGINT) AS copy_no FROM base, prof WHERE label = majority "
+OVER = ("SELECT review_id, label, CAST(0 AS BIGINT) AS copy_no FROM base, prof WHERE (label = majority OR label IS DISTINCT FROM minority) "
         "UNION ALL " + draws_sql("oversample", "majority_count"))
 HYBRID = (under_sql("mid") + " UNION ALL "
           + draws_sql("hybrid", "floor((majority_count + minority_count) / 2)"))
@@ -484,7 +484,7 @@ ORACLES["bootstrap_bags"] = GIVEN + f"""
 , r AS (SELECT review_id, row_number() OVER (ORDER BY {h('bag', 'review_id')}, review_id) AS rk,
                count(*) OVER () AS n FROM base),
 d AS (SELECT CAST(t.tree AS INTEGER) AS tree, ({h_int('bag-draw', 't.tree', 'r.rk - 1')} % r.n) + 1 AS pick
-      FROM r CROSS JOIN (SELECT range AS tree FROM range(3)) t)
+      FROM r CROSS JOIN (SELECT range AS tree FROM range(30)) t)
 SELECT d.tree, r.review_id, count(*) AS weight FROM d JOIN r ON r.rk = d.pick GROUP BY d.tree, r.review_id"""
 
 
@@ -668,11 +668,11 @@ SELECT 0 AS node, feature, round(threshold, 6) AS threshold, round(gain, 6) AS g
 FROM g WHERE gain > 0 AND nl >= 2 AND nr >= 2
 ORDER BY gain DESC, feature ASC, threshold ASC LIMIT 1"""
 
-ORACLES["covariance"] = "WITH e AS (SELECT " + ", ".join(
-    f"CAST(embedding[{i + 1}] AS DOUBLE) AS e{i}" for i in range(8)) + " FROM embeddings)\n" + \
-    "\nUNION ALL\n".join(
-        f"SELECT 'e{a}' AS col_a, 'e{b}' AS col_b, round(covar_samp(e{a}, e{b}), 6) AS covariance FROM e"
-        for a in range(8) for b in range(a, 8))
+ORACLES["covariance"] = """
+SELECT 'e' || i AS col_a, 'e' || j AS col_b,
+       round(covar_samp(CAST(embedding[i + 1] AS DOUBLE), CAST(embedding[j + 1] AS DOUBLE)), 6) AS covariance
+FROM embeddings, (SELECT range AS i FROM range(64)) a, (SELECT range AS j FROM range(64)) b
+WHERE i <= j GROUP BY i, j"""
 
 _W = "[" + ", ".join(f"{((j % 7) - 3) / 10.0}::DOUBLE" for j in range(64)) + "]"
 _SVM = f"""

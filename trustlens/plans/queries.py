@@ -224,7 +224,7 @@ def q_split_validation(spark, sf):
 
 
 def q_bootstrap_bags(spark, sf):
-    return SM.bootstrap_weights(given_labels(spark, sf), 3)
+    return SM.bootstrap_weights(given_labels(spark, sf), 30)
 
 
 # --- vectorisation (I) ----------------------------------------------------------------
@@ -377,7 +377,7 @@ def q_best_split(spark, sf):
 
 def q_covariance(spark, sf):
     from trustlens.operators.svm import covariance
-    return covariance(embeddings_wide(spark, sf, 8), [f"e{i}" for i in range(8)])
+    return covariance(embeddings_wide(spark, sf), [f"e{i}" for i in range(EMB_DIM)])
 
 
 # --- fixed values: the weights the SVM checks use (w_j = ((j mod 7) - 3) / 10, b = 0.1)
@@ -535,17 +535,18 @@ def q_oob_score(spark, sf):
     from trustlens.operators.forest import oob_score
     d = emb_vectors(spark, sf)
     bags = SM.bootstrap_weights(d, 30)
-    acc = oob_score(d, bags, 30, max_depth=12)
-    return spark.range(1).select(F.lit(acc).alias("oob_accuracy"))
+    return oob_score(d, bags, 30, max_depth=12)
 
 
 def q_rf_importances(spark, sf):
     """J19 + J21: split-count importances of the MLlib forest, with names."""
     from trustlens.operators.forest import fit_forest, node_table, split_importances
+    import uuid
+
     from trustlens.session import checkpoint_path
     d = emb_vectors(spark, sf)
     m = fit_forest(d)
-    nodes = node_table(m, checkpoint_path(spark, "rf_model_importances"), spark)
+    nodes = node_table(m, checkpoint_path(spark, f"rf_model_importances-{uuid.uuid4().hex}"), spark)
     names = spark.range(EMB_DIM).select(F.col("id").cast("int").alias("feature_id"),
                                         F.concat(F.lit("e"), F.col("id")).alias("name"))
     return split_importances(nodes, names)

@@ -65,13 +65,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw review fields as text, plus ``review_id`` and ``user_id``.
 
-    documents JOIN events ON event_id = doc_id LEFT JOIN labels: the two joins
+    documents LEFT JOIN events ON event_id = doc_id LEFT JOIN labels: the two joins
     share the key, so Spark shuffles each input once on the id.
     """
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
-    j = (d.join(e, d.doc_id == e.event_id, "inner")
+    j = (d.join(e, d.doc_id == e.event_id, "left")
           .join(lab, "doc_id", "left"))
     i = F.col("doc_id")
     k = F.get_json_object("props", "$.k").try_cast("int")
