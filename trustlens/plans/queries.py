@@ -517,7 +517,7 @@ def q_linear_svc(spark, sf):
     """MLlib LinearSVC with the reference objective; test-set predictions."""
     from trustlens.operators.svm import fit_linear_svc
     d = _emb_split(spark, sf)
-    m = fit_linear_svc(d.where(F.col("set") == "train"), max_iter=50)
+    m = fit_linear_svc(d.where(F.col("set") == "train"))
     return m.transform(d.where(F.col("set") == "test")).select("review_id", "y", "prediction")
 
 
