@@ -105,3 +105,72 @@ def test_scoring_writes_every_column_and_blanks_follow_preprocessing(spark, tmp_
     assert {i for i, r in back.items() if r["overridden"]} == {3, 4, 5}
     assert {back[i]["predicted_label"] for i in (3, 4, 5)} == {"FAKE"}
     assert all(back[i]["confidence"] == 1.0 for i in (3, 4, 5))
+
+
+REVIEW = ("review_id long, text string, stars string, reviewerNumberOfReviews string, isLocalGuide string, "
+          "publishedAtDate string, reviewImageUrls string, reviewDetailedRating string, reviewContext string, label string")
+
+
+def reviews(spark, texts):
+    return spark.createDataFrame([(i, t, "5", "3", "True", "2024-01-02T03:04:05.000Z", None, "5,5", None,
+                                   "FAKE" if i % 2 else "REAL") for i, t in texts.items()], REVIEW)
+
+
+def test_date_spellings(spark):
+    from trustlens.sources.schema import coerce_timestamp
+    cases = {"2023/01/05": "2023-01-05 00:00:00", "Jan 5 2023": "2023-01-05 00:00:00", "5 January 2023": "2023-01-05 00:00:00",
+             "01/02/2023": "2023-01-02 00:00:00", "25/02/2023 7:08": "2023-02-25 07:08:00", "2024-02-30": None,
+             "2024-01-02T03:04:05.000Z": "2024-01-02 03:04:05", "Mar 1, 2024 23:59:01": "2024-03-01 23:59:01",
+             "garbage": None, "": None}
+    df = spark.createDataFrame([(k,) for k in cases], "v string")
+    assert {r.v: r.t for r in df.select("v", coerce_timestamp("v").cast("string").alias("t")).collect()} == cases
+
+
+def test_scorers_use_the_predictors_preprocessing(spark):
+    from trustlens.operators.features import build_features
+    raw = reviews(spark, {1: "enak bgd a1b"}).withColumnRenamed("text", "textTranslated")
+    one = lambda d: d.first()["text_preprocessed"].split()
+    assert one(scoring.scoring_features(raw)) == ["enak", "banget", "ab"]
+    assert one(build_features(raw)) == ["enak", "bgd", "a", "b"]
+
+
+def test_svm_and_forest_bundles(spark, tmp_path):
+    from trustlens.operators import vectorize as V
+    from trustlens.operators.features import build_features
+    from trustlens.operators.forest import fit_forest
+    from trustlens.operators.svm import fit_linear_svc, linear_model
+    from trustlens.sources import io
+    texts = {i: ("makanan enak ramah" if i % 2 else "tempat kotor mahal") for i in range(1, 13)} | {13: "123", 14: None}
+    raw, cols = reviews(spark, texts), ["text_word_count", "text_char_count"]
+    feats = V.with_tokens(build_features(raw)).withColumn("y", F.when(F.col("label") == "FAKE", 1).otherwise(-1))
+    vocab, scaler = V.vocabulary(feats, 10), V.fit_scaler(feats, cols)
+    x = V.assemble(V.tfidf_vector(V.scale(feats, scaler, cols, suffix="__s"), vocab), ["text_features"] + [f"{c}__s" for c in cols])
+    metrics = spark.createDataFrame([(0.75,)], "accuracy double")
+    svm, forest = linear_model(fit_linear_svc(x)), fit_forest(x, n_trees=5)
+    io.save_linear_svm(svm, vocab, scaler, cols, str(tmp_path / "svm"), metrics)
+    io.save_forest(forest, vocab, scaler, cols, str(tmp_path / "rf"), metrics)
+    info = io.model_info({"vocab": vocab, "scaler": V.scaler_table(scaler, cols), "metrics": metrics}).first()
+    assert info["accuracy"] == 0.75 and info["n_numeric_features"] == 2
+
+    def rows(scored, name):
+        scored.write.parquet(str(tmp_path / name))  # every column can be written
+        return {r["review_id"]: r for r in spark.read.parquet(str(tmp_path / name)).collect()}
+
+    m, v, s, c = io.load_linear_svm(spark, str(tmp_path / "svm"))
+    old = rows(scoring.score_reviews_svm(raw, vocab, scaler, cols, svm), "a")
+    assert rows(scoring.score_reviews_svm(raw, v, s, c, m), "b") == old and set(old) == set(texts)
+    assert {i for i, r in old.items() if r["overridden"]} == {13, 14} and old[14]["decision_score"] == 1.0
+    assert all(old[i]["predicted_label"] == old[i]["label"] for i in range(1, 13))
+    m, v, s, c = io.load_forest(spark, str(tmp_path / "rf"))
+    for policy in ("model", "fake"):
+        old = rows(scoring.score_reviews_rf(raw, vocab, scaler, cols, forest, blank_policy=policy), "c" + policy)
+        assert rows(scoring.score_reviews_rf(raw, v, s, c, m, blank_policy=policy), "d" + policy) == old
+        assert old[1]["stars"] == "5" and set(old) == set(texts)
+    assert all(old[i]["predicted_label"] == "FAKE" for i in (13, 14))
+
+
+def test_overridden_rows(spark):
+    df = spark.createDataFrame([(1, 0), (2, 1)], "review_id long, gibberish_override int")
+    assert [r[0] for r in scoring.overridden_rows(df).collect()] == [2]
+    df = spark.createDataFrame([(1, True), (2, False)], "review_id long, overridden boolean")
+    assert [r[0] for r in scoring.overridden_rows(df).collect()] == [1]

@@ -98,6 +98,9 @@ SLANG_TRAINER = {
     "rekomend": "rekomendasi", "rekomen": "rekomendasi", "recommended": "rekomendasi",
 }
 
+# The predictors' table has one key more.
+SLANG_PREDICTOR = {**SLANG_TRAINER, "bgd": "banget"}
+
 # --- fixed values: common-word lexicon for the valid-word ratio (105 words) --
 LEXICON = (
     "ini", "itu", "yang", "untuk", "dari", "dengan", "tidak", "ada", "adalah", "dan",

@@ -93,12 +93,17 @@ def map_literal(table: Mapping[str, str]) -> Column:
     return F.create_map(*items)
 
 
+def look_up(table: Mapping[str, str]):
+    """token -> value, or the token itself. The key test is a hash set; the map's
+    linear search runs only on a hit."""
+    m, keys = map_literal(table), list(table)
+    return lambda t: F.when(t.isin(keys), F.try_element_at(m, t)).otherwise(t)
+
+
 def normalize_slang(c: Column | str, table: Mapping[str, str]) -> Column:
     """C9 on a cleansed string: each token is looked up once, then the text is
     re-joined, so multi-word and empty replacements are re-tokenised by the caller."""
-    m = map_literal(table)
-    toks = tokenize(c)
-    mapped = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), t))
+    mapped = F.transform(tokenize(c), look_up(table))
     return collapse_ws(F.array_join(mapped, " "))
 
 
@@ -114,8 +119,7 @@ def map_tokens(tokens: Column, table: Mapping[str, str]) -> Column:
     """C12 with a small literal table: unknown tokens pass through."""
     if not table:
         return tokens
-    m = map_literal(table)
-    return F.transform(tokens, lambda t: F.coalesce(F.try_element_at(m, t), t))
+    return F.transform(tokens, look_up(table))
 
 
 def word_count(c: Column | str) -> Column:

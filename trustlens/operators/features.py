@@ -52,11 +52,13 @@ def text_features(df: DataFrame, text_col: str = "text_preprocessed",
 
 
 def build_features(df: DataFrame, force_preprocess: bool = False, punct_col: str = "text",
-                   null_day_count: int = 1) -> DataFrame:
-    """A7 + A9 + C14 + E1-E17 + D14 on a raw review table."""
+                   null_day_count: int = 1, slang=L.SLANG_TRAINER,
+                   digit_replacement: str = " ") -> DataFrame:
+    """A7 + A9 + C14 + E1-E17 + D14 on a raw review table. The defaults are the
+    trainers' slang table and digit rule; the scorers pass the predictors'."""
     df, _ = S.map_columns(df)
     df = S.ensure_columns(df, FEATURE_DEFAULTS)
-    df = ensure_preprocessed(df, force=force_preprocess)
+    df = ensure_preprocessed(df, force=force_preprocess, slang=slang, digit_replacement=digit_replacement)
     df = text_features(df, "text_preprocessed", punct_col)
     stars = S.coerce_number("stars", as_int=False)
     reviewers = S.coerce_number("reviewerNumberOfReviews", as_int=False)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trustlens.functions import lexicons as L
 from trustlens.operators import vectorize as V
 from trustlens.operators.cleaning import split_blank
 from trustlens.operators.features import build_features
@@ -20,6 +21,13 @@ NB_OVERRIDE = 0.65
 RF_OVERRIDE = 0.7
 
 
+def scoring_features(raw: DataFrame) -> DataFrame:
+    """The feature table with the predictors' slang table and digit rule. The input's
+    own columns travel in the struct ``__raw`` and come out unchanged."""
+    return build_features(raw.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns])),
+                          slang=L.SLANG_PREDICTOR, digit_replacement="")
+
+
 def _label(c):
     return F.when(c == 1, F.lit("FAKE")).otherwise(F.lit("REAL"))
 
@@ -68,8 +76,7 @@ def blank_rule(blank: DataFrame, with_probs: bool = True, decision: str | None =
     return blank.withColumns(cols)
 
 
-def score_reviews_nb(raw: DataFrame, model, text_col: str = "text",
-                     threshold: float = NB_OVERRIDE) -> DataFrame:
+def score_reviews_nb(raw: DataFrame, model, threshold: float = NB_OVERRIDE) -> DataFrame:
     """K1 + K4 + K6: NB scoring of a raw review table."""
     from trustlens.operators.bayes import predict_hybrid_nb
     from trustlens.session import ensure_checkpoint_dir
@@ -77,10 +84,8 @@ def score_reviews_nb(raw: DataFrame, model, text_col: str = "text",
     # and cut its lineage (written to the shared checkpoint folder)
     ensure_checkpoint_dir(raw.sparkSession)
     from trustlens.session import materialize
-    # a text is blank if nothing is left of it after preprocessing; the input's own
-    # columns travel in one struct and come out unchanged
-    feats = build_features(raw.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns])))
-    feats = materialize(V.with_tokens(feats), "score_features")
+    # a text is blank if nothing is left of it after preprocessing
+    feats = materialize(V.with_tokens(scoring_features(raw)), "score_features")
     valid, blank = split_blank(feats, "text_preprocessed")
     feats = valid
     p = predict_hybrid_nb(model, feats)
@@ -101,13 +106,12 @@ def svm_confidence(score: str = "decision_score"):
 
 
 def score_reviews_svm(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols: list[str],
-                      model, text_col: str = "text", threshold: float = NB_OVERRIDE,
+                      model, threshold: float = NB_OVERRIDE,
                       override_score: float = 1.0) -> DataFrame:
     """K2 + K4 + K6: SVM scoring; overridden / blank rows get
     ``decision_score = override_score`` (+1.0: FAKE is the positive side)."""
     from trustlens.operators.svm import score_svm
-    feats = build_features(raw.withColumn("__raw", F.struct(*[F.col(f"`{c}`") for c in raw.columns])))
-    valid, blank = split_blank(feats, "text_preprocessed")
+    valid, blank = split_blank(scoring_features(raw), "text_preprocessed")
     feats = V.with_tokens(valid)
     feats = V.scale(feats, scaler, cols, suffix="__s")
     feats = V.tfidf_vector(feats, vocab)
@@ -122,14 +126,16 @@ def score_reviews_svm(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
 
 
 def score_reviews_rf(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols: list[str],
-                     forest, text_col: str = "text", id_col: str = "review_id",
+                     forest,
                      threshold: float = RF_OVERRIDE, blank_policy: str = "model") -> DataFrame:
     """K3 + K5: RF scoring by per-tree votes; confidence = winning share,
     decision_score = FAKE share - REAL share. ``blank_policy='model'`` scores
     blank texts with the model (the RF predictor's behaviour), 'fake' applies K6."""
     from trustlens.operators.forest import tree_vote_columns
-    src, blank = (raw, None) if blank_policy == "model" else split_blank(raw, text_col)
-    feats = V.with_tokens(build_features(src))
+    feats, blank = scoring_features(raw), None
+    if blank_policy != "model":
+        feats, blank = split_blank(feats, "text_preprocessed")
+    feats = V.with_tokens(feats)
     feats = V.scale(feats, scaler, cols, suffix="__s")
     feats = V.tfidf_vector(feats, vocab)
     feats = V.assemble(feats, ["text_features"] + [f"{c}__s" for c in cols])
@@ -139,7 +145,7 @@ def score_reviews_rf(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
                   "confidence": F.greatest("share_fake", "share_real"),
                   "decision_score": F.col("share_fake") - F.col("share_real")}))
     scored = override_gibberish_flagged(scored, threshold)
-    keep = raw.columns + ["predicted_label", "confidence", "decision_score", "gibberish_override"]
+    keep = ["__raw.*", "predicted_label", "confidence", "decision_score", "gibberish_override"]
     out = scored.select(*keep)
     if blank is not None:
         b = blank_rule(blank, with_probs=False, decision="decision_score").withColumn(
@@ -148,6 +154,12 @@ def score_reviews_rf(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
     return out
 
 
+def overridden_rows(df: DataFrame, id_col: str = "review_id") -> DataFrame:
+    """K8: the ids of the rows that a rule decided against the model."""
+    flag = F.col("overridden") if "overridden" in df.columns else F.col("gibberish_override") == 1
+    return df.where(flag).select(id_col)
+
+
 def restore_order(df: DataFrame, id_col: str = "review_id") -> DataFrame:
     """K7: input order, applied at the sink only."""
     return df.orderBy(id_col)

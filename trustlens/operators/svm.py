@@ -143,6 +143,11 @@ def fit_linear_svc(df: DataFrame, lam: float = LAMBDA, max_iter: int = 100,
                      standardization=False, maxIter=max_iter).fit(d)
 
 
+def linear_model(svc) -> LinearSVMModel:
+    """The weights of a fitted MLlib LinearSVC as this module's model."""
+    return LinearSVMModel(svc.coefficients.toArray(), svc.intercept, [])
+
+
 def fit_pca(df: DataFrame, k: int = 2, features: str = "features"):
     """Centre (no scaling) then PCA; returns (scaler_model, pca_model)."""
     from pyspark.ml.feature import PCA, StandardScaler

@@ -60,16 +60,19 @@ def load_model(spark: SparkSession, path: str, names: list[str]) -> dict[str, Da
 
 
 def model_info(tables: dict[str, DataFrame]) -> DataFrame:
-    """A5 info row: vocabulary size and numeric feature count."""
+    """A5 info row: vocabulary size, numeric feature count and, where the tables have a
+    one-row ``metrics``, its columns."""
     vocab = tables["vocab"].agg(F.count(F.lit(1)).alias("vocab_size"))
     feats = tables["scaler"].agg(F.count(F.lit(1)).alias("n_numeric_features"))
-    return vocab.crossJoin(feats)
+    info = vocab.crossJoin(feats)
+    return info.crossJoin(F.broadcast(tables["metrics"])) if "metrics" in tables else info
 
 
-def save_hybrid_nb(model, path: str) -> None:
-    """A4 for the hybrid NB model (vocabulary, scaler, both NB parts)."""
+def save_hybrid_nb(model, path: str, metrics: DataFrame | None = None) -> None:
+    """A4 for the hybrid NB model (vocabulary, scaler, both NB parts, test metrics if given)."""
     save_model({"vocab": model.vocab, "scaler_wide": model.scaler, "nb_text": model.log_prob,
-                "nb_prior": model.priors, "nb_numeric": model.gauss},
+                "nb_prior": model.priors, "nb_numeric": model.gauss,
+                **({"metrics": metrics} if metrics is not None else {})},
                path, {"cols": ",".join(model.cols), "text_weight": model.text_w,
                       "numeric_weight": model.num_w})
 
@@ -83,3 +86,37 @@ def load_hybrid_nb(spark: SparkSession, path: str):
     return HybridNBModel(t["vocab"], t["scaler_wide"], t["nb_text"], t["nb_prior"],
                          t["nb_numeric"], params["cols"].split(","),
                          float(params["text_weight"]), float(params["numeric_weight"]))
+
+
+def save_linear_svm(model, vocab: DataFrame, scaler: DataFrame, cols: list[str], path: str,
+                    metrics: DataFrame | None = None) -> None:
+    """A4 for the linear SVM: weights, vocabulary, scaler and (if given) test metrics."""
+    tables = {"weights": model.weights_table(vocab.sparkSession), "vocab": vocab, "scaler_wide": scaler}
+    save_model(tables | ({"metrics": metrics} if metrics is not None else {}), path, {"cols": ",".join(cols)})
+
+
+def load_linear_svm(spark: SparkSession, path: str):
+    """A5: (model, vocabulary, scaler, columns)."""
+    from trustlens.operators.svm import LinearSVMModel
+    t = load_model(spark, path, ["weights", "vocab", "scaler_wide", "params"])
+    w = {r["feature_id"]: r["weight"] for r in t["weights"].collect()}   # one row per feature
+    params = {r["key"]: r["value"] for r in t["params"].collect()}
+    model = LinearSVMModel([w[i] for i in range(len(w) - 1)], w[-1], [])
+    return model, t["vocab"], t["scaler_wide"], params["cols"].split(",")
+
+
+def save_forest(model, vocab: DataFrame, scaler: DataFrame, cols: list[str], path: str,
+                metrics: DataFrame | None = None) -> None:
+    """A4 for the random forest: MLlib trees, vocabulary, scaler and (if given) test metrics."""
+    model.write().overwrite().save(f"{path}/forest")
+    tables = {"vocab": vocab, "scaler_wide": scaler}
+    save_model(tables | ({"metrics": metrics} if metrics is not None else {}), path, {"cols": ",".join(cols)})
+
+
+def load_forest(spark: SparkSession, path: str):
+    """A5: (model, vocabulary, scaler, columns)."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    t = load_model(spark, path, ["vocab", "scaler_wide", "params"])
+    params = {r["key"]: r["value"] for r in t["params"].collect()}
+    return (RandomForestClassificationModel.load(f"{path}/forest"), t["vocab"], t["scaler_wide"],
+            params["cols"].split(","))

@@ -174,9 +174,20 @@ def coerce_bool(c: Column | str, truthy: Iterable[str], lower: bool = False) ->
     return F.coalesce(v.isin(list(truthy)), F.lit(False))
 
 
+# --- fixed values: date spellings beside ISO; of two readings the earlier one holds
+# (month first, as the reference reads 01/02/2023)
+DATE_PATTERNS = ("yyyy/M/d", "yyyy.M.d", "M/d/yyyy", "d/M/yyyy", "M-d-yyyy", "d-M-yyyy", "d.M.yyyy",
+                 "MMM d yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMMM d, yyyy", "d MMM yyyy",
+                 "d MMMM yyyy", "d-MMM-yyyy")
+TIME_PATTERN = "[ H:mm[:ss]]"
+
+
 def coerce_timestamp(c: Column | str) -> Column:
-    """Parse a timestamp; garbage -> null (session time zone UTC)."""
-    return F.try_to_timestamp(col_of(c).cast("string"))
+    """Parse a timestamp, ISO or one of ``DATE_PATTERNS`` with an optional time;
+    garbage -> null (session time zone UTC)."""
+    text = F.trim(col_of(c).cast("string"))
+    return F.coalesce(F.try_to_timestamp(text),
+                      *[F.try_to_timestamp(text, F.lit(p + TIME_PATTERN)) for p in DATE_PATTERNS])
 
 
 def date_parts(ts: Column | str) -> dict[str, Column]:
