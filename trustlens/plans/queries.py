@@ -589,12 +589,13 @@ def _review_training(spark, sf, correct: bool = False):
     from trustlens.session import materialize
     feats = LB.correct_labels(feats) if correct else feats
     feats = materialize(LB.encode_label(feats, "signed"), "review_train")
-    vocab = V.vocabulary(feats, V.MAX_FEATURES)
-    scaler = V.fit_scaler(feats, cols)
+    # bounded model tables and the training vectors are read many times: written once
+    vocab = materialize(V.vocabulary(feats, V.MAX_FEATURES), "review_vocab")
+    scaler = materialize(V.fit_scaler(feats, cols), "review_scaler")
     x = V.scale(feats, scaler, cols, suffix="__s")
     x = V.tfidf_vector(x, vocab)
     x = V.assemble(x, ["text_features"] + [f"{c}__s" for c in cols])
-    return raw, vocab, scaler, cols, x
+    return raw, vocab, scaler, cols, materialize(x.select("review_id", "y", "features"), "review_vectors")
 
 
 def q_svm_scoring(spark, sf):
