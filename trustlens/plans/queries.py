@@ -631,14 +631,17 @@ def q_baselines(spark, sf):
     d = d.withColumns({"has_image_i": F.col("has_image").cast("int"),
                        "islocalguid_i": F.col("islocalguid").cast("int")})
     d = LB.encode_label(d, "signed")
-    split = SM.split_stratified(d, "label").drop("rank")
+    from trustlens.session import materialize
+    # read by every stage of three fits, and the predictions by every line of a report
+    split = materialize(SM.split_stratified(d, "label").select(
+        "label", "y", "set", "text", *L.LABELLER_NUMERIC_FEATURES), "baseline_rows")
     train, test = split.where(F.col("set") == "train"), split.where(F.col("set") == "test")
     models = train_baselines(train, "text", list(L.LABELLER_NUMERIC_FEATURES))
     out = None
     for name, m in models.items():
         p = m.transform(test).select("label", F.when(F.col("prediction") == 1.0, "FAKE").otherwise("REAL")
                                      .alias("predicted_label"))
-        r = EV.classification_report(p).withColumn("model", F.lit(name))
+        r = EV.classification_report(materialize(p, "baseline_predictions")).withColumn("model", F.lit(name))
         out = r if out is None else out.unionByName(r)
     return out
 
