@@ -138,6 +138,19 @@ def test_pii_base(spark, none):
     assert rows(pii.redact(df))[0].text == "mail [email], c@d"
 
 
+
+def test_pii_adds_spans_of_each_kind(spark):
+    wide = {"email": "ann{} (at) mail (dot) example (dot) org", "ip": "10[.]1[.]{}[.]7", "phone": "(743) 555-3{:03d}",
+            "card": "4539.1488.0343.6467"}
+    plain = {"email": "ann{}@mail.example.org", "ip": "10.1.{}.7", "phone": "+1 (743) 555-3{:03d}", "card": "4539 1488 0343 6467"}
+    data = [(kind, f.format(i)) for kind in wide for f in (wide[kind], plain[kind]) for i in range(60)]
+    data += [("", f"{i} 1[.]2[.]777[.]{i}, 123{i}; 4539.1488.0343.6468 me @ home . it") for i in range(120)]
+    df = spark.createDataFrame([(i, f"see {t}") for i, (_, t) in enumerate(data)], "doc_id long, text string")
+    got = rows(pii.report(df))
+    for i, (kind, t) in enumerate(data):
+        assert got[i].spans == (f"{kind}:4:{4 + len(t)}" if kind else ""), t
+
+
 def test_licenses(spark, none):
     data = ["a\nReleased under the MIT Licence\nb", "Licensed under CC BY-NC 4.0.", "no", None,
             "Copyright 2020 Me\n\n" + licenses.TEXTS[0][1]]

@@ -2,15 +2,19 @@
 
 Base spans (email, ip, card, phone) come from patterns and checks. Wider
 generators propose more candidates of the same kinds, which may overlap. Boosted
-trees learn from format and context which candidates look like base spans (those
-overlapping one of their kind are the positive rows); a quarter of the sample is held out and
-gives each kind the least score at which ``PRECISION`` of the held-out rows are
-positive. Candidates above it that touch no base span are added, the best first
-where they overlap.
+trees learn from format and context which of them are personal data. Positive
+rows are candidates overlapping a base span of their kind, and candidates
+touching no base span that pass their kind's check once separators are normalised
+((at), [dot], [.]: Luhn, octets, numbers of digits) and have the kind's usual shape
+or a word before them that names it. The scores of all candidates, in bins, give
+each kind the least score at which ``PRECISION`` of the rows, and of those that
+touch no base span, are positive. Candidates above it that touch no base span are
+added, the best first where they overlap.
 
 Only built-in functions and the JVM's boosted trees run; texts are scanned once
 and never shuffled. The trees are fitted on at most about ``SAMPLE_ROWS``
-candidates; everything else covers all rows. Positions are code points.
+candidates, an equal share of each kind and label; everything else covers all
+rows. Positions are code points.
 
 Null text counts as empty. Repeated rows are reported each. A table without
 positive or without other candidates gets no model and no added spans. Extra
@@ -39,16 +43,30 @@ BASE = {
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 # High-recall generators.
 WIDE = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?(?:@|\((?:at|AT)\)|\[(?:at|AT)\])\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|\((?:dot|DOT)\)|\[(?:dot|DOT)\])\x20?[A-Za-z0-9-]++)++",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++\x20?(?:@|\((?:at|AT)\)|\[(?:at|AT)\])\x20?[A-Za-z0-9-]++(?:(?:\.|\x20\.\x20|\x20?(?:\((?:dot|DOT)\)|\[(?:dot|DOT)\])\x20?)[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9A-Za-z])|\G)[0-9]{1,3}+(?:(?:\.|,|\x20\.\x20?|\[\.\])[0-9]{1,3}+){3}(?![0-9A-Za-z])",
     "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20./-]{0,2}[0-9]){11,18}+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+|00)?[(]?[0-9](?:[\x20()./-]{0,2}[0-9]){6,14}+(?![0-9A-Za-z])",
 }
 CUES = r"(?i)(?:tel|phone|fon|call|mobile|card|visa|pay|host|address|server|mail|contact)[a-z]*[\s:=.,]*$"
+# Words that name a kind, and shapes that are usual for it.
+NAMED = {
+    "email": r"(?i)\b(?:e-?mail|mail|contact)[a-z]*[\s:=.,]*$",
+    "ip": r"(?i)\b(?:ip|host|server)[a-z]*[\s:=.,]*$|(?i)\bip address[\s:=.,]*$",
+    "card": r"(?i)\b(?:card|visa|mastercard|amex)[a-z]*[\s:=.,]*$",
+    "phone": r"(?i)\b(?:tel|phone|telephone|fon|fax|call|mobile)[a-z]*[\s:=.,]*$",
+}
+SHAPE = {
+    "email": r"@|(?i)[(\[]at[)\]]",
+    "ip": r"\[\.\]",
+    "card": r"^[0-9]{4}([\x20./-]{1,2})(?:[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{6}\1[0-9]{4,5})$",
+    "phone": r"^(?:(?:\+|00)?1[\x20.-])?(?:\([2-9][0-9]{2}\)\x20?|[2-9][0-9]{2}[\x20./-])[2-9][0-9]{2}[\x20.-][0-9]{4}$"
+             r"|^00[1-9][0-9]{0,2}[\x20()./-]",
+}
 SAMPLE_ROWS, PRECISION, LEAST_CLASS = 20_000, 0.95, 20
 FEATURES = ("chars", "digits", "dots", "blanks", "dashes", "brackets", "slashes", "letters", "at", "plus", "zeros",
             "first_digit", "groups", "before_letter", "before_blank", "before_quote", "after_letter", "after_blank",
-            "after_stop", "cue", "line_start")
+            "after_stop", "cue", "line_start", "valid", "shaped", "named")
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -80,6 +98,20 @@ def _holds(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _valid(kind: str, m: Column) -> Column:
+    """Whether a wide candidate passes its kind's check once its separators are normalised."""
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    if kind == "email":
+        plain = F.regexp_replace(F.lower(m), r"\x20?[(\[]at[)\]]\x20?", "@")
+        plain = F.regexp_replace(plain, r"\x20?[(\[]dot[)\]]\x20?", ".")
+        return plain.rlike(r"^[a-z0-9](?:[a-z0-9._%+-]*[a-z0-9])?@(?:[a-z0-9](?:[a-z0-9-]*[a-z0-9])?\.)+[a-z]{2,24}$")
+    if kind == "ip":
+        return _holds("ip", F.regexp_replace(m, r"\[\.\]|,|\x20\.\x20?", "."))
+    if kind == "card":
+        return digits.rlike("^[2-6]") & _holds("card", m)
+    return _holds("phone", m) & ~m.rlike(r"(?:19|20)[0-9]{2}([./-])[0-9]{2}\1[0-9]{2}")
+
+
 def _guard(kind: str, text: Column) -> Column:
     """Whether a text can hold the kind at all: spares the costlier patterns."""
     return {"email": text.contains("@") | text.rlike(r"(?i)[(\[]at[)\]]"), "phone": text.rlike("[0-9]{2}"),
@@ -104,7 +136,8 @@ def _candidate(text: Column, kind: str, x: Column) -> Column:
              before_blank=is_(before.rlike(r"\s$")), before_quote=is_(before.rlike(r"[\"'=:]\s?$")),
              after_letter=is_(after.rlike(r"\p{L}")), after_blank=is_(after.rlike(r"\s")),
              after_stop=is_(after.rlike("[.,;]")), cue=is_(before.rlike(CUES)),
-             line_start=is_((F.length(before) == 0) | before.endswith("\n")))
+             line_start=is_((F.length(before) == 0) | before.endswith("\n")), valid=is_(_valid(kind, m)),
+             shaped=is_(m.rlike(SHAPE[kind])), named=is_(before.rlike(NAMED[kind])))
     return F.struct(F.lit(kind).alias("kind"), x.s.alias("s"), x.e.alias("e"),
                     *[f[n].cast("double").alias(n) for n in FEATURES])
 
@@ -134,28 +167,33 @@ def detect(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _fit(rows: DataFrame):
-    """Boosted trees on a bounded sample, and the least score of each kind; or None."""
-    n = rows.agg(F.count("*").alias("n")).first()["n"]
-    keep = 1 + n // SAMPLE_ROWS
-    sample = materialize(rows.where(F.pmod(F.xxhash64("row", "s", "e", "kind"), F.lit(keep)) == 0)
-                         .withColumn("held", F.pmod(F.xxhash64("e", "row", "s"), F.lit(4)) == 0), "op2-sample")
-    seen = sample.agg(F.expr("count_if(NOT held AND label = 1)"), F.expr("count_if(NOT held AND label = 0)")).first()
-    if min(seen) < LEAST_CLASS:
+    """Boosted trees on a bounded sample, an equal share of each kind and label; or None."""
+    n = rows.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()
+    keep = F.create_map(*[F.lit(x) for r in n for x in (
+        f"{r['kind']}{r['label']:.0f}", 1 + r["n"] * len(n) // SAMPLE_ROWS)]) if n else F.lit(None)
+    if any(sum(r["n"] for r in n if r["label"] == label) < LEAST_CLASS for label in (0.0, 1.0)):
         return None
+    sample = rows.where(F.pmod(F.xxhash64("row", "s", "e", "kind"), keep[F.concat("kind", F.col("label").cast("int").cast("string"))]) == 0)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=10, maxDepth=4, seed=7, stepSize=0.2)
-    model = trees.fit(vectors.transform(sample.where("NOT held")).select("features", "label").coalesce(4))
-    scored = _score(model, sample.where("held"))
-    bins = scored.groupBy("kind", F.floor(F.col("score") * 50).alias("b")).agg(
-        F.count("*").alias("n"), F.sum("label").alias("good")).collect()
+    return trees.fit(materialize(sample.select("label", *FEATURES).coalesce(4), "op2-sample").transform(vectors.transform)
+                     .select("features", "label"))
+
+
+def _least(scored: DataFrame) -> dict[str, int]:
+    """The least bin of scores of each kind, over all candidates, at which ``PRECISION`` holds
+    for all of them and for those that can be added."""
+    bins = scored.groupBy("kind", "bin").agg(
+        F.count("*").alias("n"), F.sum("label").alias("good"), F.count_if("free").alias("n_free"),
+        F.sum(F.when(F.col("free"), F.col("label")).otherwise(0.0)).alias("good_free")).collect()
     least = {}
     for kind in {r["kind"] for r in bins}:
-        n = good = 0.0
-        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["b"]):
-            n, good = n + r["n"], good + r["good"]
-            if n >= LEAST_CLASS and good >= PRECISION * n:
-                least[kind] = r["b"] / 50
-    return model, least
+        n = good = n_free = good_free = 0.0
+        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
+            n, good, n_free, good_free = n + r["n"], good + r["good"], n_free + r["n_free"], good_free + r["good_free"]
+            if n >= LEAST_CLASS and good >= PRECISION * n and good_free >= PRECISION * n_free:
+                least[kind] = r["bin"]
+    return least
 
 
 def _score(model, rows: DataFrame) -> DataFrame:
@@ -170,16 +208,21 @@ def find(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     touches = lambda b, c: (b.s < c.e) & (c.s < b.e)
     rows = (found.dropDuplicates([key, "row"]).where(F.size("wide") > 0)
             .select("row", "base", F.explode("wide").alias("c"))
-            .withColumn("label", F.exists("base", lambda b: touches(b, F.col("c")) & (b.kind == F.col("c.kind"))).cast("double"))
             .withColumn("free", ~F.exists("base", lambda b: touches(b, F.col("c"))))
+            .withColumn("label", F.when(F.col("free"), (F.col("c.valid") == 1) & (F.col("c.shaped") + F.col("c.named") > 0)).otherwise(
+                F.exists("base", lambda b: touches(b, F.col("c")) & (b.kind == F.col("c.kind")))).cast("double"))
             .select("row", "label", "free", "c.*"))
     rows = materialize(rows, "op2-rows")
-    fitted = _fit(rows)
-    if fitted is None or not fitted[1]:
+    model = _fit(rows)
+    scored = least = None
+    if model is not None:
+        scored = materialize(_score(model, rows).select("row", "kind", "s", "e", "label", "free", "score",
+                                                        F.floor(F.col("score") * 50).cast("int").alias("bin")), "op2-scored")
+        least = _least(scored)
+    if not least:
         return found.select(key, "base", F.expr("slice(base, 1, 0)").alias("added"))
-    model, least = fitted
     floor = F.create_map(*[F.lit(x) for kv in least.items() for x in kv])
-    chosen = _score(model, rows.where("free")).where(F.col("score") >= F.try_element_at(floor, F.col("kind")))
+    chosen = scored.where(F.col("free") & (F.col("bin") >= F.try_element_at(floor, F.col("kind"))))
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
     best = chosen.groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
         (-F.round("score", 6)).alias("score"), (F.col("s") - F.col("e")).alias("size"), "s",
