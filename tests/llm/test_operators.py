@@ -151,6 +151,12 @@ def test_pii_adds_spans_of_each_kind(spark):
         assert got[i].spans == (f"{kind}:4:{4 + len(t)}" if kind else ""), t
 
 
+def test_pii_phone_of_single_digits(spark):
+    data = ["+1-5-5-5-0-1-2-3-4", "call +4 9 3 0 1 2 3 4 5"]
+    got = rows(pii.report(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")))
+    assert [(got[i].n_phone, got[i].spans) for i in range(2)] == [(1, "phone:0:18"), (1, "phone:5:23")]
+
+
 def test_licenses(spark, none):
     data = ["a\nReleased under the MIT Licence\nb", "Licensed under CC BY-NC 4.0.", "no", None,
             "Copyright 2020 Me\n\n" + licenses.TEXTS[0][1]]

@@ -114,7 +114,7 @@ def _valid(kind: str, m: Column) -> Column:
 
 def _guard(kind: str, text: Column) -> Column:
     """Whether a text can hold the kind at all: spares the costlier patterns."""
-    return {"email": text.contains("@") | text.rlike(r"(?i)[(\[]at[)\]]"), "phone": text.rlike("[0-9]{2}"),
+    return {"email": text.contains("@") | text.rlike(r"(?i)[(\[]at[)\]]"), "phone": text.rlike("[0-9]"),
             "ip": text.rlike("[0-9]"), "card": text.rlike("[0-9]")}[kind]
 
 
@@ -153,7 +153,8 @@ def detect(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     text = F.col("t")
     for kind in KINDS:
         may = _guard(kind, text)
-        t = t.withColumn(f"b_{kind}", F.when(may, spans(text, BASE[kind])).otherwise(F.array().cast(none)))
+        base_may = text.contains("+") if kind == "phone" else may
+        t = t.withColumn(f"b_{kind}", F.when(base_may, spans(text, BASE[kind])).otherwise(F.array().cast(none)))
         t = t.withColumn(f"w_{kind}", F.when(may, spans(text, WIDE[kind])).otherwise(F.array().cast(none)))
 
     def held(i: int, kind: str) -> Column:
