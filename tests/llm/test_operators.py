@@ -127,6 +127,30 @@ def test_line_dedup(spark, none):
     assert linedup.report(none).count() == 0
 
 
+
+def test_line_dedup_of_every_length(spark):
+    long = "this notice was last updated on {} and holds for all pages of the site, its archives and its mirrors, until it is withdrawn"
+    data = [(1, "Menu\nAll rights reserved.\n--\n" + long.format("2024-01-12")), (2, "Menu\n--\nAll rights reserved!"),
+            (3, "Mend\n" + long.format("2024-03-08")), (4, long.format("2019-12-31")), (5, "No rights reserved..")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {k: r.removed for k, r in rows(linedup.report(df)).items()}
+    assert got == {1: "", 2: "0,2", 3: "1", 4: "", 5: ""}
+
+
+def test_line_classes_meet():
+    r = random.Random(4)
+    for size, errors in ((10, 1), (29, 1), (30, 2), (99, 2), (100, 4), (150, 4)):
+        for _ in range(60):
+            a = "".join(r.choice("abcdé ") for _ in range(size))
+            b = list(a)
+            for _ in range(errors):
+                b.insert(r.randint(0, len(b)), "x") if r.random() < 0.6 else b.__setitem__(r.randrange(len(b)), "y")
+            ranges = {1: (10, 30), 2: (30, 100), 4: (100, 1 << 40)}
+            x = linedup.tokens([a], linedup.index_places, errors, None, ranges[errors])[1]
+            y = linedup.tokens(["".join(b)], linedup.probe_places, errors, None, ranges[errors])[1]
+            assert linedup.errors_of(size) == errors and set(x) & set(y)
+
+
 def test_pii_base(spark, none):
     data = ["mail a.b+c@x.example.com, c@d", "ip 1.2.3.4.5.6.7.8 and 300.1.1.1", "card 4539 1488 0343 6467 x",
             "+1 (743) 555-3824 +12", None, "", "é 1.2.3.4"]

@@ -1,12 +1,14 @@
 """Line deduplication by a segment-partition edit join.
 
-A line (blanks collapsed, ``MIN_CHARS`` characters at least; shorter ones are
-never judged) is cut into ``ERRORS`` + 1 segments. A line within ``ERRORS``
-edits of it holds one segment unchanged, at a place that the lengths of both
-limit to a few: each line is posted under its own segments and probes, for every
-length it may match, the substrings that could equal a segment of a line of that
-length. Lines that meet are compared by the counts of their characters in the
-join itself; what passes is verified by a banded bit-parallel edit distance.
+Lines (blanks collapsed) that hold a letter or a digit are judged, whatever their
+length. Equal lines meet by their digest. The number of edits that still count as a
+repeat grows with the length of the shorter line (``CLASSES``); a line is cut into
+that number + 1 segments. A longer line within so many edits of it holds one segment
+unchanged, at a place that the lengths of both limit to a few: each line is posted
+under its own segments and probes, for every length it may match, the substrings
+that could equal a segment of a line of that length. Lines that meet are compared by
+the counts of their characters in the join itself; what passes is verified by a
+banded bit-parallel edit distance.
 
 Links merge into classes; the first line of a class (by key, then place) stays,
 all others go. Postings of a line leave a task once and are made distinct before
@@ -20,6 +22,8 @@ went becomes empty.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +33,10 @@ from trustlens.llm.common import small_batches
 from trustlens.llm.graph import components
 from trustlens.session import materialize
 
-ERRORS, MIN_CHARS = 2, 30
+ERRORS = 2
+# (least length, most errors) of each class of lines; shorter ones repeat only exactly.
+CLASSES = ((10, 1), (30, 2), (100, 4))
+WORD = re.compile(r"[^\W_]")
 BROADCAST_ROWS = 500_000  # most ids sent to every executor; beyond, a shuffle join
 SEEN_LINES = 200_000      # lines a task remembers to post them once
 
@@ -77,9 +84,11 @@ class Powers:
         return self.up, self.down
 
 
-def tokens(lines: list[str], places, errors: int = ERRORS, powers: Powers | None = None) -> tuple[np.ndarray, np.ndarray]:
+def tokens(lines: list[str], places, errors: int = ERRORS, powers: Powers | None = None,
+           lengths: tuple[int, int] = (0, 1 << 40)) -> tuple[np.ndarray, np.ndarray]:
     """(line, token): which line, and the 64-bit hash of length, segment and substring
-    of each of its places. Lines must be longer than ``errors``."""
+    of each of its places, for lengths in the given range only. Lines must be longer
+    than ``errors``."""
     size = np.array([len(x) for x in lines], np.int64)
     chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     up, down = (powers or Powers())(len(chars) + 1)
@@ -90,7 +99,8 @@ def tokens(lines: list[str], places, errors: int = ERRORS, powers: Powers | None
     first = np.cumsum(size) - size
     at, got = [], []
     for length, i, start, n in places(size, errors):
-        ok = np.flatnonzero((start >= 0) & (start + n <= size) & (length > errors) & (n > 0))
+        ok = np.flatnonzero((start >= 0) & (start + n <= size) & (length > errors) & (n > 0)
+                            & (length >= lengths[0]) & (length < lengths[1]))
         s = first[ok] + start[ok]
         h = (before[s + n[ok]] - before[s]) * down[s]
         h ^= (length[ok] * (errors + 1) + i).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -100,6 +110,11 @@ def tokens(lines: list[str], places, errors: int = ERRORS, powers: Powers | None
     return np.concatenate(at), np.concatenate(got)
 
 
+def errors_of(size: int, classes=CLASSES) -> int:
+    """Most errors of a line of this length."""
+    return max((e for least, e in classes if size >= least), default=0)
+
+
 def bags(lines: list[str]) -> np.ndarray:
     """Of each line, ten counts of characters modulo 64 as one integer; an edit changes
     the sum of their (circular) differences by two at most."""
@@ -139,7 +154,7 @@ def _source(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(F.col(f"`{key}`").alias(key), "text")
 
 
-def line_table(docs: DataFrame, key: str = "doc_id", least: int = MIN_CHARS) -> DataFrame:
+def line_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, place, line (128-bit digest) and id (64-bit hash) of every judged line."""
     src = _source(docs, key)
 
@@ -149,7 +164,7 @@ def line_table(docs: DataFrame, key: str = "doc_id", least: int = MIN_CHARS) ->
             at, place, digest, ids = [], [], [], []
             for i, t in enumerate(batch["text"]):
                 for n, x in enumerate(lines_of(t.as_py())):
-                    if len(x) >= least:
+                    if WORD.search(x):
                         at.append(i)
                         place.append(n)
                         raw = x.encode()
@@ -162,8 +177,8 @@ def line_table(docs: DataFrame, key: str = "doc_id", least: int = MIN_CHARS) ->
     return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, place int, line binary, id long")
 
 
-def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> DataFrame:
-    """token, id, bag at each of ``places`` of every judged line, once a task. id is a
+def postings(docs: DataFrame, places, key: str, classes=CLASSES) -> DataFrame:
+    """token, id, bag, errors at each of ``places`` of every judged line, once a task. id is a
     64-bit hash of the line; lines that share one are told apart when verified."""
     src = _source(docs, key)
 
@@ -175,7 +190,7 @@ def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> Data
             lines, ids = [], []
             for t in batch["text"]:
                 for x in lines_of(t.as_py()):
-                    if len(x) < least:
+                    if len(x) < classes[0][0] or not WORD.search(x):
                         continue
                     d = xxhash.xxh3_64_intdigest(x.encode())
                     if d not in seen:
@@ -184,13 +199,19 @@ def postings(docs: DataFrame, places, key: str, errors: int, least: int) -> Data
                         seen.add(d)
                         lines.append(x)
                         ids.append(d)
-            if lines:
-                at, token = tokens(lines, places, errors, powers)
+            size = np.array([len(x) for x in lines], np.int64)
+            for (low, errors), high in zip(classes, [*(c[0] for c in classes[1:]), 1 << 40], strict=True):
+                # A line just beyond the class may match one in it.
+                own = np.flatnonzero((size >= low) & (size < high + errors))
+                if not len(own):
+                    continue
+                some = [lines[k] for k in own]
+                at, token = tokens(some, places, errors, powers, (low, high))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(np.array(ids, np.uint64).view(np.int64)[at]),
-                     pa.array(bags(lines)[at])], names=["token", "id", "bag"])
+                    [pa.array(token.view(np.int64)), pa.array(np.array([ids[k] for k in own], np.uint64).view(np.int64)[at]),
+                     pa.array(bags(some)[at]), pa.array(np.full(len(at), errors, np.int8))], names=["token", "id", "bag", "errors"])
 
-    rows = src.mapInArrow(run, "token long, id long, bag long")
+    rows = src.mapInArrow(run, "token long, id long, bag long, errors byte")
     return rows.repartition("token").dropDuplicates(["token", "id"])
 
 
@@ -214,15 +235,15 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return src.mapInArrow(run, "line binary, x string").dropDuplicates(["line"])
 
 
-def _links(docs: DataFrame, nodes: DataFrame, key: str, errors: int, least: int) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> DataFrame:
     """(u, v): pairs of different lines within the edit distance."""
     spread = F.lit(0)
     for i in range(10):
         part = F.shiftright(F.col("bag"), 6 * i).bitwiseAND(F.lit(63)) - F.shiftright(F.col("bag2"), 6 * i).bitwiseAND(F.lit(63))
         spread = spread + F.least(F.abs(part), 64 - F.abs(part))
-    index = postings(docs, index_places, key, errors, least)
-    probe = postings(docs, probe_places, key, errors, least).select("token", F.col("id").alias("id2"), F.col("bag").alias("bag2"))
-    pairs = (index.join(probe, "token").where((F.col("id") != F.col("id2")) & (spread <= 2 * errors))
+    index = postings(docs, index_places, key, classes)
+    probe = postings(docs, probe_places, key, classes).select("token", F.col("id").alias("id2"), F.col("bag").alias("bag2"))
+    pairs = (index.join(probe, "token").where((F.col("id") != F.col("id2")) & (spread <= 2 * F.col("errors")))
              .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
     pairs = materialize(pairs, "op6-pairs")
     ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
@@ -234,19 +255,22 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, errors: int, least: int)
     full = (pairs.join(texts.select(F.col("line").alias("u"), F.col("x").alias("a")), "u")
             .join(texts.select(F.col("line").alias("v"), F.col("x").alias("b")), "v"))
 
+    def near(a: str, b: str) -> bool:
+        return within(a, b, errors_of(min(len(a), len(b)), classes))
+
     def verify(batches):
         for batch in batches:
-            yield batch.filter(pa.array([within(a.as_py(), b.as_py(), errors) for a, b in zip(batch["a"], batch["b"], strict=True)],
+            yield batch.filter(pa.array([near(a.as_py(), b.as_py()) for a, b in zip(batch["a"], batch["b"], strict=True)],
                                         pa.bool_())).select(["u", "v"])
 
     return full.select("u", "v", "a", "b").mapInArrow(verify, "u binary, v binary")
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", errors: int = ERRORS, least: int = MIN_CHARS) -> DataFrame:
+def repeats(docs: DataFrame, key: str = "doc_id", classes=CLASSES) -> DataFrame:
     """key, places: the judged lines of a row that are not the first of their class."""
-    lines = materialize(line_table(docs, key, least), "op6-lines")
+    lines = materialize(line_table(docs, key), "op6-lines")
     nodes = materialize(lines.groupBy("line").agg(F.min(F.struct(key, "place")).alias("first"), F.first("id").alias("id"), F.count("*").alias("n")), "op6-nodes")
-    roots = components(_links(docs, nodes, key, errors, least), "op6-roots")
+    roots = components(_links(docs, nodes, key, classes), "op6-roots")
     rooted = (nodes.join(roots.select(F.col("u").alias("line"), F.col("v").alias("root")), "line", "left")
               .withColumn("root", F.coalesce("root", "line")))
     classes = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("total")).where("total > 1")
