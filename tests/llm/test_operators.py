@@ -151,6 +151,16 @@ def test_line_classes_meet():
             assert linedup.errors_of(size) == errors and set(x) & set(y)
 
 
+
+def test_line_dedup_of_null_and_repeated_keys(spark):
+    line = "this is a boilerplate line that occurs in many documents"
+    data = [(None, line), (None, "a clean line of its own\nand one more"), (1, line.replace("many", "mony")),
+            (2, f"first of two rows\n{line}"), (2, "second of them\nnothing here repeats")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in linedup.strip_lines(df).collect()) == [
+        (0, data[1][1]), (0, line), (1, ""), (2, "first of two rows"), (2, data[4][1])]
+
+
 def test_pii_base(spark, none):
     data = ["mail a.b+c@x.example.com, c@d", "ip 1.2.3.4.5.6.7.8 and 300.1.1.1", "card 4539 1488 0343 6467 x",
             "+1 (743) 555-3824 +12", None, "", "é 1.2.3.4"]

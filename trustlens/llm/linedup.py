@@ -13,9 +13,10 @@ banded bit-parallel edit distance.
 Links merge into classes; the first line of a class (by key, then place) stays,
 all others go. Postings of a line leave a task once and are made distinct before
 they meet, so a line in a third of all documents is a few rows. Texts are not
-shuffled: the lines to verify are fetched by their ids.
+shuffled: the lines to verify are fetched by a hash of their rows.
 
-Null text has no lines. Rows that share a key count as one row. Empty tables
+Null text has no lines. Rows are told apart by a hash of key and text: a null or
+repeated key is a row of its own, and copies of a row count as one. Empty tables
 give empty results. ``strip_lines`` keeps all columns; a text all of whose lines
 went becomes empty.
 """
@@ -149,13 +150,17 @@ def within(a: str, b: str, errors: int = ERRORS) -> bool:
     return bool(reach[errors] >> len(a) - len(b) + errors & 1)
 
 
+def _row(key: str):
+    return F.xxhash64(F.col(f"`{key}`").isNull(), F.col(f"`{key}`"), "text")
+
+
 def _source(docs: DataFrame, key: str) -> DataFrame:
     small_batches(docs.sparkSession)
-    return docs.select(F.col(f"`{key}`").alias(key), "text")
+    return docs.select(F.col(f"`{key}`").alias(key), "text", _row(key).alias("row"))
 
 
 def line_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, place, line (128-bit digest) and id (64-bit hash) of every judged line."""
+    """key, row, place, line (128-bit digest) and id (64-bit hash) of every judged line."""
     src = _source(docs, key)
 
     def run(batches):
@@ -170,11 +175,11 @@ def line_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
                         raw = x.encode()
                         digest.append(xxhash.xxh3_128_digest(raw))
                         ids.append(xxhash.xxh3_64_intdigest(raw))
-            yield pa.RecordBatch.from_arrays([batch[key].take(pa.array(at, pa.int64())), pa.array(place, pa.int32()),
+            yield pa.RecordBatch.from_arrays([batch[key].take(pa.array(at, pa.int64())), batch["row"].take(pa.array(at, pa.int64())), pa.array(place, pa.int32()),
                                               pa.array(digest, pa.binary()), pa.array(ids, pa.uint64()).view(pa.int64())],
-                                             names=[key, "place", "line", "id"])
+                                             names=[key, "row", "place", "line", "id"])
 
-    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, place int, line binary, id long")
+    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, row long, place int, line binary, id long")
 
 
 def postings(docs: DataFrame, places, key: str, classes=CLASSES) -> DataFrame:
@@ -216,10 +221,10 @@ def postings(docs: DataFrame, places, key: str, classes=CLASSES) -> DataFrame:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """(line, x): the lines at the wanted (key, place)."""
-    by_row = materialize(wanted.groupBy(key).agg(F.collect_list(F.struct("place", "line")).alias("w")), "op6-wanted")
+    """(line, x): the lines at the wanted (row, place)."""
+    by_row = materialize(wanted.groupBy("row").agg(F.collect_list(F.struct("place", "line")).alias("w")), "op6-wanted")
     few = by_row.count() <= BROADCAST_ROWS
-    src = _source(docs, key).join(F.broadcast(by_row) if few else by_row, key).select("text", "w")
+    src = _source(docs, key).join(F.broadcast(by_row) if few else by_row, "row").select("text", "w")
 
     def run(batches):
         for batch in batches:
@@ -248,7 +253,7 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> Data
     pairs = materialize(pairs, "op6-pairs")
     ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
     named = materialize(nodes.join(ends, "id").select("id", "line", "first"), "op6-named")
-    wanted = named.select(F.col("first")[key].alias(key), F.col("first.place").alias("place"), "line")
+    wanted = named.select(F.col("first.row").alias("row"), F.col("first.place").alias("place"), "line")
     pairs = (pairs.join(named.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
              .join(named.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").select("u", "v"))
     texts = materialize(_texts(docs, wanted, key), "op6-texts")
@@ -267,32 +272,32 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> Data
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", classes=CLASSES) -> DataFrame:
-    """key, places: the judged lines of a row that are not the first of their class."""
+    """row, places: the judged lines of a row that are not the first of their class."""
     lines = materialize(line_table(docs, key), "op6-lines")
-    nodes = materialize(lines.groupBy("line").agg(F.min(F.struct(key, "place")).alias("first"), F.first("id").alias("id"), F.count("*").alias("n")), "op6-nodes")
+    nodes = materialize(lines.groupBy("line").agg(F.min(F.struct(key, "row", "place")).alias("first"), F.first("id").alias("id"), F.count("*").alias("n")), "op6-nodes")
     roots = components(_links(docs, nodes, key, classes), "op6-roots")
     rooted = (nodes.join(roots.select(F.col("u").alias("line"), F.col("v").alias("root")), "line", "left")
               .withColumn("root", F.coalesce("root", "line")))
     classes = rooted.groupBy("root").agg(F.min("first").alias("stays"), F.sum("n").alias("total")).where("total > 1")
     many = rooted.join(classes, "root").select("line", "stays")
-    return (lines.join(many, "line").where(~(F.struct(F.col(key), F.col("place")).eqNullSafe(F.col("stays"))))
-            .groupBy(key).agg(F.sort_array(F.collect_set("place")).alias("places")))
+    return (lines.join(many, "line").where(~(F.struct(F.col(key), F.col("row"), F.col("place")).eqNullSafe(F.col("stays"))))
+            .groupBy("row").agg(F.sort_array(F.collect_set("place")).alias("places")))
 
 
 def report(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
     """key, n_lines, n_removed, removed (places of the removed lines, from 0)."""
-    gone = repeats(docs, key, **parameters).select(F.col(key).alias("__k"), "places")
+    gone = repeats(docs, key, **parameters).select(F.col("row").alias("__k"), "places")
     n = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size(F.split("text", "\n"))).otherwise(0)
-    return (docs.select(F.col(f"`{key}`").alias(key), n.cast("long").alias("n_lines"))
-            .join(gone, F.col(key).eqNullSafe(F.col("__k")), "left")
+    return (docs.select(F.col(f"`{key}`").alias(key), _row(key).alias("row"), n.cast("long").alias("n_lines"))
+            .join(gone, F.col("row") == F.col("__k"), "left")
             .select(key, "n_lines", F.coalesce(F.size("places"), F.lit(0)).cast("long").alias("n_removed"),
                     F.coalesce(F.array_join("places", ","), F.lit("")).alias("removed")))
 
 
 def strip_lines(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
     """The rows without their repeated lines."""
-    gone = materialize(repeats(docs, key, **parameters).select(F.col(key).alias("__k"), F.col("places").alias("__p")), "op6-gone")
+    gone = materialize(repeats(docs, key, **parameters).select(F.col("row").alias("__k"), F.col("places").alias("__p")), "op6-gone")
     few = gone.count() <= BROADCAST_ROWS
-    joined = docs.join(F.broadcast(gone) if few else gone, docs[key].eqNullSafe(F.col("__k")), "left")
+    joined = docs.withColumn("__r", _row(key)).join(F.broadcast(gone) if few else gone, F.col("__r") == F.col("__k"), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("__p"), i)), "\n")
     return joined.withColumn("text", F.when(F.col("__p").isNull(), F.col("text")).otherwise(kept)).select(*docs.columns)
