@@ -233,6 +233,14 @@ def test_extraction(spark):
     assert got == {1: "One & text", 2: "Two", 3: "T\n\nA b", 4: "", 5: ""}
 
 
+
+def test_extraction_of_copies_side_by_side(spark):
+    page = "<body><p>All pages</p><p>{}</p><p>Same foot</p></body>"
+    data = [(i, f"http://h/a/{i}", page.format("Copied" if 1 < i < 7 else f"Own {i}")) for i in range(1, 9)]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got == {i: "Copied" if 1 < i < 7 else f"Own {i}" for i in range(1, 9)}
+
+
 def test_common_subsequence():
     assert extract.shared([1, 2, 3, 4], [2, 9, 4]) == [1, 3]
     assert extract.shared([], [1]) == []
