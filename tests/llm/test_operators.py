@@ -200,6 +200,19 @@ def test_licenses(spark, none):
     assert licenses.scan(none).count() == 0
 
 
+
+def test_licenses_by_full_text_and_notice(spark):
+    full = {i: "\n\n".join(t) for i, t in reversed(licenses.full_texts())}
+    ids = sorted(full)
+    code = "int a;\n/*\n * " + full["MIT"].replace("\n\n", "\n\n\n").replace("\n", "\n * ") + "\n */\nint b;"
+    data = [*[full[i] for i in ids], *["first\n\n" + full[i] + "\n\nlast" for i in ids],
+            "MIT License\n\nCopyright (c) 2020 Me\n\n" + full["MIT"], code, "x\n\n" + licenses.NOTICES[0][1] + "\n\ny",
+            full["GPL-3.0"][:9000]]
+    got = rows(licenses.scan(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string")))
+    want = [*[(i, True) for i in ids], *[(i, False) for i in ids], ("MIT", True), ("MIT", False), ("Apache-2.0", False), ("", False)]
+    assert [(got[i].licenses, got[i].whole) for i in range(len(data))] == want
+
+
 def test_quality(docs, none):
     got = rows(quality.judge(docs))
     for i, t in enumerate(texts()):
