@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from trustlens.llm import decontaminate, extract, licenses, linedup, neardup, packing, pii, quality, repeats, urls
+from trustlens.llm import (centroids, decontaminate, divergence, extract, fingerprints, licenses, linedup, neardup, packing, pii, quality, repeats,
+                           urls)
 from trustlens.llm.common import table
 
 
@@ -56,10 +57,27 @@ def op10_html_extraction(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_document_fingerprints(spark, sf_dir):
+    """Fingerprint of every document and of its edited text, their likeness, and near classes."""
+    return fingerprints.report(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    """Divergence of every two sources of a language, and the terms that set a source apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    """Cluster of every vector after ten exact rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_pii, op3_benchmark_decontamination, op4_minhash_near_dedup, op5_repeated_bytes,
-    op6_line_dedup, op7_license_scan, op8_quality_rules, op9_url_filter, op10_html_extraction)}
+    op6_line_dedup, op7_license_scan, op8_quality_rules, op9_url_filter, op10_html_extraction,
+    op11_document_fingerprints, op12_source_divergence, op13_centroid_clustering)}
 ORACLES = {"op3_benchmark_decontamination": decontaminate.ORACLE,
            "op4_minhash_near_dedup": neardup.ORACLE,
            "op7_license_scan": licenses.ORACLE,
-           "op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE}
+           "op8_quality_rules": quality.ORACLE, "op9_url_filter": urls.ORACLE,
+           "op12_source_divergence": divergence.ORACLE, "op13_centroid_clustering": centroids.ORACLE}
