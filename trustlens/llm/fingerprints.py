@@ -14,9 +14,11 @@ counts. So texts of unlike length still share most of their steps, and any step
 as often as any other. A slot keeps 16 bits of its step and of the ``WINDOW`` characters
 from the walk's place on. Fingerprints are compared by the share of equal slots.
 
-``near_classes`` bands the slots: fingerprints that differ in at most d slots agree in one
-of d + 1 bands, so none is missed. Members of a band meet its least, then its greatest
-member; what still has another class meets pairwise; every pair is verified on all slots.
+``near_classes`` bands the slots: fingerprints that differ in at most d slots agree in all
+but d bands, so none is missed, and of a fingerprint's bands only the rarest are posted,
+as many as it takes for two near ones to meet. Members of a posted band meet its least,
+then its greatest member; those that still have another class meet pairwise; every pair is
+verified on all slots.
 
 ``compare`` puts each text beside the next one (keys descending): rows are dealt into
 ranges of keys, the first row of each range also goes to the range before it, and a task
@@ -40,6 +42,7 @@ from trustlens.llm.graph import components
 from trustlens.session import materialize
 
 SLOTS, WINDOW, PERIOD, SEED = 64, 4, 1024, 20240611
+BANDS = 32                   # of the slots; more than may differ, so that none is missed
 PERCENT = 75                 # least share of equal slots of near fingerprints
 RANGE_BYTES = 4 << 20        # text a range of keys holds about
 MOST_RANGES = 100_000        # finer than that it is not dealt; bounds the borders sent along
@@ -207,14 +210,19 @@ def _alike(pairs: DataFrame, prints: DataFrame, percent: int) -> DataFrame:
     return full.mapInArrow(run, "u long, v long")
 
 
-def near_classes(prints: DataFrame, percent: int = PERCENT, slots: int = SLOTS) -> DataFrame:
+def near_classes(prints: DataFrame, percent: int = PERCENT, slots: int = SLOTS, bands: int = BANDS) -> DataFrame:
     """print, root: the classes of fingerprints linked by pairs with at least ``percent``
     of equal slots (root: the node number of one of them), for prints in classes of several."""
     nodes = materialize(prints.select("print").distinct().withColumn("node", F.xxhash64("print")), "op11-nodes")
-    bands = slots - -(-percent * slots // 100) + 1
+    apart = slots - -(-percent * slots // 100)  # slots in which near ones may differ
     cuts = [i * slots // bands for i in range(bands + 1)]
     parts = F.array(*[F.xxhash64(F.lit(i), F.substring("print", 2 * a + 1, 2 * (b - a))) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
-    posted = nodes.select("node", F.explode(parts).alias("token")).repartition("token")
+    tokens = nodes.select("node", F.explode(parts).alias("token")).repartition("token")
+    common = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    # Of a node's bands that others have, only the rarest: near ones agree in bands - apart of them.
+    least = max(1, bands - apart)
+    own = tokens.join(common, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own")).where(F.size("own") >= least)
+    posted = own.select("node", F.explode(F.slice("own", 1, F.size("own") - (least - 1))).alias("o")).select("node", "o.token")
     ends = posted.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
     posted = materialize(posted.join(ends, "token"), "op11-posted")  # of lists with several nodes
     some = materialize(nodes.join(posted.select("node").distinct(), "node"), "op11-some")
