@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 from trustlens.session import materialize
 
 LEAST, SCALE, TOP = 3, 1_000_000_000, 200
-HELD = 300_000  # terms a task counts before it sends them on
+HELD = 1_000_000  # terms a task counts before it sends them on
 PAIRS_HELD = 1_000_000  # sums of pairs likewise
+STEP = 1 << 20  # node-ancestor combinations computed at once
 # Bytes of a term (letters, and all of characters beyond ASCII), A-Z lower-cased; others part terms.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -55,14 +56,23 @@ def count_terms(docs: DataFrame) -> DataFrame:
         held = 0
 
         def send():
-            rows = [(*g, t, n, own[t]) for g, (every, own) in groups.items() for t, n in every.items()]
-            rows += [(*g, None, 0, 0) for g in groups]
+            columns: list[list] = [[], [], [], [], []]
+            for (lang, source), (every, own) in groups.items():
+                columns[0] += [lang] * (len(every) + 1)
+                columns[1] += [source] * (len(every) + 1)
+                columns[2] += [*every, None]
+                columns[3] += [*every.values(), 0]
+                columns[4] += [*map(own.__getitem__, every), 0]
+                if len(columns[0]) > 50_000:
+                    yield table_of(columns)
+                    columns = [[], [], [], [], []]
             groups.clear()
-            for a in range(0, len(rows), 50_000):
-                lang, source, term, n, d = zip(*rows[a:a + 50_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang), pa.array(source), pa.array(term, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64())],
-                    names=["lang", "source", "term", "n", "docs"])
+            yield table_of(columns)
+
+        def table_of(c):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c[0], pa.string()), pa.array(c[1], pa.string()), pa.array(c[2], pa.binary()).cast(pa.string()),
+                 pa.array(c[3], pa.int64()), pa.array(c[4], pa.int64())], names=["lang", "source", "term", "n", "docs"])
 
         for batch in batches:
             for lang, source, text in zip(batch["lang"].to_pylist(), batch["source"].to_pylist(), batch["text"], strict=True):
@@ -98,19 +108,42 @@ def path_corrections(rows: DataFrame) -> DataFrame:
         return (p - q) * (p - q) // q
 
     def run(batches):
-        lang, path, passed = None, np.empty((0, 3), np.int64), []  # the open nodes, and how many terms pass each
+        lang, last = None, np.empty((0, 3), np.int64)  # the path of the row before
+        open_: list[tuple[int, int]] = []  # of each node on it: where its path starts in ``items``, terms that passed
         sums: dict[tuple[int, int], int] = {}
+        closed: list[tuple[int, int, int]] = []  # (start of the path, depth, terms) of nodes not yet added
+
+        def add(items):
+            """The closed nodes meet their ancestors: the items of the same path before them."""
+            a = 0
+            while a < len(closed):
+                b, room = a, STEP
+                while b < len(closed) and (b == a or room >= closed[b][1]):
+                    room -= closed[b][1]
+                    b += 1
+                start, depth, m = np.array(closed[a:b], np.int64).T
+                a = b
+                node, m = np.repeat(start + depth, depth), np.repeat(m, depth)
+                up = np.arange(len(node)) - np.repeat(np.cumsum(depth) - depth - start, depth)
+                (x, p, p0), (y, q, q0) = items[node].T, items[up].T
+                both = np.stack([f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0), f(q, p) - f(q0, p) - f(q, p0) + f(q0, p0)])
+                pair, at = np.unique((x << 32) + y, return_inverse=True)
+                # Exact sums: upper and lower halves apart, few enough terms at once.
+                for terms in np.array_split(np.arange(len(m)), 1 + int(m.astype(float).sum()) // (1 << 30)):
+                    for c, back in zip(both, (False, True), strict=True):
+                        high, low = np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
+                        np.add.at(high, at[terms], (c[terms] >> 32) * m[terms])
+                        np.add.at(low, at[terms], (c[terms] & 0xFFFFFFFF) * m[terms])
+                        for k, h, w in zip(pair.tolist(), high.tolist(), low.tolist(), strict=True):
+                            k = (k & 0xFFFFFFFF, k >> 32) if back else (k >> 32, k & 0xFFFFFFFF)
+                            sums[k] = sums.get(k, 0) + (h << 32) + w
+            closed.clear()
 
         def close(depth):
-            """Nodes below ``depth`` meet their ancestors; the rest of the path stays."""
-            while len(passed) > depth:
-                m, node, up = passed.pop(), path[len(passed)], path[:len(passed)]
-                there = f(node[1], up[:, 1]) - f(node[1], up[:, 2]) - f(node[2], up[:, 1]) + f(node[2], up[:, 2])
-                back = f(up[:, 1], node[1]) - f(up[:, 2], node[1]) - f(up[:, 1], node[2]) + f(up[:, 2], node[2])
-                b = int(node[0])
-                for a, x, y in zip(up[:, 0].tolist(), there.tolist(), back.tolist(), strict=True):
-                    sums[b, a] = sums.get((b, a), 0) + m * x
-                    sums[a, b] = sums.get((a, b), 0) + m * y
+            while len(open_) > depth:
+                start, m = open_.pop()
+                if open_:
+                    closed.append((start, len(open_), m))
 
         def send():
             keys = list(sums)
@@ -122,23 +155,34 @@ def path_corrections(rows: DataFrame) -> DataFrame:
             sums.clear()
 
         for batch in batches:
+            if not batch.num_rows:
+                continue
             flat = batch["items"].flatten()
-            every = np.stack([flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
-            start = 0
-            for own, m, size in zip(batch["lang"].to_pylist(), batch["m"].to_pylist(), pc.list_value_length(batch["items"]).to_pylist(), strict=True):
-                items = every[start:start + size]
-                start += size
-                if own != lang or len(sums) > PAIRS_HELD:
+            own = np.stack([flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1)
+            # The open path comes first; its nodes are found there from now on.
+            items, open_ = np.concatenate([last, own]), [(0, m) for _, m in open_]
+            size = np.concatenate([[len(last)], pc.list_value_length(batch["items"]).to_numpy()]).astype(np.int64)
+            start = np.cumsum(size) - size
+            depth = np.arange(len(own)) - np.repeat(start[1:] - len(last), size[1:])
+            before = np.repeat(start[:-1], size[1:]) + depth
+            same = depth < np.repeat(size[:-1], size[1:])
+            same &= (own == items[np.minimum(before, len(items) - 1)]).all(axis=1)
+            shared = np.minimum.reduceat(np.where(same, np.repeat(size[1:], size[1:]), depth), start[1:] - len(last))
+            for of, m, n, s, k in zip(batch["lang"].to_pylist(), batch["m"].to_pylist(), size[1:].tolist(), start[1:].tolist(), shared.tolist(), strict=True):
+                if of != lang:
                     close(0)
+                    add(items)
                     yield from send()
-                    lang = own
-                most = min(size, len(passed))
-                same = (items[:most] == path[:most]).all(axis=1)
-                shared = most if same.all() else int(same.argmin())
-                close(shared)
-                path = items
-                passed[:] = [n + m for n in passed] + [m] * (size - shared)
+                    lang, k = of, 0
+                close(k)
+                open_ = [(a, c + m) for a, c in open_] + [(s, m)] * (n - k)  # a node's path starts where its first row does
+            last = own[len(own) - int(size[-1]):]
+            add(items)
+            if len(sums) > PAIRS_HELD:
+                yield from send()
+        open_ = [(0, m) for _, m in open_]
         close(0)
+        add(last)
         yield from send()
 
     return dealt.select("lang", "items", "m").mapInArrow(run, "lang string, a int, b int, c decimal(38,0)")
