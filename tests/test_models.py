@@ -183,9 +183,8 @@ def test_cart_and_predict_match_recursive(spark):
     y = np.where(X[:, 0] * 2 - X[:, 1] + RNG.normal(0, 3, 120) > 5, 1, -1)
     rows = [(i, int(y[i]), *map(float, X[i])) for i in range(120)]
     df = spark.createDataFrame(rows, "review_id int, y int, f0 double, f1 double, f2 double")
-    long = FR.to_long(df, "review_id", ["f0", "f1", "f2"])
-    nodes = FR.fit_cart(long, df.select("review_id", "y"), max_depth=3)
-    feats = df.select("review_id", F.array("f0", "f1", "f2").alias("feature_values"))
+    feats = df.select("review_id", "y", F.array("f0", "f1", "f2").alias("feature_values"))
+    nodes = FR.fit_cart(feats, max_depth=3)
     got = {r.review_id: r.tree_prediction for r in FR.predict_cart(feats, nodes, max_depth=3).collect()}
     tree = py_cart(X, y, max_depth=3)
     want = {i: py_predict(tree, X[i]) for i in range(120)}

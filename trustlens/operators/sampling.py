@@ -3,19 +3,25 @@
 All randomness is a hash of (seed, stage, row key): results do not depend on
 partitioning or on the number of executors, and an SQL engine reproduces them.
 
-Exact ranks without a single hot partition
-------------------------------------------
-``row_number() OVER (PARTITION BY label ORDER BY key)`` would put a whole class
-(possibly a third of the table) into one task. Instead the key's first
-``digits`` hex characters form a bucket: rows are counted per (class, bucket)
-(at most 16**digits rows per class), running offsets are taken over that small
-table, and ``row_number`` runs only inside (class, bucket). md5 buckets are
-uniform by construction, so no bucket is hot. The offsets table is joined back
-(AQE broadcasts it when its runtime size is small).
+Exact draws without moving rows
+-------------------------------
+"The first k rows of a class in hash order" is a filter once the hash of the k-th row is
+known. ``first_of_class`` finds it from counts: rows are counted per (class, next four hex
+digits of the hash), the digits that hold the k-th row are kept, and the count is refined
+inside them until few rows are left, of which the k-th is taken. Each pass reads only the
+key columns and returns one row a class; the rows themselves are filtered where they are,
+in the scan, and never shuffled.
+
+Ranks (``hash_rank``) are for where every row needs its own: the first hex digits form a
+bucket, rows are counted per (class, bucket), running offsets are taken over that small
+table, and ``row_number`` runs only inside (class, bucket). md5 buckets are uniform by
+construction, so none is hot.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +29,7 @@ from trustlens.functions.text import col_of
 
 DEFAULT_SEED = 42
 BUCKET_DIGITS = 4
+FEW_ROWS = 10_000  # of a class, ordered at once to find its k-th row
 
 
 def hash_key(seed: int, stage: str, *cols: Column | str) -> Column:
@@ -77,20 +84,83 @@ def _profile_of(counts: DataFrame, label: str) -> DataFrame:
         "n_classes", "total")
 
 
-def _is(label: str, which: str) -> Column:
-    return F.coalesce(F.col(label) == F.col(which), F.lit(False))
-
-
-def _with_profile(df: DataFrame, label: str) -> DataFrame:
-    prof = class_profile(df, label).select("majority", "minority", "majority_count",
-                                           "minority_count")
-    return df.crossJoin(F.broadcast(prof))
+def class_counts(df: DataFrame, label: str | None) -> dict:
+    """Rows of each class on the driver (one number a class; None: rows without a label)."""
+    if label is None:
+        return {None: df.count()}
+    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def kth_keys(df: DataFrame, label: str | None, key: Column, ids: list[str], wanted: dict, few: int = FEW_ROWS,
+             digits: int = BUCKET_DIGITS) -> dict:
+    """class -> (hash of its k-th row by hash and ids, rows with that hash that are among
+    the first k, rows with that hash) for the classes in ``wanted`` (class: (k, rows))."""
+    spark = df.sparkSession
+    kind = df.schema[label].dataType.simpleString() if label else "string"
+    narrow = df.select((F.col(label) if label else F.lit(None).cast("string")).alias("c"), key.alias("h"), *[F.col(i).alias(f"_{n}") for n, i in enumerate(ids)])
+
+    def inside(state):
+        """The rows of each class whose hash starts with the digits found so far."""
+        now = F.broadcast(spark.createDataFrame([(c, p, k) for c, (p, k, _) in state.items()], f"_c {kind}, p string, k long"))  # one row a class
+        return narrow.join(now, narrow["c"].eqNullSafe(F.col("_c")) & F.col("h").startswith(F.col("p"))).drop("_c")
+
+    state = {c: ("", k, n) for c, (k, n) in wanted.items()}
+    while True:
+        wide = {c: x for c, x in state.items() if x[2] > few and len(x[0]) < 32}
+        if not wide:
+            break
+        at = F.length("p") + 1
+        counts = inside(wide).groupBy("c", "k", F.substring("h", 1, at + digits - 1).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("c").orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = counts.withColumn("upto", upto).where((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("n") < F.col("k")))
+        state.update({r["c"]: (r["b"], r["k"] - (r["upto"] - r["n"]), r["n"]) for r in found.collect()})
+    order = Window.partitionBy("c").orderBy("h", *[f"_{n}" for n in range(len(ids))])
+    out = {c: (p, k, n) for c, (p, k, n) in state.items() if len(p) >= 32}  # rows that share one hash
+    small = {c: x for c, x in state.items() if c not in out}
+    if small:
+        ranked = inside(small).select("c", "h", "k", F.row_number().over(order).alias("i"))
+        last = ranked.where("i = k").select("c", F.col("h").alias("last"), "k")
+        same = (ranked.drop("k").join(last, ranked["c"].eqNullSafe(last["c"]) & (F.col("h") == F.col("last"))).drop(last["c"])
+                .groupBy("c", "last", "k").agg(F.count(F.lit(1)).alias("n"), F.min("i").alias("low")))
+        out.update({r["c"]: (r["last"], r["k"] - r["low"] + 1, r["n"]) for r in same.collect()})
+    return out
 
 
-def _ranked(df: DataFrame, label: str, seed: int, stage: str, id_col: str,
-            copy_col: str | None = None) -> DataFrame:
-    keys = [id_col] + ([copy_col] if copy_col else [])
-    return hash_rank(df, [label], hash_key(seed, stage, *keys), keys)
+def first_of_class(df: DataFrame, label: str | None, key: Column, ids: list[str], ranks: dict, counts: dict, out: str,
+                   few: int = FEW_ROWS) -> DataFrame:
+    """The rows with ``out``: whether a row is among the first ``ranks[class]`` of its class
+    by (hash, ids). Classes that ``ranks`` does not name have none. Rows are only read and
+    filtered; where rows share their hash and ids across the border, those few are ranked."""
+    wanted = {c: (min(k, counts[c]), counts[c]) for c, k in ranks.items() if counts.get(c) and 0 < k < counts[c]}
+    whole = [c for c, k in ranks.items() if counts.get(c) and k >= counts[c]]
+    last = kth_keys(df, label, key, ids, wanted, few) if wanted else {}
+    rows = [(c, h, m == n, m) for c, (h, m, n) in last.items()] + [(c, None, True, None) for c in whole]
+    if label is None:
+        h, all_, most = (rows[0][1:] if rows else ("", True, None))
+        d = df.withColumns({"_last": F.lit(h).cast("string"), "_all": F.lit(all_), "_most": F.lit(most).cast("long")})
+    else:
+        kind = df.schema[label].dataType.simpleString()
+        cuts = df.sparkSession.createDataFrame(rows, f"_c {kind}, _last string, _all boolean, _most long")  # one row a class
+        d = df.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_c")), "left").withColumn(
+            "_last", F.when(F.col("_all").isNull(), F.lit("")).otherwise(F.col("_last"))).drop("_c")
+    d = d.withColumn("_h", key)
+    inside = F.col("_last").isNull() | (F.col("_h") < F.col("_last")) | (F.col("_all") & (F.col("_h") == F.col("_last")))
+    d = d.withColumn(out, F.coalesce(inside, F.lit(False)))
+    if not all(r[2] for r in rows):
+        tied = ~F.coalesce(F.col("_all"), F.lit(True)) & (F.col("_h") == F.col("_last"))
+        order = Window.partitionBy(*([label] if label else []), "_last").orderBy(*ids)
+        ranked = d.where(tied).withColumn(out, F.row_number().over(order) <= F.col("_most"))
+        d = d.where(~F.coalesce(tied, F.lit(False))).unionByName(ranked)
+    return d.drop("_h", "_last", "_all", "_most")
+
+
+def _extremes(counts: dict):
+    """(majority, minority) of the counts, or None without a labelled row; ties as in ``class_profile``."""
+    own = {c: n for c, n in counts.items() if c is not None}
+    if not own:
+        return None
+    most, least = max(own.values()), min(own.values())
+    return min(c for c, n in own.items() if n == most), max(c for c, n in own.items() if n == least)
 
 
 def undersample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
@@ -101,35 +171,35 @@ def undersample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
     ``target='mid'`` draws ``int((majority + minority) / 2)`` instead (H4).
     Classes between the two, and rows without a label, stay whole.
     """
-    r = _with_profile(_ranked(df, label, seed, "undersample", id_col), label)
-    n = F.col("minority_count") if target == "minority" else \
-        F.floor((F.col("majority_count") + F.col("minority_count")) / 2)
-    others = ~_is(label, "majority")
-    if target != "minority":
-        others = others & ~_is(label, "minority")
-    keep = (_is(label, "majority") & (F.col("rank") <= n)) | others
-    return (r.where(keep).withColumn("copy_no", F.lit(0).cast("long"))
-             .drop("_key", "rank", "majority", "minority", "majority_count", "minority_count"))
+    counts = class_counts(df, label)
+    ends = _extremes(counts)
+    if ends is None:
+        return df.withColumn("copy_no", F.lit(0).cast("long"))
+    big, small = ends
+    n = counts[small] if target == "minority" else (counts[big] + counts[small]) // 2
+    ranks = {c: k for c, k in counts.items() if target == "minority" or c != small} | {big: n}
+    d = first_of_class(df, label, hash_key(seed, "undersample", id_col), [id_col], ranks, counts, "_kept")
+    return d.where("_kept").drop("_kept").withColumn("copy_no", F.lit(0).cast("long"))
 
 
 def draw_with_replacement(df: DataFrame, label: str, seed: int, stage: str, id_col: str,
-                          n_draws: Column) -> DataFrame:
+                          minority, size: int, n_draws: int) -> DataFrame:
     """Draws (with replacement) from the minority class, ``n_draws`` of them.
 
-    Draw d picks the minority row of rank ``hash(seed, stage, d) % m + 1``.
-    The draws table is built from the majority class's own ranks
-    (``rank - 1`` for ranks up to ``n_draws``), so it is distributed like the
-    data and needs no driver-side count; it is then an equi-join on rank.
+    Draw d picks the minority row of rank ``hash(seed, stage, d) % size + 1``. Draws and
+    ranks meet as (number, id) pairs; the class's rows are shuffled once, to fetch the
+    drawn ones by their id.
     """
-    r = _with_profile(_ranked(df, label, seed, stage, id_col), label)
-    draws = (r.where((F.col(label) == F.col("majority")) & (F.col("rank") <= n_draws))
-              .select((F.col("rank") - 1).alias("copy_no"), "minority_count"))
-    draws = draws.withColumn(
-        "rank", hash_int(hash_key(seed, stage + "-draw", "copy_no")) % F.col("minority_count") + 1
-    ).drop("minority_count")
-    minority = r.where(F.col(label) == F.col("minority")).drop(
-        "_key", "majority", "minority", "majority_count", "minority_count")
-    return minority.join(draws, "rank", "inner").drop("rank")
+    own = df.where(F.col(label) == F.lit(minority))
+    key = hash_key(seed, stage, id_col)
+    draws = df.sparkSession.range(n_draws).select(
+        F.col("id").alias("copy_no"), (hash_int(hash_key(seed, stage + "-draw", "id")) % F.lit(size) + 1).alias("_rank"))
+    repeated = own.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    if repeated:  # an id names several rows: the rows themselves are ranked
+        return hash_rank(own, [], key, [id_col], out="_rank").drop("_key").join(draws, "_rank").drop("_rank")
+    ranks = hash_rank(own.select(id_col), [], key, [id_col], out="_rank").drop("_key")
+    drawn = ranks.join(draws, "_rank").select(F.col(id_col).alias("_id"), "copy_no")
+    return own.join(drawn, own[id_col].eqNullSafe(F.col("_id"))).drop("_id")
 
 
 def oversample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
@@ -137,23 +207,28 @@ def oversample(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
     """H3: the whole majority class plus ``majority_count`` draws with
     replacement from the minority class (``copy_no`` = draw number). Classes
     between the two, and rows without a label, stay whole."""
-    prof = F.col("majority_count")
-    draws = draw_with_replacement(df, label, seed, "oversample", id_col, prof)
-    r = _with_profile(df, label)
-    majority = (r.where(_is(label, "majority") | ~_is(label, "minority"))
-                 .drop("majority", "minority", "majority_count", "minority_count")
-                 .withColumn("copy_no", F.lit(0).cast("long")))
-    return majority.unionByName(draws)
+    counts = class_counts(df, label)
+    ends = _extremes(counts)
+    rest = df.withColumn("copy_no", F.lit(0).cast("long"))
+    if ends is None:
+        return rest
+    big, small = ends
+    if big != small:
+        rest = rest.where(~F.coalesce(F.col(label) == F.lit(small), F.lit(False)))
+    return rest.unionByName(draw_with_replacement(df, label, seed, "oversample", id_col, small, counts[small], counts[big]))
 
 
 def hybrid_balance(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
                    id_col: str = "review_id") -> DataFrame:
     """H4: both classes to ``int((majority + minority) / 2)``: the majority
     without replacement, the minority with replacement."""
-    mid = F.floor((F.col("majority_count") + F.col("minority_count")) / 2)
+    counts = class_counts(df, label)
+    ends = _extremes(counts)
     down = undersample(df, label, seed, id_col, target="mid")
-    up = draw_with_replacement(df, label, seed, "hybrid", id_col, mid)
-    return down.unionByName(up)
+    if ends is None:
+        return down
+    big, small = ends
+    return down.unionByName(draw_with_replacement(df, label, seed, "hybrid", id_col, small, counts[small], (counts[big] + counts[small]) // 2))
 
 
 def balance_comparison(df: DataFrame, label: str = "label", seed: int = DEFAULT_SEED,
@@ -217,37 +292,29 @@ def split_exact(df: DataFrame, frac: float = 0.8, seed: int = DEFAULT_SEED,
                 id_cols=("review_id",), stage: str = "split") -> DataFrame:
     """H8: ``set`` = 'train' for the first ``int(n * frac)`` rows in seeded
     hash order, 'test' for the rest; exact sizes."""
-    r = hash_rank(df, [], hash_key(seed, stage, *id_cols), list(id_cols))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    cut = F.floor(F.col("_total") * F.lit(frac))
-    return (r.crossJoin(F.broadcast(total))
-             .withColumn("set", F.when(F.col("rank") <= cut, F.lit("train")).otherwise(F.lit("test")))
-             .drop("_key", "_total"))
+    counts = class_counts(df, None)
+    d = first_of_class(df, None, hash_key(seed, stage, *id_cols), list(id_cols), {None: math.floor(counts[None] * frac)}, counts, "_train")
+    return d.withColumn("set", F.when(F.col("_train"), F.lit("train")).otherwise(F.lit("test"))).drop("_train")
 
 
 def split_validation(train: DataFrame, frac: float = 0.1, seed: int = DEFAULT_SEED,
                      id_cols=("review_id",)) -> DataFrame:
     """H9: the first ``max(1, int(n_train * frac))`` training rows (same hash
     order as the split) are the validation set."""
-    r = hash_rank(train, [], hash_key(seed, "split", *id_cols), list(id_cols), out="_vrank")
-    total = train.agg(F.count(F.lit(1)).alias("_total"))
-    cut = F.greatest(F.lit(1), F.floor(F.col("_total") * F.lit(frac)))
-    return (r.crossJoin(F.broadcast(total))
-             .withColumn("is_validation", F.col("_vrank") <= cut)
-             .drop("_key", "_total", "_vrank"))
+    counts = class_counts(train, None)
+    return first_of_class(train, None, hash_key(seed, "split", *id_cols), list(id_cols),
+                          {None: max(1, math.floor(counts[None] * frac))}, counts, "is_validation")
 
 
 def split_stratified(df: DataFrame, label: str = "label", frac: float = 0.8,
                      seed: int = DEFAULT_SEED, id_cols=("review_id",)) -> DataFrame:
     """Per class, the first ``round(n_class * (1 - frac))`` rows in hash
     order are 'test', the rest 'train'."""
-    r = hash_rank(df, [label], hash_key(seed, "stratified", *id_cols), list(id_cols))
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    n_test = F.round(F.col("_n") * F.lit(1.0 - frac)).cast("long")
-    sizes = sizes.withColumnRenamed(label, "_class")
-    return (r.join(sizes, r[label].eqNullSafe(sizes["_class"]), "inner").drop("_class")
-             .withColumn("set", F.when(F.col("rank") <= n_test, F.lit("test")).otherwise(F.lit("train")))
-             .drop("_key", "_n"))
+    counts = class_counts(df, label)
+    # half up, on the product as Spark and SQL compute it
+    ranks = {c: math.floor(n * (1.0 - frac) + 0.5) for c, n in counts.items()}
+    d = first_of_class(df, label, hash_key(seed, "stratified", *id_cols), list(id_cols), ranks, counts, "_test")
+    return d.withColumn("set", F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

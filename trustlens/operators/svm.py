@@ -1,17 +1,20 @@
 """Linear SVM by batch gradient descent, MLlib LinearSVC, PCA, covariance.
 
-Gradient descent keeps the weights on the driver (one double per feature,
-bounded by the vocabulary size + 32) and runs one aggregation per step over
-the cached training table: the margin needs ``x . w`` (a zip over the vector's
-array form with the broadcast weights), and the gradient needs
-``sum(mask * y * x)``, an MLlib ``Summarizer`` sum. Each step's plan starts
-from the cached input, so lineage does not grow with the number of steps.
+Gradient descent reads its rows from blocks written once to the shared folder: each
+block holds up to ``BLOCK_ROWS`` rows of one set (train or validation) as a matrix, in
+compressed sparse rows where most entries are zero. A step is one pass over the blocks:
+a block product gives the margins, another one ``sum(mask * y * x)``, and a task returns
+one row a set. Nothing is densified, no row is handled on its own, and a lost executor
+reads its blocks again. The weights (one double per feature, bounded by the vocabulary
+size + 32) stay on the driver; every step plans from the same written table, so lineage
+does not grow with the number of steps.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEARNING_RATE = 0.01
@@ -19,50 +22,106 @@ LAMBDA = 0.01
 MAX_ITER = 2000
 TOL = 1e-6
 PATIENCE = 50
+BLOCK_ROWS = 4096
+BLOCK_ENTRIES = 1 << 22   # stored numbers of a block (32 MB)
+DIRECT_BLOCKS = 256       # blocks whose partial sums the driver adds up itself
 
 
-def _dot(features: str, weights: str):
-    from pyspark.ml.functions import vector_to_array
-    prod = F.zip_with(vector_to_array(features), F.col(weights), lambda a, b: a * b)
-    return F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v)
+def row_blocks(df: DataFrame, features: str = "features", y: str = "y", part: str | None = None,
+               rows: int = BLOCK_ROWS) -> DataFrame:
+    """(part, n, width, y, starts, places, numbers) of blocks of rows: the rows' labels, and
+    their entries in compressed sparse rows; without ``starts`` the block is dense."""
+    src = df.select((F.col(part).cast("string") if part else F.lit("")).alias("part"), F.col(y).cast("double").alias("y"),
+                    F.unwrap_udt(features).alias("x"))
 
+    def pack(of, y, size, places, counts, numbers):
+        n, nnz = len(y), len(numbers)
+        starts = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
+        if 2 * nnz >= n * size:  # most entries are there
+            full = np.zeros((n, size))
+            full[np.repeat(np.arange(n), counts), places] = numbers
+            cells = (None, None, full.tobytes())
+        else:
+            cells = (starts.tobytes(), places.astype("<i4").tobytes(), numbers.tobytes())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([of]), pa.array([n], pa.int64()), pa.array([size], pa.int32()), pa.array([y.astype("<f8").tobytes()], pa.binary()),
+             *[pa.array([c], pa.binary()) for c in cells]], names=["part", "n", "width", "y", "starts", "places", "numbers"])
 
-def _with_weights(df: DataFrame, w: np.ndarray, b: float) -> DataFrame:
-    spark = df.sparkSession
-    wdf = spark.createDataFrame([([float(x) for x in w], float(b))], "_w array<double>, _b double")
-    return df.crossJoin(F.broadcast(wdf))
+    def run(batches):
+        waiting: dict[str, list] = {}
+        for batch in batches:
+            for of, label, x in zip(batch["part"].to_pylist(), batch["y"].to_pylist(), batch["x"].to_pylist(), strict=True):
+                numbers = np.array(x["values"], float)
+                if x["type"]:
+                    size, places = len(numbers), np.flatnonzero(numbers)
+                    numbers = numbers[places]
+                else:
+                    size, places = x["size"], np.array(x["indices"], np.int64)
+                own = waiting.setdefault(of, [0, []])
+                own[0] += len(numbers)
+                own[1].append((label, size, places, numbers))
+                if len(own[1]) >= rows or own[0] >= BLOCK_ENTRIES:
+                    yield block(of, own[1])
+                    del waiting[of]
+        for of, own in waiting.items():
+            yield block(of, own[1])
+
+    def block(of, own):
+        y, size, places, numbers = zip(*own, strict=True)
+        return pack(of, np.array(y), size[0], np.concatenate(places), [len(p) for p in places], np.concatenate(numbers))
+
+    return src.mapInArrow(run, "part string, n long, width int, y binary, starts binary, places binary, numbers binary")
+
+
+def block_sums(blocks: DataFrame, w: np.ndarray, b: float) -> DataFrame:
+    """Per task and part: n, sum of hinge losses, sum(mask*y), sum(mask*y*x)."""
+    w = np.asarray(w, float)
+
+    def run(batches):
+        sums: dict[str, list] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                y, numbers = np.frombuffer(r["y"], "<f8"), np.frombuffer(r["numbers"], "<f8")
+                if r["starts"] is None:
+                    x = numbers.reshape(r["n"], r["width"])
+                    margin = 1 - y * (x @ w + b)
+                else:
+                    starts, places = np.frombuffer(r["starts"], "<i8"), np.frombuffer(r["places"], "<i4")
+                    row = np.repeat(np.arange(r["n"]), np.diff(starts))
+                    margin = 1 - y * (np.bincount(row, numbers * w[places], r["n"]) + b)
+                pull = np.where(margin > 0, y, 0.0)
+                grad = pull @ x if r["starts"] is None else np.bincount(places, numbers * pull[row], r["width"])
+                own = sums.setdefault(r["part"], [0, 0.0, 0.0, 0.0])
+                for i, v in enumerate((r["n"], np.maximum(margin, 0).sum(), pull.sum(), grad)):
+                    own[i] = own[i] + v
+        for of, (n, hinge, my, myx) in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([of]), pa.array([n], pa.int64()), pa.array([float(hinge)]), pa.array([float(my)]), pa.array([myx.tolist()], pa.list_(pa.float64()))],
+                names=["part", "n", "hinge", "sum_my", "sum_myx"])
+
+    return blocks.mapInArrow(run, "part string, n long, hinge double, sum_my double, sum_myx array<double>")
+
+
+def total_sums(partial: DataFrame) -> DataFrame:
+    """The tasks' sums added up, one row a part; the components meet by their number."""
+    whole = partial.groupBy("part").agg(F.sum("n").alias("n"), F.sum("hinge").alias("hinge"), F.sum("sum_my").alias("sum_my"))
+    parts = (partial.select("part", F.posexplode("sum_myx").alias("i", "v")).groupBy("part", "i").agg(F.sum("v").alias("v"))
+             .groupBy("part").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("sum_myx")))
+    return whole.join(parts, "part")
 
 
 def hinge_sums(df: DataFrame, w: np.ndarray, b: float, features: str = "features",
                y: str = "y", group: str | None = None) -> DataFrame:
-    """Per group: n, sum of hinge losses, sum(mask*y), and sum(mask*y*x) as a vector."""
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
-    d = _with_weights(df, w, b)
-    margin = F.lit(1.0) - F.col(y) * (_dot(features, "_w") + F.col("_b"))
-    d = d.withColumn("_m", margin)
-    mask_y = F.when(F.col("_m") > 0, F.col(y).cast("double")).otherwise(F.lit(0.0))
-    d = d.withColumn("_my", mask_y).withColumn(
-        "_myx", array_to_vector(F.transform(vector_to_array(features), lambda v: v * F.col("_my"))))
-    keys = [group] if group else []
-    return d.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.greatest(F.col("_m"), F.lit(0.0))).alias("hinge"),
-        F.sum("_my").alias("sum_my"),
-        Summarizer.sum(F.col("_myx")).alias("sum_myx"))
+    """Per group (as ``part``): n, sum of hinge losses, sum(mask*y), sum(mask*y*x) as an array."""
+    return total_sums(block_sums(row_blocks(df, features, y, group), w, b))
 
 
 def hinge_loss_grad(df: DataFrame, w: np.ndarray, b: float, lam: float = LAMBDA,
                     features: str = "features", y: str = "y"):
     """(loss, grad_w, grad_b) for given weights over the whole table."""
     row = hinge_sums(df, w, b, features, y).first()
-    n = row["n"]
-    loss = row["hinge"] / n + lam * float(np.dot(w, w))
-    if row["sum_my"] == 0 and not np.any(row["sum_myx"].toArray()):
-        return loss, 2 * lam * w, 0.0
-    grad_w = 2 * lam * w - row["sum_myx"].toArray() / n
-    grad_b = -row["sum_my"] / n
-    return loss, grad_w, grad_b
+    n, w = row["n"], np.asarray(w, float)
+    return (row["hinge"] / n + lam * float(np.dot(w, w)), 2 * lam * w - np.array(row["sum_myx"]) / n, -row["sum_my"] / n)
 
 
 class LinearSVMModel:
@@ -78,59 +137,80 @@ class LinearSVMModel:
         return spark.createDataFrame(rows, "feature_id int, weight double")
 
 
+def _step_sums(blocks: DataFrame, w: np.ndarray, b: float, direct: bool) -> dict:
+    partial = block_sums(blocks, w, b)
+    out: dict[str, list] = {}
+    for r in (partial if direct else total_sums(partial)).collect():
+        own = out.setdefault(r["part"], [0, 0.0, 0.0, 0.0])
+        for i, v in enumerate((r["n"], r["hinge"], r["sum_my"], np.array(r["sum_myx"]))):
+            own[i] = own[i] + v
+    return out
+
+
 def fit_linear_svm(train: DataFrame, val: DataFrame | None = None, lr: float = LEARNING_RATE,
                    lam: float = LAMBDA, max_iter: int = MAX_ITER, tol: float = TOL,
-                   patience: int = PATIENCE, features: str = "features", y: str = "y"
-                   ) -> LinearSVMModel:
+                   patience: int = PATIENCE, features: str = "features", y: str = "y",
+                   direct_blocks: int = DIRECT_BLOCKS) -> LinearSVMModel:
     """Batch gradient descent with early stopping on the validation loss.
 
-    One aggregation job per step over train and validation together (a set
-    column), on a cached input.
+    One pass per step over train and validation together. Up to ``direct_blocks`` blocks
+    the tasks' sums (a row a task and set) come to the driver as they are; beyond, Spark
+    adds them up first.
     """
+    from trustlens.session import materialize
     parts = train.select(features, y).withColumn("_set", F.lit("train"))
     if val is not None:
         parts = parts.unionByName(val.select(features, y).withColumn("_set", F.lit("val")))
-    data = parts.cache()
-    n_feat = len(data.select(features).first()[0])
-    w, b = np.zeros(n_feat), 0.0
+    blocks = materialize(row_blocks(parts, features, y, "_set"), "svm-blocks")
+    size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.max("width").alias("width"), F.count_if(F.col("part") == "train").alias("train")).first()
+    if not size["train"]:
+        raise ValueError("no training rows")
+    direct = size["blocks"] <= direct_blocks
+    if direct:  # a handful of tasks a step, however many files were written
+        blocks = blocks.coalesce(max(1, train.sparkSession.sparkContext.defaultParallelism))
+    w, b = np.zeros(size["width"]), 0.0
     best = (np.inf, w.copy(), b)
     bad, history, pending = 0, [], None
-    try:
-        # One job per step: the train gradient at w and the validation loss at
-        # w, which is the check of the previous step's update (the reference
-        # measures validation loss right after each update).
-        for it in range(1, max_iter + 2):
-            rows = {r["_set"]: r for r in hinge_sums(data, w, b, features, y, "_set").collect()}
-            reg = lam * float(np.dot(w, w))
-            if pending is not None:
-                prev_it, prev_loss = pending
-                val_loss = rows["val"]["hinge"] / rows["val"]["n"] + reg if "val" in rows else None
-                history.append((prev_it, prev_loss, val_loss))
-                if val_loss is not None:
-                    if val_loss + tol < best[0]:
-                        best, bad = (val_loss, w.copy(), b), 0
-                    else:
-                        bad += 1
-                    if bad >= patience:
-                        w, b = best[1], best[2]
-                        break
-            if it > max_iter:
-                break
-            tr = rows["train"]
-            n = tr["n"]
-            loss = tr["hinge"] / n + reg
-            w = w - lr * (2 * lam * w - tr["sum_myx"].toArray() / n)
-            b = b - lr * (-tr["sum_my"] / n)
-            pending = (it, float(loss))
-    finally:
-        data.unpersist()
+    # One job per step: the train gradient at w and the validation loss at w, which is
+    # the check of the previous step's update (measured right after each update).
+    for it in range(1, max_iter + 2):
+        sums = _step_sums(blocks, w, b, direct)
+        reg = lam * float(np.dot(w, w))
+        if pending is not None:
+            prev_it, prev_loss = pending
+            val_loss = float(sums["val"][1] / sums["val"][0] + reg) if "val" in sums else None
+            history.append((prev_it, prev_loss, val_loss))
+            if val_loss is not None:
+                if val_loss + tol < best[0]:
+                    best, bad = (val_loss, w.copy(), b), 0
+                else:
+                    bad += 1
+                if bad >= patience:
+                    w, b = best[1], best[2]
+                    break
+        if it > max_iter:
+            break
+        n, hinge, my, myx = sums["train"]
+        w = w - lr * (2 * lam * w - myx / n)
+        b = b - lr * (-my / n)
+        pending = (it, float(hinge / n + reg))
     return LinearSVMModel(w, b, history)
 
 
+def dot(features: str, weights: Column) -> Column:
+    """Product of a vector column with an array of weights, over its stored entries."""
+    x = F.unwrap_udt(features)
+    sparse = F.zip_with(x["indices"], x["values"], lambda i, v: v * F.get(weights, i))
+    full = F.zip_with(x["values"], weights, lambda v, c: v * c)
+    return F.aggregate(F.when(x["type"] == 0, sparse).otherwise(full), F.lit(0.0), lambda acc, v: acc + v)
+
+
 def score_svm(df: DataFrame, model: LinearSVMModel, features: str = "features") -> DataFrame:
     """Decision value and label (score >= 0 is FAKE)."""
-    d = _with_weights(df, model.w, model.b)
-    d = d.withColumn("decision_score", _dot(features, "_w") + F.col("_b")).drop("_w", "_b")
+    spark = df.sparkSession
+    wdf = spark.createDataFrame([([float(x) for x in model.w], float(model.b))], "_w array<double>, _b double")
+    d = df.crossJoin(F.broadcast(wdf))  # one row
+    d = d.withColumn("decision_score", dot(features, F.col("_w")) + F.col("_b")).drop("_w", "_b")
     return d.withColumn("y_pred", F.when(F.col("decision_score") >= 0, F.lit(1)).otherwise(F.lit(-1)))
 
 

@@ -668,6 +668,15 @@ SELECT 0 AS node, feature, round(threshold, 6) AS threshold, round(gain, 6) AS g
 FROM g WHERE gain > 0 AND nl >= 2 AND nr >= 2
 ORDER BY gain DESC, feature ASC, threshold ASC LIMIT 1"""
 
+ORACLES["given_forest"] = """
+WITH x AS (SELECT vec_id AS review_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x FROM embeddings),
+t AS (SELECT review_id, [CASE WHEN x[4] <= 0.02 THEN CASE WHEN x[11] <= -0.05 THEN 1 ELSE -1 END ELSE -1 END,
+                         CASE WHEN x[47] <= -0.08 THEN 1 WHEN x[1] <= 0.1 THEN -1 ELSE 1 END,
+                         CASE WHEN x[8] <= 0.0 THEN -1 ELSE 1 END] AS p FROM x),
+v AS (SELECT *, len(list_filter(p, lambda k: k = 1)) AS fake FROM t)
+SELECT review_id, array_to_string(p, ',') AS tree_predictions, CASE WHEN fake >= 2 THEN 1 ELSE -1 END AS voted,
+       CAST(GREATEST(fake, 3 - fake) AS INTEGER) AS votes, round(fake / 3.0, 6) AS share_fake, round((3 - fake) / 3.0, 6) AS share_real FROM v"""
+
 ORACLES["covariance"] = """
 SELECT 'e' || i AS col_a, 'e' || j AS col_b,
        round(covar_samp(CAST(embedding[i + 1] AS DOUBLE), CAST(embedding[j + 1] AS DOUBLE)), 6) AS covariance

@@ -399,13 +399,12 @@ def q_svm_loss_grad(spark, sf):
     (component -2 = loss, -1 = bias gradient, 0.. = weight gradient)."""
     import numpy as np
 
-    from pyspark.ml.functions import vector_to_array
     from trustlens.operators.svm import LAMBDA, hinge_sums
     w = np.array(svm_weights())
     sums = hinge_sums(emb_vectors(spark, sf), w, SVM_B)
     reg = LAMBDA * float(np.dot(w, w))
     wl = F.array(*[F.lit(float(x)) for x in w])
-    grad = F.zip_with(vector_to_array("sum_myx"), wl,
+    grad = F.zip_with("sum_myx", wl,
                       lambda s, wj: F.lit(2 * LAMBDA) * wj - s / F.col("n"))
     head = sums.select(F.lit(-2).alias("component"), (F.col("hinge") / F.col("n") + reg).alias("value"))
     bias = sums.select(F.lit(-1).alias("component"), (-F.col("sum_my") / F.col("n")).alias("value"))
@@ -503,13 +502,12 @@ def _emb_split(spark, sf):
 
 
 def q_svm_gd_history(spark, sf):
-    """J8 + J9 (validation cut) + J11: five gradient steps with early-stopping
-    bookkeeping; the loss history table."""
+    """J8 + J9 (validation cut) + J11: gradient descent with its own limits (2,000 steps,
+    early stopping with patience 50); the loss history table."""
     from trustlens.operators.svm import fit_linear_svm
     d = _emb_split(spark, sf)
     train = SM.split_validation(d.where(F.col("set") == "train"))
-    m = fit_linear_svm(train.where(~F.col("is_validation")), train.where(F.col("is_validation")),
-                       max_iter=5)
+    m = fit_linear_svm(train.where(~F.col("is_validation")), train.where(F.col("is_validation")))
     return m.loss_history(spark)
 
 
@@ -530,12 +528,44 @@ def q_pca(spark, sf):
     return p.select("review_id", "y", vector_to_array("pca").alias("pc"))
 
 
+def _emb_rows(spark, sf):
+    """review_id, y and the embedding as an array."""
+    return embeddings_wide(spark, sf).select("review_id", "y", F.array(*[F.col(f"e{i}") for i in range(EMB_DIM)]).alias("feature_values"))
+
+
 def q_oob_score(spark, sf):
-    """J18 + J20: out-of-bag accuracy of 30 bagged trees."""
+    """J18 + J19 + J20: out-of-bag accuracy of 30 exact trees grown on their bags."""
     from trustlens.operators.forest import oob_score
-    d = emb_vectors(spark, sf)
-    bags = SM.bootstrap_weights(d, 30)
-    return oob_score(d, bags, 30, max_depth=12)
+    d = _emb_rows(spark, sf)
+    return oob_score(d, SM.bootstrap_weights(d, 30), 30)
+
+
+# --- fixed values: three trees as (node, feature, threshold, left, right, prediction)
+GIVEN_TREES = (
+    ((0, 3, 0.02, 1, 2, None), (1, 10, -0.05, 3, 4, None), (2, None, None, None, None, -1),
+     (3, None, None, None, None, 1), (4, None, None, None, None, -1)),
+    ((0, 46, -0.08, 1, 2, None), (1, None, None, None, None, 1), (2, 0, 0.1, 3, 4, None),
+     (3, None, None, None, None, -1), (4, None, None, None, None, 1)),
+    ((0, 7, 0.0, 1, 2, None), (1, None, None, None, None, -1), (2, None, None, None, None, 1)),
+)
+
+
+def q_given_forest(spark, sf):
+    """J17 + J22 + J23: every embedding down three given trees, their vote and vote shares."""
+    from trustlens.operators.forest import predict_forest
+    nodes = spark.createDataFrame([(t, *n) for t, own in enumerate(GIVEN_TREES) for n in own],
+                                  "tree int, node_id long, feature_id int, threshold double, left long, right long, prediction int")
+    d = predict_forest(_emb_rows(spark, sf), nodes)
+    return d.select("review_id", F.array_join("tree_predictions", ",").alias("tree_predictions"), "voted", "votes",
+                    _r("share_fake").alias("share_fake"), _r("share_real").alias("share_real"))
+
+
+def q_bagged_forest(spark, sf):
+    """J16 + J18 + J19 + J22: exact trees grown together on their bags, the vote on every row."""
+    from trustlens.operators.forest import fit_bagged_forest, predict_forest
+    d = _emb_rows(spark, sf)
+    nodes, _ = fit_bagged_forest(d, SM.bootstrap_weights(d, 30), 30)
+    return predict_forest(d, nodes).select("review_id", "voted", "votes", "share_fake", "share_real")
 
 
 def q_rf_importances(spark, sf):
@@ -565,15 +595,10 @@ def q_nb_overfit(spark, sf):
 def q_cart(spark, sf):
     """J16 + J17: CART (depth 12, leaf >= 2) grown level-wise on the training
     embeddings, predictions for every row."""
-    from trustlens.operators.forest import fit_cart, predict_cart, to_long
-    d = embeddings_wide(spark, sf)
-    split = SM.split_exact(d).drop("rank")
-    train = split.where(F.col("set") == "train")
-    long = to_long(train, "review_id", [f"e{i}" for i in range(EMB_DIM)])
-    nodes = fit_cart(long, train.select("review_id", "y"))
-    feats = split.select("review_id", "set", "y",
-                         F.array(*[F.col(f"e{i}") for i in range(EMB_DIM)]).alias("feature_values"))
-    return predict_cart(feats, nodes).drop("feature_values")
+    from trustlens.operators.forest import fit_cart, predict_cart
+    split = SM.split_exact(_emb_rows(spark, sf)).drop("rank")
+    nodes = fit_cart(split.where(F.col("set") == "train"))
+    return predict_cart(split, nodes).drop("feature_values")
 
 
 def _review_training(spark, sf, correct: bool = False):
@@ -704,6 +729,8 @@ QUERIES = {
     "linear_svc": q_linear_svc,
     "pca": q_pca,
     "oob_score": q_oob_score,
+    "given_forest": q_given_forest,
+    "bagged_forest": q_bagged_forest,
     "rf_importances": q_rf_importances,
     "nb_overfit": q_nb_overfit,
     "cart": q_cart,
