@@ -6,14 +6,20 @@ repeat grows with the length of the shorter line (``CLASSES``); a line is cut in
 that number + 1 segments. A longer line within so many edits of it holds one segment
 unchanged, at a place that the lengths of both limit to a few: each line is posted
 under its own segments and probes, for every length it may match, the substrings
-that could equal a segment of a line of that length. Lines that meet are compared by
-the counts of their characters in the join itself; what passes is verified by a
-banded bit-parallel edit distance.
+that could equal a segment of a line of that length.
 
-Links merge into classes; the first line of a class (by key, then place) stays,
-all others go. Postings of a line leave a task once and are made distinct before
-they meet, so a line in a third of all documents is a few rows. Texts are not
-shuffled: the lines to verify are fetched by a hash of their rows.
+Nearly all probes meet nothing, so postings are small and stay packed until they have met:
+a task sends its tokens sorted, by buckets of the token's range, nine bytes a posting; a
+bucket is joined by looking its probes up among its segments, and only postings that meet
+another line's come out as rows. Their lines are fetched by a hash of their rows; texts
+are not shuffled. Each line is then compared with one other of its lists, twice, and the
+links merged into classes; in lists that still hold several classes every segment owner
+meets every member of another class, in parts of bounded size, and what lengths and the
+counts of characters allow is compared. Every link is verified by a banded bit-parallel edit
+distance, a character of many pairs at a time.
+
+The first line of a class (by key, then place) stays, all others go. Postings of a line
+leave a task once, so a line in a third of all documents is a few rows.
 
 Null text has no lines. Rows are told apart by a hash of key and text: a null or
 repeated key is a row of its own, and copies of a row count as one. Empty tables
@@ -40,6 +46,11 @@ CLASSES = ((10, 1), (30, 2), (100, 4))
 WORD = re.compile(r"[^\W_]")
 BROADCAST_ROWS = 500_000  # most ids sent to every executor; beyond, a shuffle join
 SEEN_LINES = 200_000      # lines a task remembers to post them once
+AT_ONCE = 20_000          # lines whose tokens a task computes together
+POSTED = 4_000_000        # probes a task holds before it sends them on
+LONG_LIST, LIST_ROWS = 256, 2_000  # members of a list's part, and postings of a task, about
+PAIRS_HELD, PAIR_CHARS = 50_000, 4_000_000  # pairs a task gathers, and characters it compares at once
+PROBES, BUCKET_POSTINGS = 54, 1_000_000  # most postings of a line, and of a bucket about
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -68,6 +79,15 @@ def probe_places(size: np.ndarray, errors: int = ERRORS):
                 yield length, i, p + s, n
 
 
+def moved_places(size: np.ndarray, errors: int = ERRORS):
+    """``probe_places`` without a line's own segments."""
+    for gap, (length, i, p, n) in ((g, x) for g in range(errors + 1) for x in index_places(size - g, errors)):
+        after = errors - i
+        for s in range(max(-i, gap - after), min(i, gap + after) + 1):
+            if gap or s:
+                yield length, i, p + s, n
+
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,6 +170,55 @@ def within(a: str, b: str, errors: int = ERRORS) -> bool:
     return bool(reach[errors] >> len(a) - len(b) + errors & 1)
 
 
+def within_many(a: list[str], b: list[str], errors: np.ndarray) -> np.ndarray:
+    """``within`` for many pairs, a character of all of them at a time; pairs that have
+    too many errors already leave."""
+    out = np.zeros(len(a), bool)
+    la, lb = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+    for e in np.unique(errors).tolist():
+        # Pairs of like length together, so many that a block's characters stay few.
+        own = np.flatnonzero((errors == e) & (np.abs(la - lb) <= e))
+        own = own[np.argsort(lb[own])]
+        k = 0
+        while k < len(own):
+            n = max(1, min(len(own) - k, PAIR_CHARS // (int(lb[own[min(k + 4096, len(own)) - 1]]) + 2 * e + 1), 4096))
+            block, k = own[k:k + n], k + n
+            out[block] = _within_block([a[i] for i in block], [b[i] for i in block], la[block], lb[block], e)
+    return out
+
+
+def _within_block(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray, e: int) -> np.ndarray:
+    def columns(side, size, before, rows):
+        """Character by character of all strings; -1 where a string has none."""
+        grid = np.full((rows, len(side)), -1, np.int32)
+        codes = np.frombuffer("".join(side).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+        of = np.repeat(np.arange(len(side)), size)
+        grid[before + np.arange(len(codes)) - np.repeat(np.cumsum(size) - size, size), of] = codes
+        return grid
+
+    steps, width = int(lb.max()), (1 << 2 * e + 1) - 1
+    x, y = columns(a, la, e, max(int(la.max()), steps) + 2 * e + 1), columns(b, lb, 0, steps + 1)
+    out, alive, ends = np.zeros(len(a), bool), np.arange(len(a)), lb
+    reach = [np.full(len(a), (1 << e) * ((1 << i + 1) - 1) & width, np.int32) for i in range(e + 1)]
+    for j in range(steps + 1):
+        if j % 16 == 0 or (ends == j).any():
+            over = ends == j
+            out[alive[over]] = (reach[e][over] >> la[alive[over]] - lb[alive[over]] + e & 1).astype(bool)
+            keep = ~over & (reach[e] != 0)
+            if 4 * keep.sum() < 3 * len(keep) or over.any():
+                alive, ends, x, y, reach = alive[keep], ends[keep], x[:, keep], y[:, keep], [r[keep] for r in reach]
+            if not len(alive):
+                break
+        same = np.zeros(len(alive), np.int32)
+        for d in range(2 * e + 1):
+            same |= (x[j + d] == y[j]).astype(np.int32) << d
+        new = [reach[0] & same]
+        for i in range(1, e + 1):
+            new.append(reach[i] & same | reach[i - 1] | reach[i - 1] >> 1 | new[i - 1] << 1 & width)
+        reach = new
+    return out
+
+
 def _row(key: str):
     return F.xxhash64(F.col(f"`{key}`").isNull(), F.col(f"`{key}`"), "text")
 
@@ -182,15 +251,50 @@ def line_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, row long, place int, line binary, id long")
 
 
-def postings(docs: DataFrame, places, key: str, classes=CLASSES) -> DataFrame:
-    """token, id, bag, errors at each of ``places`` of every judged line, once a task. id is a
-    64-bit hash of the line; lines that share one are told apart when verified."""
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each number, one byte after the other of all of them."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, width - 1::-1].T).tobytes()
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    own = np.frombuffer(planes, np.uint8).reshape(width, -1)
+    out = np.zeros(own.shape[1], np.uint64)
+    for plane in own:
+        out = out << np.uint64(8) | plane
+    return out
+
+
+def postings(docs: DataFrame, key: str, classes=CLASSES, buckets: int = 1) -> DataFrame:
+    """bucket, side (0: segments, 1: probes), tokens, ids: the postings of every judged
+    line, once a task, packed by ranges of tokens. A row holds, in order of the token, the
+    32 bits of a token that its bucket leaves open and the 40 lowest bits of the line's
+    hash; lines or tokens that agree in these are told apart when verified."""
     src = _source(docs, key)
 
     def run(batches):
         import xxhash
         seen: set[int] = set()
         powers = Powers()
+        held: tuple[list, list] = ([], [])
+
+        def send():
+            for side in (0, 1):
+                if not held[side]:
+                    continue
+                token, of = (np.concatenate(x) for x in zip(*held[side], strict=True))
+                place = (token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                low = token & np.uint64(0xFFFFFFFF)
+                order = np.argsort(place << np.uint64(32) | low)
+                place, low, of = place[order], low[order], of[order]
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
+                for k in range(0, len(cuts) - 1, 64):
+                    some = list(zip(cuts[k:k + 64].tolist(), cuts[k + 1:k + 65].tolist(), strict=False))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([int(place[x]) for x, _ in some], pa.int32()), pa.array([side] * len(some), pa.int8()),
+                         pa.array([_planes(low[x:y], 4) for x, y in some], pa.binary()),
+                         pa.array([_planes(of[x:y], 5) for x, y in some], pa.binary())], names=["bucket", "side", "tokens", "ids"])
+                held[side].clear()
+
         for batch in batches:
             lines, ids = [], []
             for t in batch["text"]:
@@ -205,23 +309,76 @@ def postings(docs: DataFrame, places, key: str, classes=CLASSES) -> DataFrame:
                         lines.append(x)
                         ids.append(d)
             size = np.array([len(x) for x in lines], np.int64)
+            every = np.array(ids, np.uint64)
             for (low, errors), high in zip(classes, [*(c[0] for c in classes[1:]), 1 << 40], strict=True):
                 # A line just beyond the class may match one in it.
                 own = np.flatnonzero((size >= low) & (size < high + errors))
-                if not len(own):
+                for k in range(0, len(own), AT_ONCE):
+                    part = own[k:k + AT_ONCE]
+                    some = [lines[i] for i in part]
+                    for side, places in enumerate((index_places, moved_places)):
+                        at, token = tokens(some, places, errors, powers, (low, high))
+                        held[side].append((token, every[part][at]))
+                    if sum(len(t) for t, _ in held[1]) >= POSTED:
+                        yield from send()
+        yield from send()
+
+    return src.mapInArrow(run, "bucket int, side byte, tokens binary, ids binary")
+
+
+def meeting(packed: DataFrame) -> DataFrame:
+    """token, id, own (a segment of the line, not a probe): the postings of tokens that are
+    a segment of one line and a segment or a probe of another. A task holds the segments of
+    one bucket, and its probes a row at a time."""
+    def run(batches):
+        bucket, tokens_, ids_, met = None, [], [], None
+
+        def table(token, of, own):
+            return pa.RecordBatch.from_arrays([pa.array((np.uint64(bucket) << np.uint64(32) | token).view(np.int64)), pa.array(of.view(np.int64)),
+                                               pa.array(np.full(len(of), own))], names=["token", "id", "own"])
+
+        def ready():
+            """The bucket's segments in order, without repeats; marks those that meet."""
+            nonlocal tokens_, ids_, met
+            if met is None:
+                both = np.unique(np.stack([np.concatenate(tokens_), np.concatenate(ids_)], axis=1), axis=0) if tokens_ else np.empty((0, 2), np.uint64)
+                tokens_, ids_ = both[:, 0], np.ascontiguousarray(both[:, 1])
+                same = tokens_[1:] == tokens_[:-1]
+                met = np.zeros(len(tokens_), bool)
+                met[1:] |= same
+                met[:-1] |= same
+
+        def end():
+            if bucket is not None:
+                ready()
+                yield table(tokens_[met], ids_[met], True)
+
+        for batch in batches:
+            for at, side, t, i in zip(*(batch[c].to_pylist() for c in ("bucket", "side", "tokens", "ids")), strict=True):
+                if at != bucket:
+                    yield from end()
+                    bucket, tokens_, ids_, met = at, [], [], None
+                t, i = _numbers(t, 4), _numbers(i, 5)
+                if side == 0:
+                    tokens_.append(t)
+                    ids_.append(i)
                     continue
-                some = [lines[k] for k in own]
-                at, token = tokens(some, places, errors, powers, (low, high))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(token.view(np.int64)), pa.array(np.array([ids[k] for k in own], np.uint64).view(np.int64)[at]),
-                     pa.array(bags(some)[at]), pa.array(np.full(len(at), errors, np.int8))], names=["token", "id", "bag", "errors"])
+                ready()
+                first, last = np.searchsorted(tokens_, t, "left"), np.searchsorted(tokens_, t, "right")
+                # not those that only meet their own line
+                hit = (last > first) & ~((last == first + 1) & (ids_[np.minimum(first, len(ids_) - 1)] == i if len(ids_) else False))
+                steps = np.zeros(len(met) + 1, np.int64)
+                np.add.at(steps, first[hit], 1)
+                np.add.at(steps, last[hit], -1)
+                met |= np.cumsum(steps)[:-1] > 0
+                yield table(t[hit], i[hit], False)
+        yield from end()
 
-    rows = src.mapInArrow(run, "token long, id long, bag long, errors byte")
-    return rows.repartition("token").dropDuplicates(["token", "id"])
+    return packed.repartition("bucket").sortWithinPartitions("bucket", "side").mapInArrow(run, "token long, id long, own boolean")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """(line, x): the lines at the wanted (row, place)."""
+    """(line, x, bag, n): the lines at the wanted (row, place), their character counts and lengths."""
     by_row = materialize(wanted.groupBy("row").agg(F.collect_list(F.struct("place", "line")).alias("w")), "op6-wanted")
     few = by_row.count() <= BROADCAST_ROWS
     src = _source(docs, key).join(F.broadcast(by_row) if few else by_row, "row").select("text", "w")
@@ -235,40 +392,121 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
                     if r["place"] < len(own):
                         line.append(r["line"])
                         x.append(own[r["place"]])
-            yield pa.RecordBatch.from_arrays([pa.array(line, pa.binary()), pa.array(x, pa.string())], names=["line", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(line, pa.binary()), pa.array(x, pa.string()), pa.array(bags(x) if x else [], pa.int64()),
+                                              pa.array([len(t) for t in x], pa.int64())], names=["line", "x", "bag", "n"])
 
-    return src.mapInArrow(run, "line binary, x string").dropDuplicates(["line"])
+    return src.mapInArrow(run, "line binary, x string, bag long, n long").dropDuplicates(["line"])
 
 
-def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> DataFrame:
-    """(u, v): pairs of different lines within the edit distance."""
-    spread = F.lit(0)
-    for i in range(10):
-        part = F.shiftright(F.col("bag"), 6 * i).bitwiseAND(F.lit(63)) - F.shiftright(F.col("bag2"), 6 * i).bitwiseAND(F.lit(63))
-        spread = spread + F.least(F.abs(part), 64 - F.abs(part))
-    index = postings(docs, index_places, key, classes)
-    probe = postings(docs, probe_places, key, classes).select("token", F.col("id").alias("id2"), F.col("bag").alias("bag2"))
-    pairs = (index.join(probe, "token").where((F.col("id") != F.col("id2")) & (spread <= 2 * F.col("errors")))
-             .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b")).distinct())
-    pairs = materialize(pairs, "op6-pairs")
-    ends = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    named = materialize(nodes.join(ends, "id").select("id", "line", "first"), "op6-named")
-    wanted = named.select(F.col("first.row").alias("row"), F.col("first.place").alias("place"), "line")
-    pairs = (pairs.join(named.select(F.col("id").alias("a"), F.col("line").alias("u")), "a")
-             .join(named.select(F.col("id").alias("b"), F.col("line").alias("v")), "b").select("u", "v"))
-    texts = materialize(_texts(docs, wanted, key), "op6-texts")
-    full = (pairs.join(texts.select(F.col("line").alias("u"), F.col("x").alias("a")), "u")
-            .join(texts.select(F.col("line").alias("v"), F.col("x").alias("b")), "v"))
-
-    def near(a: str, b: str) -> bool:
-        return within(a, b, errors_of(min(len(a), len(b)), classes))
+def _near(pairs: DataFrame, texts: DataFrame, classes) -> DataFrame:
+    """(u, v): the pairs (a, b) of ids whose lines are within the edit distance."""
+    full = (pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("u"), F.col("x").alias("s")), "a")
+            .join(texts.select(F.col("id").alias("b"), F.col("line").alias("v"), F.col("x").alias("t")), "b").select("u", "v", "s", "t"))
 
     def verify(batches):
         for batch in batches:
-            yield batch.filter(pa.array([near(a.as_py(), b.as_py()) for a, b in zip(batch["a"], batch["b"], strict=True)],
-                                        pa.bool_())).select(["u", "v"])
+            a, b = batch["s"].to_pylist(), batch["t"].to_pylist()
+            errors = np.array([errors_of(min(len(x), len(y)), classes) for x, y in zip(a, b, strict=True)], np.int64)
+            yield batch.filter(pa.array(within_many(a, b, errors), pa.bool_())).select(["u", "v"])
+
+    return full.mapInArrow(verify, "u binary, v binary").where("u <> v")
+
+
+def _apart(mixed: DataFrame, texts: DataFrame, classes) -> DataFrame:
+    """(u, v): links between classes, from all pairs of a segment's owner and another member
+    of its list. A long list is cut into parts, and each two of them meet in a task of
+    their own; a task holds two parts, and only links leave it."""
+    tasks = 1 + mixed.count() // LIST_ROWS
+    rows = mixed.join(texts.select("id", "line", "x"), "id").withColumns({
+        "parts": (1 + F.floor(F.col("members") / LONG_LIST)).cast("int"), "cell": F.pmod(F.xxhash64("id"), 1 + F.floor(F.col("members") / LONG_LIST)).cast("int")})
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cols = ["line", "root", "bag", "x"]
+    sides = (rows.where("own").select("token", F.col("cell").alias("i"), other.alias("j"), F.lit(True).alias("own"), *cols)
+             .unionAll(rows.select("token", other.alias("i"), F.col("cell").alias("j"), F.lit(False).alias("own"), *cols)))
+    dealt = sides.repartition(tasks, "token", "i", "j").sortWithinPartitions("token", "i", "j")
 
-    return full.select("u", "v", "a", "b").mapInArrow(verify, "u binary, v binary")
+    def run(batches):
+        waiting: list[tuple] = []  # pairs: line, line, text, text
+        group, members = None, ([], [])
+
+        def pairs():
+            if not members[0] or not members[1]:
+                return
+            (u, ru, bu, xu), (v, rv, bv, xv) = (list(zip(*m, strict=True)) for m in members)
+            nu, nv = (np.array([len(t) for t in x]) for x in (xu, xv))
+            least = np.minimum(nu[:, None], nv[None, :])
+            most = np.zeros(least.shape, np.int64)
+            for low, e in classes:
+                most[least >= low] = e
+            name = {r: k for k, r in enumerate({*ru, *rv})}
+            ok = np.array([name[r] for r in ru])[:, None] != np.array([name[r] for r in rv])[None, :]
+            ok &= np.abs(nu[:, None] - nv[None, :]) <= most
+            bu, bv = (np.array(x, np.int64)[:, None] >> 6 * np.arange(10) & 63 for x in (bu, bv))
+            at, to = np.nonzero(ok)
+            gap = np.abs(bu[at] - bv[to])
+            near = np.minimum(gap, 64 - gap).sum(axis=1) <= 2 * most[at, to]
+            at, to = at[near], to[near]
+            waiting.extend(zip((u[k] for k in at), (v[k] for k in to), (xu[k] for k in at), (xv[k] for k in to), most[at, to].tolist(), strict=True))
+
+        def links():
+            u, v, a, b, e = map(list, zip(*waiting, strict=True))
+            ok = within_many(a, b, np.array(e))
+            waiting.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, k in zip(u, ok, strict=True) if k], pa.binary()),
+                                              pa.array([x for x, k in zip(v, ok, strict=True) if k], pa.binary())], names=["u", "v"])
+
+        for batch in batches:
+            for *at, own, line, root, bag, x in zip(*(batch[c].to_pylist() for c in ("token", "i", "j", "own", *cols)), strict=True):
+                if at != group:
+                    pairs()
+                    group, members = at, ([], [])
+                    if len(waiting) > PAIRS_HELD:
+                        yield from links()
+                members[not own].append((line, root, bag, x))
+        pairs()
+        if waiting:
+            yield from links()
+
+    return dealt.mapInArrow(run, "u binary, v binary").distinct()
+
+
+def _best(labelled: DataFrame) -> DataFrame:
+    """(a, b): each line b and, of the segment owners of another class that stand first or
+    last in its lists, the one it meets most often."""
+    ends = labelled.where("own").groupBy("token").agg(F.min(F.struct("root", "id")).alias("low"), F.max(F.struct("root", "id")).alias("high"))
+    met = labelled.join(ends, "token").select(F.col("id").alias("b"), "root", F.when(F.col("root") != F.col("low.root"), F.col("low")).otherwise(F.col("high")).alias("a"))
+    met = met.where("root <> a.root").groupBy("b", F.col("a.id").alias("a")).agg(F.count("*").alias("n"))
+    return met.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select("m.a", "b")
+
+
+def _mixed(posted: DataFrame, texts: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The postings with their lines' classes, counts and lengths, of lists with several classes."""
+    own = texts.select("id", "line", "bag", "n")
+    own = own.withColumn("root", F.col("line")) if roots is None else own.join(
+        roots.select(F.col("u").alias("line"), F.col("v").alias("root")), "line", "left").withColumn("root", F.coalesce("root", "line"))
+    labelled = posted.join(own.select("id", "root", "bag", "n"), "id")
+    several = (labelled.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("members"))
+               .where("a <> b").select("token", "members"))
+    return materialize(labelled.join(several, "token"), "op6-mixed")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> DataFrame:
+    """(u, v): links that join all lines within the edit distance into their classes."""
+    buckets = 1 + nodes.count() * PROBES // BUCKET_POSTINGS
+    posted = materialize(meeting(postings(docs, key, classes, buckets)).distinct(), "op6-posted")
+    short = F.col("id").bitwiseAND(F.lit((1 << 40) - 1))
+    named = materialize(nodes.select(short.alias("id"), "line", "first").join(posted.select("id").distinct(), "id"), "op6-named")
+    wanted = named.select(F.col("first.row").alias("row"), F.col("first.place").alias("place"), "line")
+    texts = materialize(_texts(docs, wanted, key).join(named.select("id", "line"), "line"), "op6-texts")
+
+    # Twice each line and one other of its lists; then whoever is in a list with another class.
+    links = roots = None
+    for _ in range(2):
+        new = materialize(_near(_best(_mixed(posted, texts, roots)), texts, classes), "op6-links")
+        links = new if links is None else links.unionAll(new)
+        roots = components(links, "op6-roots")
+    mixed = _mixed(posted, texts, roots)
+    return links.unionAll(_apart(mixed, texts, classes))
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", classes=CLASSES) -> DataFrame:
