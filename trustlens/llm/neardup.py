@@ -18,9 +18,11 @@ leave. The others meet one node once more, and what is then still apart meets
 pairwise under that bound, made tighter by what both share with the same pivot. Links inside a component need no proof. A pair of similarity 0.75 agrees in fewer than 24 of
 48 places with a probability of about 2e-5.
 
-Null or empty text: empty set, linked with nothing. Repeated rows share a node.
-Rows with a null key are linked too, but never named a component's document. Empty
-tables give empty results; extra columns are ignored (``dedup`` keeps them).
+Null or empty text: empty set, linked with nothing. Rows are told apart by a hash of key
+and text, so null and repeated keys are rows of their own; repeated rows share a node. A
+component is named by its least key, null only if all its keys are; ``dedup`` keeps the
+row with that key (and the least hash; copies of that row stay with it). Empty tables
+give empty results; extra columns are ignored (``dedup`` keeps them).
 """
 
 from __future__ import annotations
@@ -83,10 +85,14 @@ def _factors(n: int) -> np.ndarray:
     return np.random.default_rng(20240229).integers(1, 2**63, n, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _row(key: str):
+    return F.xxhash64(F.col(f"`{key}`").isNull(), F.col(f"`{key}`"), "text")
+
+
 def sign(docs: DataFrame, key: str = "doc_id", coordinates: int = COORDINATES, words: int = WORDS) -> DataFrame:
-    """key, n_shingles, node (128-bit digest of the set, null if empty), sig."""
+    """key, row, n_shingles, node (128-bit digest of the set, null if empty), sig."""
     small_batches(docs.sparkSession)
-    src = docs.select(F.col(f"`{key}`").alias(key), F.col("text").cast("binary").alias("text"))
+    src = docs.select(F.col(f"`{key}`").alias(key), _row(key).alias("row"), F.col("text").cast("binary").alias("text"))
 
     def run(batches):
         import xxhash
@@ -94,19 +100,19 @@ def sign(docs: DataFrame, key: str = "doc_id", coordinates: int = COORDINATES, w
         for batch in batches:
             sets = [shingles(t.as_py(), hashes, words) for t in batch["text"]]
             yield pa.RecordBatch.from_arrays(
-                [batch[key], pa.array([len(s) for s in sets], pa.int64()),
+                [batch[key], batch["row"], pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                  pa.array([signature(s, factors) if len(s) else None for s in sets], pa.list_(pa.int32()))],
-                names=[key, "n_shingles", "node", "sig"])
+                names=[key, "row", "n_shingles", "node", "sig"])
 
-    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, n_shingles long, node binary, sig array<int>")
+    return src.mapInArrow(run, f"`{key}` {src.schema[key].dataType.simpleString()}, row long, n_shingles long, node binary, sig array<int>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, key: str, words: int) -> DataFrame:
-    """(node, set) of the wanted (key, node) rows, from the whole texts."""
+    """(node, set) of the wanted (row, node) rows, from the whole texts."""
     few = wanted.count() <= BROADCAST_ROWS
-    src = docs.select(F.col(f"`{key}`").alias(key), F.col("text").cast("binary").alias("text"))
-    src = src.join(F.broadcast(wanted) if few else wanted, key)
+    src = docs.select(_row(key).alias("row"), F.col("text").cast("binary").alias("text"))
+    src = src.join(F.broadcast(wanted) if few else wanted, "row")
 
     def run(batches):
         import xxhash
@@ -140,7 +146,7 @@ def _proven(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, words: int, name: str) -> DataFrame:
-    ids = wanted.distinct().join(nodes.select("node", "doc"), "node").select(F.col("doc").alias(key), "node")
+    ids = wanted.distinct().join(nodes.select("node", "first"), "node").select(F.col("first.row").alias("row"), "node")
     return materialize(sets_of(docs, materialize(ids, f"{name}-wanted"), key, words), f"{name}-sets")
 
 
@@ -203,12 +209,13 @@ def _prefixes(nodes: DataFrame, matches: int) -> DataFrame:
               .select("o.token", "node", "live")
 
 
-def link(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int = PERCENT,
-         coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
-    """key, n_shingles, component_id, kept of every row."""
+def _linked(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int = PERCENT,
+            coordinates: int = COORDINATES, matches: int = MATCHES) -> DataFrame:
+    """key, row, n_shingles, first (key and row that name the component; null without a set)."""
     signed = materialize(sign(docs, key, coordinates, words), "op4-signed")
+    least = F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("key"), "row"))
     nodes = materialize(signed.where("node IS NOT NULL").groupBy("node")
-                        .agg(F.min(key).alias("doc"), F.first("sig").alias("sig"),
+                        .agg(least.alias("first"), F.first("sig").alias("sig"),
                              F.first("n_shingles").alias("n")), "op4-nodes")
     posted = materialize(_prefixes(nodes, matches), "op4-posted")
 
@@ -245,19 +252,26 @@ def link(docs: DataFrame, key: str = "doc_id", words: int = WORDS, percent: int
     roots = components(roots.unionAll(links), "op4-roots")
 
     rooted = (nodes.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left")
-              .select("node", "doc", F.coalesce("root", "node").alias("root")))
-    named = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    label = rooted.join(named, "root").select("node", F.col("component_id").alias("c"))
-    return (signed.select(key, "n_shingles", "node").join(label, "node", "left")
-            .select(key, "n_shingles", F.coalesce("c", key).alias("component_id"))
+              .select("node", "first", F.coalesce("root", "node").alias("root")))
+    named = rooted.groupBy("root").agg(F.min("first").alias("c"))
+    label = rooted.join(named, "root").select("node", "c")
+    return signed.select(key, "row", "n_shingles", "node").join(label, "node", "left").select(key, "row", "n_shingles", F.col("c").alias("first"))
+
+
+def link(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
+    """key, n_shingles, component_id, kept of every row."""
+    return (_linked(docs, key, **parameters)
+            .select(key, "n_shingles", F.when(F.col("first").isNull(), F.col(key)).otherwise(F.col("first.key")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False))))
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", **parameters) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", broadcast_rows: int = BROADCAST_ROWS, **parameters) -> DataFrame:
     """One document of each component, with its own columns."""
-    gone = materialize(link(docs, key, **parameters).where("NOT kept").select(F.col(key).alias("__gone")).distinct(), "op4-gone")
-    few = gone.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if few else gone, docs[key] == F.col("__gone"), "left_anti")
+    gone = _linked(docs, key, **parameters).where("row <> first.row").select(F.col("row").alias("__gone")).distinct()
+    gone = materialize(gone, "op4-gone")
+    few = gone.count() <= broadcast_rows
+    return (docs.withColumn("__row", _row(key)).join(F.broadcast(gone) if few else gone, F.col("__row") == F.col("__gone"), "left_anti")
+            .drop("__row"))
 
 
 ORACLE = r"""
