@@ -12,8 +12,8 @@ Nearly all probes meet nothing, so postings are small and stay packed until they
 a task sends its tokens sorted, by buckets of the token's range, nine bytes a posting; a
 bucket is joined by looking its probes up among its segments, and only postings that meet
 another line's come out as rows. Their lines are fetched by a hash of their rows; texts
-are not shuffled. Each line is then compared with one other of its lists, twice, and the
-links merged into classes; in lists that still hold several classes every segment owner
+are not shuffled. Each line is then compared with one other of its lists, and the links
+merged into classes; in lists that still hold several classes every segment owner
 meets every member of another class, in parts of bounded size, and what lengths and the
 counts of characters allow is compared. Every link is verified by a banded bit-parallel edit
 distance, a character of many pairs at a time.
@@ -331,46 +331,46 @@ def meeting(packed: DataFrame) -> DataFrame:
     a segment of one line and a segment or a probe of another. A task holds the segments of
     one bucket, and its probes a row at a time."""
     def run(batches):
-        bucket, tokens_, ids_, met = None, [], [], None
+        bucket, held, runs = None, ([], []), None
 
         def table(token, of, own):
             return pa.RecordBatch.from_arrays([pa.array((np.uint64(bucket) << np.uint64(32) | token).view(np.int64)), pa.array(of.view(np.int64)),
                                                pa.array(np.full(len(of), own))], names=["token", "id", "own"])
 
         def ready():
-            """The bucket's segments in order, without repeats; marks those that meet."""
-            nonlocal tokens_, ids_, met
-            if met is None:
-                both = np.unique(np.stack([np.concatenate(tokens_), np.concatenate(ids_)], axis=1), axis=0) if tokens_ else np.empty((0, 2), np.uint64)
-                tokens_, ids_ = both[:, 0], np.ascontiguousarray(both[:, 1])
-                same = tokens_[1:] == tokens_[:-1]
-                met = np.zeros(len(tokens_), bool)
-                met[1:] |= same
-                met[:-1] |= same
+            """The bucket's segments in order of the token: tokens, ids, and of each token its
+            place, least and greatest id, and whether it meets another line."""
+            token, of = (np.concatenate(x) if x else np.empty(0, np.uint64) for x in held)
+            order = np.argsort(token, kind="stable")  # of sorted runs
+            token, of = token[order], of[order]
+            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.empty(0, np.int64)
+            low, high = (f.reduceat(of, first) if len(first) else of for f in (np.minimum, np.maximum))
+            return token, of, first, token[first], low, high, low != high
 
         def end():
             if bucket is not None:
-                ready()
-                yield table(tokens_[met], ids_[met], True)
+                token, of, first, _, _, _, met = runs or ready()
+                some = np.repeat(met, np.diff(np.concatenate([first, [len(token)]])))
+                yield table(token[some], of[some], True)
 
         for batch in batches:
             for at, side, t, i in zip(*(batch[c].to_pylist() for c in ("bucket", "side", "tokens", "ids")), strict=True):
                 if at != bucket:
                     yield from end()
-                    bucket, tokens_, ids_, met = at, [], [], None
+                    bucket, held, runs = at, ([], []), None
                 t, i = _numbers(t, 4), _numbers(i, 5)
                 if side == 0:
-                    tokens_.append(t)
-                    ids_.append(i)
+                    held[0].append(t)
+                    held[1].append(i)
                     continue
-                ready()
-                first, last = np.searchsorted(tokens_, t, "left"), np.searchsorted(tokens_, t, "right")
+                runs = runs or ready()
+                _, _, _, token, low, high, met = runs
+                if not len(token):
+                    continue
+                place = np.minimum(np.searchsorted(token, t), len(token) - 1)
                 # not those that only meet their own line
-                hit = (last > first) & ~((last == first + 1) & (ids_[np.minimum(first, len(ids_) - 1)] == i if len(ids_) else False))
-                steps = np.zeros(len(met) + 1, np.int64)
-                np.add.at(steps, first[hit], 1)
-                np.add.at(steps, last[hit], -1)
-                met |= np.cumsum(steps)[:-1] > 0
+                hit = (token[place] == t) & ~((low[place] == i) & (high[place] == i))
+                met[place[hit]] = True
                 yield table(t[hit], i[hit], False)
         yield from end()
 
@@ -432,6 +432,13 @@ def _apart(mixed: DataFrame, texts: DataFrame, classes) -> DataFrame:
         def pairs():
             if not members[0] or not members[1]:
                 return
+            if len(members[0]) * len(members[1]) <= 64:
+                for u, ru, _, xu in members[0]:
+                    for v, rv, _, xv in members[1]:
+                        e = errors_of(min(len(xu), len(xv)), classes) if ru != rv else 0
+                        if e and abs(len(xu) - len(xv)) <= e:
+                            waiting.append((u, v, xu, xv, e))
+                return
             (u, ru, bu, xu), (v, rv, bv, xv) = (list(zip(*m, strict=True)) for m in members)
             nu, nv = (np.array([len(t) for t in x]) for x in (xu, xv))
             least = np.minimum(nu[:, None], nv[None, :])
@@ -499,13 +506,9 @@ def _links(docs: DataFrame, nodes: DataFrame, key: str, classes=CLASSES) -> Data
     wanted = named.select(F.col("first.row").alias("row"), F.col("first.place").alias("place"), "line")
     texts = materialize(_texts(docs, wanted, key).join(named.select("id", "line"), "line"), "op6-texts")
 
-    # Twice each line and one other of its lists; then whoever is in a list with another class.
-    links = roots = None
-    for _ in range(2):
-        new = materialize(_near(_best(_mixed(posted, texts, roots)), texts, classes), "op6-links")
-        links = new if links is None else links.unionAll(new)
-        roots = components(links, "op6-roots")
-    mixed = _mixed(posted, texts, roots)
+    # Each line and one other of its lists; then whoever is in a list with another class.
+    links = materialize(_near(_best(_mixed(posted, texts, None)), texts, classes), "op6-links")
+    mixed = _mixed(posted, texts, components(links, "op6-roots"))
     return links.unionAll(_apart(mixed, texts, classes))
 
 
