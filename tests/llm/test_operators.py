@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from trustlens.llm import (decontaminate, extract, licenses, linedup, neardup, packing, pii, quality, repeats, urls)
 
@@ -238,6 +239,47 @@ def test_urls(spark):
     assert got[7][3] == "block"  # it links to a blocked host
 
 
+def judged(spark, data):
+    df = spark.createDataFrame(data, "page_id long, url string, html string").withColumns(
+        {c: F.lit(0) for c in ("host", "path", "rule", "ruled", "n", "mass")})
+    return {r.page_id: r.verdict for r in urls.judge_urls(df).collect()}
+
+
+def test_urls_do_not_depend_on_other_seeds(spark):
+    fans = [(i, f"http://f{i}.xyz/", '<a href="//hub.net/">x</a>') for i in range(50)]
+    for seeds in (3, 3000):
+        got = judged(spark, [(100, "http://hub.net/", None),
+                             *[(1000 + i, f"http://s{i}.net/", "") for i in range(seeds - 1)], *fans])
+        assert {got[i] for i in range(50)} == {"block"}, seeds
+
+
+def test_urls_chain_ties_repeats_empty(spark):
+    chain = [(i, f"http://c{i}.xyz/", f'<A HREF=//{"bad.net" if i == 1 else f"c{i - 1}.xyz"}/>') for i in range(1, 31)]
+    got = judged(spark, [(0, "http://bad.net/", None), *chain, *chain, (99, "http://alone.xyz/", "")])
+    assert {got[i] for i in range(31)} == {"block"} and got[99] == "allow"
+    # A host between a trusted and a blocked one gets the same mass of both: allowed.
+    tie = [(1, "http://good.org/fr/", '<a href="//mid.xyz/">'), (2, "http://mid.xyz/", '<a href="//bad.net/">'),
+           (3, "http://bad.net/", "")]
+    assert judged(spark, tie) == {1: "allow", 2: "allow", 3: "block"}
+    assert judged(spark, []) == {}
+
+
+def test_propagation_against_numpy(spark):
+    r = random.Random(3)
+    edges = [("trust", i, j, r.randint(1, 4)) for i in range(40) for j in range(40) if i != j and r.random() < 0.08]
+    seeds = [("trust", i, 1.0) for i in range(0, 40, 9)]
+    got = {x.host: x.mass for x in urls.propagate(spark.createDataFrame(seeds, "kind string, host int, mass double"), spark.createDataFrame(
+        edges, "kind string, src int, dst int, n long")).collect()}
+    w, base = np.zeros((40, 40)), np.zeros(40)
+    for _, i, j, n in edges:
+        w[j, i] = n
+    w /= np.maximum(w.sum(axis=0), 1)
+    for _, i, _ in seeds:
+        base[i] = 1
+    want = np.linalg.solve(np.eye(40) - urls.DAMPING * w, (1 - urls.DAMPING) * base)
+    assert max(abs(want[i] - got.get(i, 0.0)) for i in range(40)) < 1e-6
+
+
 def test_extraction(spark):
     page = "<body><nav>Menu</nav><div class='ad'>Buy</div>{}<p>{}</p><p>Same foot</p></body>"
     data = [(1, "http://h/a/1", page.format("", "One &amp;  text")), (2, "http://h/a/2", page.format("", "Two")),
