@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -296,6 +297,37 @@ def test_extraction_of_copies_side_by_side(spark):
     assert got == {i: "Copied" if 1 < i < 7 else f"Own {i}" for i in range(1, 9)}
 
 
+def test_extraction_empty_repeats_clashes(spark):
+    schema = "page_id long, url string, html string, text string, row long, host string, places int"
+    data = [(i, u, h, "t", 1, "h", 2) for i, u, h in
+            [(1, "http://h/a", "<p>Same</p><p>one</p>"), (1, "http://h/a", "<p>Same</p><p>one</p>"),
+             (2, "http://h/b", "<p>Same</p><p>two</p>"), (None, None, None)]]
+    df = spark.createDataFrame(data, schema)
+    got = sorted(((r.page_id or 0, r.text) for r in extract.extract(df).collect()))
+    assert got == [(0, ""), (1, "one"), (1, "one"), (2, "two")]
+    assert extract.extract(df.where("false")).count() == 0
+
+
+def test_blocks_keep_articles_whole():
+    kept = lambda h: [t for t, _, left in extract.blocks(h) if not left]
+    assert kept("<p>" + "\u0130" * 30 + "</p><script>x</script><p>alpha</p><SCRIPT>y</ScRiPt ><p>beta</p>") == [
+        "\u0130" * 30, "alpha", "beta"]
+    assert kept('<article class="post comment-open"><p>main</p></article>') == ["main"]
+    assert kept('<section id="search">a</section><div class="related-work">b</div><div class="notice-period">c</div>'
+                '<blockquote class="reply">d</blockquote><p><math>1</math><label>e</label></p>') == ["a", "b", "c", "d", "1e"]
+    assert kept('<div class="comment-list">a</div><div class="x ad">b</div><div id=site-header>c</div><p>d</p>') == ["d"]
+    assert kept('<p>a < b <![CDATA[x < y]]> c<br>d<p title="x>y">e<!-- f --><p>g') == ["a < b x < y c d", "e", "g"]
+    assert kept('<p>a<p class="open>b<p>c') == ["a", "b", "c"]  # a quote that never closes
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<a "', "<!", "<a<", '<a ">" ', "<!-- ", "<script>", "<nav><article>", "</a '"])
+def test_blocks_are_linear(unit):
+    start = time.process_time()
+    extract.blocks(unit * (1_000_000 // len(unit)))
+    extract.blocks(unit * (1_000_000 // len(unit)) + ">")
+    assert time.process_time() - start < 10
+
+
 def test_common_subsequence():
     assert extract.shared([1, 2, 3, 4], [2, 9, 4]) == [1, 3]
     assert extract.shared([], [1]) == []
