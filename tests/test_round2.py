@@ -19,8 +19,8 @@ def test_null_labels_are_ranked_and_split(spark):
 
 
 def test_number_texts(spark):
-    df = spark.createDataFrame([(x,) for x in ("5d", "5f", "7", "4.9", " 3 ", None, "x", "1e2")], "a string")
-    assert [r[0] for r in df.select(coerce_number("a").alias("n")).collect()] == [0, 0, 7, 4, 3, 0, 0, 100]
+    df = spark.createDataFrame([(x,) for x in ("5d", "5f", "7", "4.9", " 3 ", None, "x", "1e2", "3000000000", "1e30")], "a string")
+    assert [r[0] for r in df.select(coerce_number("a").alias("n")).collect()] == [0, 0, 7, 4, 3, 0, 0, 100, 3_000_000_000, 0]
 
 
 def test_nb_predictions_keep_the_raw_features(spark):

@@ -71,8 +71,8 @@ reviews_raw AS (
 LABELLER_TYPED = """
 typed AS (
   SELECT r.*,
-    CAST(COALESCE(TRY_CAST(r.stars AS DOUBLE), 0) AS INTEGER) AS stars_i,
-    CAST(COALESCE(TRY_CAST(r.reviewerNumberOfReviews AS DOUBLE), 0) AS INTEGER) AS reviewer_i,
+    CAST(COALESCE(TRY_CAST(r.stars AS DOUBLE), 0) AS BIGINT) AS stars_i,
+    CAST(COALESCE(TRY_CAST(r.reviewerNumberOfReviews AS DOUBLE), 0) AS BIGINT) AS reviewer_i,
     COALESCE(r.isLocalGuide IN ('True', 'true'), false) AS local_b,
     CASE WHEN r.publishedAtDate IS NULL OR r.publishedAtDate = 'garbage' THEN NULL
          ELSE CAST(r.ts_value AS DATE) END AS publish_day,

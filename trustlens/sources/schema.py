@@ -159,11 +159,11 @@ def class_count_check(df: DataFrame, label: str = "label", min_classes: int = 2)
 
 
 def coerce_number(c: Column | str, default: float = 0, as_int: bool = True) -> Column:
-    """B1: parse a number, bad/null -> ``default``; truncated to int if asked."""
+    """B1: parse a number, bad/null -> ``default``; truncated to a long if asked."""
     text = F.trim(col_of(c).cast("string"))
     number = F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
     v = F.coalesce(number, F.lit(float(default)))
-    return F.coalesce(v.try_cast("int"), F.lit(int(default))) if as_int else v
+    return F.coalesce(v.try_cast("long"), F.lit(int(default))) if as_int else v
 
 
 def coerce_bool(c: Column | str, truthy: Iterable[str], lower: bool = False) -> Column:
