@@ -333,11 +333,38 @@ def test_common_subsequence():
     assert extract.shared([], [1]) == []
 
 
+def test_program_covers_every_length_and_makes_most_sequences():
+    r = np.random.default_rng(5)
+    counts = np.bincount(r.integers(1, 300, 3000), minlength=513)[1:]
+    solved = packing.solve(counts, 512)
+    covered = np.zeros(512)
+    for config, amount in solved.x.items():
+        assert sum(l * k for l, k in config) <= 512
+        for l, k in config:
+            covered[l - 1] += k * amount
+    assert (covered >= counts - 1e-6).all()
+    tokens = int((counts * np.arange(1, 513)).sum())
+    assert tokens / 512 - 1e-6 <= solved.bound <= solved.value == pytest.approx(sum(solved.x.values()))
+    assert solved.value <= 1.3 * solved.bound
+    packed, of_program = packing.plan({i + 1: int(n) for i, n in enumerate(counts) if n}, 512)
+    total = sum(m for _, m in packed)
+    assert total == -(-tokens // 512) and of_program >= 0.7 * total
+
+
+@pytest.mark.parametrize("histogram, fewest", [
+    ({}, 0), ({100: 7}, 7), ({1: 250}, 3), ({60: 10**9, 30: 10**6, 40: 3}, 10**9), ({60: 10**6, 40: 10**6, 7: 1}, 10**6 + 1)])
+def test_plan_of_uneven_counts(histogram, fewest):
+    packed, _ = packing.plan(histogram, 100)
+    assert sum(m for _, m in packed) == fewest
+    for l, n in histogram.items():
+        assert sum(config.get(l, 0) * m for config, m in packed) == n
+
+
 def test_plan_holds_every_piece():
     r = np.random.default_rng(2)
     histogram = {int(k): int(v) for k, v in zip(r.integers(1, 100, 40), r.integers(1, 50, 40), strict=True)}
     left = dict(histogram)
-    for config, m in packing.plan(histogram, 100, rounds=50):
+    for config, m in packing.plan(histogram, 100, rounds=50)[0]:
         assert sum(l * k for l, k in config.items()) <= 100
         for l, k in config.items():
             left[l] -= m * k

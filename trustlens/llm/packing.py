@@ -4,11 +4,11 @@
    (document, piece, start, length, checksum) is written.
 2. The length histogram (at most ``capacity`` rows) gives the configuration
    linear program: fewest sequences whose configurations cover every length.
-   Multiplicative weights solve it, each round pricing one configuration by a
-   knapsack dynamic program. The solution is rounded down; what remains is
-   packed from the longest piece on, filling each sequence as full as the
-   remaining lengths allow. This works on counts of lengths only, so its cost
-   does not grow with the number of documents.
+   Multiplicative weights solve it, each round pricing by one knapsack dynamic
+   program the dearest configuration of every length still behind. The solution
+   is rounded; what remains is packed from the longest piece on, filling each
+   sequence as full as the remaining lengths allow. This works on counts of
+   lengths only, so its cost does not grow with the number of documents.
 3. Each piece gets its rank among the pieces of its length (salted groups and
    running offsets: a length that a third of all pieces share is many tasks)
    and the plan maps (length, rank) to (sequence, offset).
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from array import array
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,13 @@ from trustlens.session import materialize
 
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "word_bpe_49k.json"
-PRICING_ROUNDS = 600      # configurations priced by multiplicative weights
-STEP = 2.0                # learning rate of the weights
+PRICING_ROUNDS = 200      # dynamic programs solved by multiplicative weights, at most
+GAP = 0.1                 # the program's value may exceed its lower bound by this share
+STEP = 1.0                # learning rate of the weights
+WIDTH = 0.1               # share of a length that one step covers, at most
+FLOOR = 50.0              # coverage ahead of the least beyond which weights fall no more
+LEVEL = 16                # lengths this many times as frequent price their configurations apart
+KEPT = (1, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.6, 0.5, 0.25, 0)  # shares of the rounded program
 GROUP_ROWS = 100_000      # rows that share a length and a salt, about
 CACHE_WORDS = 700_000     # words whose ids a worker remembers
 
@@ -108,9 +114,9 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
 
 
 # ---- the configuration linear program, on the histogram ----------------------
-def price(value: np.ndarray, capacity: int) -> dict[int, int]:
-    """Knapsack: the lengths (index + 1, with repetition) of greatest total value
-    that fit into ``capacity``."""
+def price(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Knapsack with repetition: for every room up to ``capacity`` the greatest total
+    value of lengths (index + 1) that fit, and the length taken there (0: none)."""
     best, take = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     n = len(value)
     for c in range(1, capacity + 1):
@@ -121,36 +127,68 @@ def price(value: np.ndarray, capacity: int) -> dict[int, int]:
             best[c], take[c] = gain[j], j + 1
         else:
             best[c] = best[c - 1]
-    out: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if l := int(take[c]):
-            out[l] = out.get(l, 0) + 1
-            c -= l
-        else:
-            c -= 1
-    return out
+    return best, take
 
 
-def solve(counts: np.ndarray, capacity: int, rounds: int = PRICING_ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Fractional configurations that cover ``counts`` (index + 1 is the length)."""
-    has = counts > 0
-    need = np.where(has, counts, 1).astype(float)
-    weight, covered = has.astype(float), np.zeros(len(counts))
+def best_with(length: int, take: np.ndarray, capacity: int) -> tuple[tuple[int, int], ...]:
+    """The dearest configuration that holds ``length``, as sorted (length, times)."""
+    out, room = {length: 1}, capacity - length
+    while room > 0:
+        if l := int(take[room]):
+            out[l] = out.get(l, 0) + 1
+            room -= l
+        else:
+            room -= 1
+    return tuple(sorted(out.items()))
+
+
+@dataclass
+class Program:
+    """A fractional solution: ``x`` covers every length at least once, ``value`` is its
+    number of sequences, and no solution of the program has fewer than ``bound``."""
+    x: dict[tuple[tuple[int, int], ...], float]
+    value: float
+    bound: float
+
+
+def solve(counts: np.ndarray, capacity: int, rounds: int = PRICING_ROUNDS, gap: float = GAP) -> Program:
+    """Fractional configurations that cover ``counts`` (index + 1 is the length).
+
+    The weight of a length falls exponentially with its coverage. A round prices by
+    dynamic programs, one for each level of counts (powers of ``LEVEL``), and every
+    length behind the round's target takes its dearest configuration of lengths that
+    are not much rarer, in amounts that cover none of those by more than ``WIDTH`` at
+    once; beyond that the configuration goes on without them. So each round covers all
+    lengths by ``WIDTH`` more, however uneven the counts are. Scaled by the least
+    coverage, the sum covers all; weights over the greatest price bound the optimum
+    from below. Rounds end within ``gap`` of that bound, or after ``rounds``.
+    """
+    lengths = np.flatnonzero(counts) + 1
+    if not len(lengths):
+        return Program({}, 0.0, 0.0)
+    need = np.where(counts > 0, counts, 1).astype(float)
+    start = np.where(counts > 0, np.arange(1, len(counts) + 1) / capacity, 0.0)
+    level = np.floor(np.log(need) / np.log(LEVEL)).astype(int)
+    covered, total, low, bound, done = np.zeros(len(counts)), 0.0, 0.0, 0.0, 0
     x: dict[tuple, float] = {}
-    for _ in range(rounds if has.any() else 0):
-        config = price(weight / need, capacity)
-        if not config:
-            break
-        amount = min(need[l - 1] / k for l, k in config.items())
-        key = tuple(sorted(config.items()))
-        x[key] = x.get(key, 0.0) + amount
-        for l, k in config.items():
-            share = amount * k / need[l - 1]
-            covered[l - 1] += share
-            weight[l - 1] *= math.exp(-STEP * share)
-    # A length covered c times over needs 1 / c of what its configurations give.
-    return [(dict(c), a / max(1.0, max(covered[l - 1] for l, _ in c))) for c, a in x.items()]
+    while low < 1 or done < rounds and total / low > (1 + gap) * bound:
+        value = start * np.exp(-STEP * np.minimum(covered - low, FLOOR))
+        takes = {}
+        for v in sorted(set(level[lengths - 1].tolist()), reverse=True):
+            best, takes[v] = price(np.where(level >= v, value, 0.0), capacity)
+        bound = max(bound, float((value * counts).sum() / best[capacity]))
+        for l in map(int, lengths[np.argsort(covered[lengths - 1], kind="stable")]):
+            config = best_with(l, takes[level[l - 1]], capacity)
+            while (short := low + WIDTH - covered[l - 1]) > 1e-9:
+                times = dict(config)[l]
+                amount = min(short * need[l - 1] / times, *(WIDTH * need[m - 1] / k for m, k in config if m != l), math.inf)
+                x[config] = x.get(config, 0.0) + amount
+                total += amount
+                for m, k in config:
+                    covered[m - 1] += amount * k / need[m - 1]
+                config = tuple((m, k) for m, k in config if m == l or WIDTH * need[m - 1] / k > amount)
+        low, done = float(covered[lengths - 1].min()), done + 1
+    return Program({c: a / low for c, a in x.items()}, total / low, bound)
 
 
 def fill(left: np.ndarray, capacity: int) -> dict[int, int]:
@@ -178,30 +216,54 @@ def fill(left: np.ndarray, capacity: int) -> dict[int, int]:
     return config
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = PRICING_ROUNDS) -> list[tuple[dict[int, int], int]]:
-    """(configuration, number of sequences) that hold exactly the given pieces."""
+def _take(left: np.ndarray, config, most: int) -> int:
+    """How often, up to ``most``, the remaining pieces give a configuration; they are taken."""
+    m = min([most, *(int(left[l - 1]) // k for l, k in config)])
+    for l, k in config:
+        left[l - 1] -= m * k
+    return m
+
+
+def _filled(left: np.ndarray, capacity: int, used: list) -> list[tuple[dict[int, int], int]]:
+    """``used`` as they are, then what they leave from the longest piece on."""
+    left, out = left.copy(), [(dict(c), m) for c, m in used]
+    for c, m in used:
+        _take(left, c, m)
+    while left.any():
+        config = fill(left, capacity)
+        out.append((config, _take(left, config.items(), int(left.max()))))
+    return out
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = PRICING_ROUNDS) -> tuple[list[tuple[dict[int, int], int]], int]:
+    """(configuration, number of sequences) that hold exactly the given pieces, and how
+    many of the sequences come from the program (those of one whole piece aside).
+
+    Amounts are rounded down, those of full configurations to one at least: full ones
+    first, then the greatest, while the pieces last. Of the results that keep the first ``KEPT`` of them and fill the
+    rest, the one with the fewest sequences is taken, and of these the one that keeps most.
+    """
     left = np.zeros(capacity, np.int64)
     for l, n in histogram.items():
         left[l - 1] = n
-    out = []
-    if left[-1]:
-        out.append(({capacity: 1}, int(left[-1])))
-        left[-1] = 0
-
-    def use(config: dict[int, int], most: int) -> int:
-        m = min([most, *(int(left[l - 1]) // k for l, k in config.items())])
-        if m:
-            out.append((config, m))
-            for l, k in config.items():
-                left[l - 1] -= m * k
-        return m
-
-    for config, amount in sorted(solve(left, capacity, rounds), key=lambda c: -sum(l * k for l, k in c[0].items())):
-        if sum(l * k for l, k in config.items()) == capacity:  # partly empty ones are packed anew below
-            use(config, int(amount))
-    while left.any():
-        use(fill(left, capacity), int(left.max()))
-    return out
+    whole = [({capacity: 1}, int(left[-1]))] if left[-1] else []
+    left[-1] = 0
+    least = -(-int((left * np.arange(1, capacity + 1)).sum()) // capacity)
+    rest, used = left.copy(), []
+    solution = [(sum(l * k for l, k in config) == capacity, amount, config)
+                for config, amount in solve(left, capacity, rounds).x.items()]
+    for full, amount, config in sorted(solution, key=lambda c: (not c[0], -c[1], c[2])):
+        if m := _take(rest, config, max(int(full), int(amount))):
+            used.append((config, m))
+    best = None
+    for kept in KEPT:
+        program = used[:int(len(used) * kept)]
+        out = _filled(left, capacity, program)
+        if best is None or sum(m for _, m in out) < sum(m for _, m in best[0]):
+            best = out, sum(m for _, m in program)
+        if sum(m for _, m in best[0]) == least:
+            break
+    return whole + best[0], best[1]
 
 
 def places(configs: list[tuple[dict[int, int], int]]) -> np.ndarray:
@@ -224,7 +286,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
     spark = docs.sparkSession
     cut = materialize(pieces(docs, tokenizer, capacity, key), "op1-pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    sent = spark.sparkContext.broadcast(places(plan(histogram, capacity)))
+    sent = spark.sparkContext.broadcast(places(plan(histogram, capacity)[0]))
     salts = 1 + max(histogram.values(), default=0) // GROUP_ROWS
     salted = cut.withColumn("salt", F.pmod(F.xxhash64(key, "piece", "ids_crc32"), F.lit(salts)))
     sizes = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
