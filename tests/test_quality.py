@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from trustlens.functions.lexicons import LEXICON
-from trustlens.functions.quality import text_quality_columns
+from trustlens.functions.quality import char_entropy, text_quality_columns
 
 TEXTS = [
     "Rasanya lumayan, tempat bersih dan harga murah",
@@ -75,3 +75,12 @@ def test_blank_rows(rows):
     # blank: score 0 by early return, although the low-valid-words flag is set
     for r in rows[7:]:
         assert (r.tq_vowel_ratio, r.tq_gibberish_score, r.tq_entropy, r.tq_low_valid_words) == (0.5, 0.0, 0.0, 1)
+
+
+def test_entropy_of_many_distinct_characters(spark):
+    texts = ["".join(chr(0x4E00 + i % 5000) for i in range(60_000)), "\U0001F600\U0001F600x\u0301\n\n", "$1\\1(.)", "z" * 200_000, "", " \n"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", char_entropy("t").alias("e")).collect()
+    for r in rows:
+        t = texts[r.i]
+        want = -sum(n / len(t) * math.log2(n / len(t)) for n in Counter(t).values()) if t.strip() else 0.0
+        assert r.e == pytest.approx(want, abs=1e-9)

@@ -1,5 +1,6 @@
 """Findings of the first review: raw-score override, blank rule, null labels, number texts."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from trustlens.operators import sampling, scoring
@@ -174,3 +175,20 @@ def test_overridden_rows(spark):
     assert [r[0] for r in scoring.overridden_rows(df).collect()] == [2]
     df = spark.createDataFrame([(1, True), (2, False)], "review_id long, overridden boolean")
     assert [r[0] for r in scoring.overridden_rows(df).collect()] == [1]
+
+
+def test_covariance_in_blocks(spark):
+    import numpy as np
+    from trustlens.operators.svm import covariance
+    r = np.random.default_rng(4)
+    x = r.normal(size=(500, 40)) @ r.normal(size=(40, 40)) + 1e6
+    cols = [f"c.{i}" for i in range(40)]
+    df = spark.createDataFrame(x.tolist(), cols).repartition(5)
+    got = {(r["col_a"], r["col_b"]): r["covariance"] for r in covariance(df, cols).collect()}
+    want = np.cov(x.T)
+    assert len(got) == 40 * 41 // 2
+    assert all(got[cols[i], cols[j]] == pytest.approx(want[i, j], abs=2e-6) for i in range(40) for j in range(i, 40))
+    holes = spark.createDataFrame([(1.0, 2.0, None), (3.0, None, None), (5.0, 9.0, 1.0), (None, 4.0, None)], "a double, b double, c double")
+    got = {(r["col_a"], r["col_b"]): r["covariance"] for r in covariance(holes, ["a", "b", "c"]).collect()}
+    assert got == {("a", "a"): 4.0, ("a", "b"): 14.0, ("a", "c"): None, ("b", "b"): 13.0, ("b", "c"): None, ("c", "c"): None}
+    assert covariance(holes.limit(0), ["a", "b"]).count() == 0

@@ -83,18 +83,15 @@ def has_long_words(c: Column | str, mean_len: Column) -> Column:
 def char_entropy(c: Column | str) -> Column:
     """Shannon entropy (base 2) of the character distribution.
 
-    For every distinct character d its count is ``len(t) - len(replace(t, d, ''))``:
-    a native string scan, so the cost is (distinct characters) x (length) of
-    byte work, with no per-character rows.
+    The characters are sorted, so equal ones form a run, and one pass takes the
+    lengths of the runs: the cost does not depend on the number of distinct
+    characters, and there are no per-character rows.
     """
     t = _text(c)
     n = F.length(t).cast("double")
-    chars = F.array_distinct(F.split(t, ""))
-    terms = F.transform(
-        chars,
-        lambda d: (F.length(t) - F.length(F.replace(t, d, F.lit("")))).cast("double") / n,
-    )
-    ent = F.aggregate(terms, F.lit(0.0), lambda acc, p: acc - p * F.log2(p))
+    ordered = F.array_join(F.sort_array(F.split(t, "")), "")
+    runs = F.regexp_extract_all(ordered, F.lit(r"(?s)(.)\1*+"), 0)
+    ent = F.aggregate(runs, F.lit(0.0), lambda acc, r: acc - F.length(r) / n * F.log2(F.length(r) / n))
     return F.when(is_blank(c) | (F.length(t) == 0), F.lit(0.0)).otherwise(ent)
 
 

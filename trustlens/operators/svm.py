@@ -242,15 +242,43 @@ def project_pca(df: DataFrame, models) -> DataFrame:
 
 
 def covariance(df: DataFrame, cols: list[str], digits: int = 6) -> DataFrame:
-    """Sample covariance for every ordered pair i <= j, long form."""
+    """Sample covariance for every ordered pair i <= j, long form.
+
+    A null leaves its row out of the pairs of its column only; a pair with fewer than two
+    rows is null, an empty table gives no rows. Columns are shifted by their means (one
+    row at the driver), then each batch of rows adds one matrix product; a task returns a
+    row a column, and these add up by column.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
     n = len(cols)
-    v = df.select(F.array(*[F.col(f"`{c}`").cast("double") for c in cols]).alias("v"))
-    # one row per first column keeps the aggregation at n measures instead of n * n
-    firsts = v.select("v", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    row = firsts.withColumn("x", F.col("v")[F.col("i")]).groupBy("i").agg(
-        *[F.covar_samp("x", F.col("v")[j]).alias(f"c{j}") for j in range(n)])
+    x = [F.col(f"`{c}`").cast("double") for c in cols]
+    shift = np.array([m or 0.0 for m in df.agg(*[F.avg(c) for c in x]).first()])
+
+    def run(batches):
+        counts, sums, products = np.zeros((n, n)), np.zeros((n, n)), np.zeros((n, n))
+        rows = 0
+        for batch in batches:
+            cells = batch["v"].flatten()
+            there = cells.is_valid().to_numpy(zero_copy_only=False).reshape(-1, n)
+            m = np.where(there, cells.to_numpy(zero_copy_only=False).reshape(-1, n) - shift, 0.0)
+            there = there.astype(float)
+            counts += there.T @ there
+            sums += m.T @ there
+            products += m.T @ m
+            rows += len(m)
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(n), pa.int32()), pa.array([np.concatenate([
+                    counts[i, i:], sums[i, i:], sums[i:, i], products[i, i:]]) for i in range(n)], pa.list_(pa.float64()))],
+                names=["i", "part"])
+
+    parts = df.select(F.array(*x).alias("v")).mapInArrow(run, "i int, part array<double>")
+    row = parts.groupBy("i").agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("s"))
+    cell = (row.select("i", "s", F.explode(F.sequence(F.lit(0), F.lit(n - 1) - F.col("i"))).alias("at"))
+            .withColumn("size", F.lit(n) - F.col("i")))
+    of = [F.get("s", F.col("at") + k * F.col("size")) for k in range(4)]
+    cov = F.when(of[0] > 1, (of[3] - of[1] * of[2] / of[0]) / (of[0] - 1))
     names = F.array(*[F.lit(c) for c in cols])
-    stack = ", ".join(f"{j}, c{j}" for j in range(n))
-    return (row.selectExpr("i", f"stack({n}, {stack}) AS (j, c)").where("i <= j")
-            .select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"),
-                    F.round("c", digits).alias("covariance")))
+    return cell.select(names[F.col("i")].alias("col_a"), names[F.col("i") + F.col("at")].alias("col_b"),
+                       F.round(cov, digits).alias("covariance"))
