@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 from trustlens.functions.lexicons import LEXICON
-from trustlens.functions.quality import char_entropy, text_quality_columns
+from trustlens.functions.quality import char_entropy, text_quality_columns, with_text_quality
 
 TEXTS = [
     "Rasanya lumayan, tempat bersih dan harga murah",
@@ -84,3 +84,16 @@ def test_entropy_of_many_distinct_characters(spark):
         t = texts[r.i]
         want = -sum(n / len(t) * math.log2(n / len(t)) for n in Counter(t).values()) if t.strip() else 0.0
         assert r.e == pytest.approx(want, abs=1e-9)
+
+
+def test_counts_run_once_and_treat_odd_characters_as_the_expressions_did(spark):
+    texts = ["ini\x1cini ini", "a\x85ini ini", "\u212a\u212a X\u0130b", "\u3000INI\u00a0itu\u2028dan\u205f", "\U0001f600\U0001f600 bb", "x" * 3000, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = with_text_quality(df, "text").orderBy("id")
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    rows = out.collect()
+    assert [round(r.tq_valid_word_ratio, 6) for r in rows] == [0.5, 0.5, 0, 1, 0, 0, 0]
+    assert [round(r.tq_consonant_cluster, 6) for r in rows] == [1, 1, 1.5, 1, 1, 3000, 0]
+    assert [round(r.tq_avg_word_length, 6) for r in rows] == [5, 4, 2.5, 3, 2, 3000, 0]
+    assert [round(r.tq_entropy, 6) for r in rows][4:] == [1.521928, 0, 0]
+    assert rows[2].tq_vowel_ratio == 0  # X, b

@@ -49,8 +49,8 @@ def preprocess_column(c: Column | str, slang: Mapping[str, str] = L.SLANG,
     """C13 as one Column: the preprocessed text (tokens joined by a blank)."""
     stems = L.STEMS_SAMPLE if stems is None else stems
     s = T.cleanse(T.case_fold(c), digit_replacement)
-    s = T.normalize_slang(s, slang)
-    toks = T.tokenize(s)
+    # other digit replacements may leave blanks other than one between two words
+    toks = T.slang_tokens(s, slang) if digit_replacement in ("", " ") else T.tokenize(T.normalize_slang(s, slang))
     toks = T.remove_tokens(toks, stopwords)
     toks = T.map_tokens(toks, stems)
     return F.array_join(toks, " ")
