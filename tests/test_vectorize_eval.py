@@ -68,3 +68,17 @@ def test_confusion_from_rows(spark):
 def test_gini_example(spark):
     df = spark.createDataFrame([(0, 1)] * 60 + [(0, -1)] * 40, "k int, y int")
     assert gini(df, ["k"]).first().gini == pytest.approx(0.48)
+
+
+def test_tokens_are_made_once_for_counting(spark):
+    df = spark.range(4).select(F.col("id").alias("review_id"), F.concat(F.lit("a b "), F.col("id")).alias("text_preprocessed"))
+    plan = V.term_counts(V.with_tokens(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+
+
+def test_term_frequency_of_repeated_null_and_empty_reviews(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a", None]), (1, ["a"]), (None, ["a"]), (2, []), (3, None)], "review_id int, tokens array<string>")
+    got = {(r.review_id, r.term, r.tf_count, r.tf) for r in V.term_frequency(df).collect()}
+    assert got == {(1, "a", 3, 0.75), (1, "a", 3, 3.0), (1, "b", 1, 0.25), (1, "b", 1, 1.0), (1, None, 1, 0.25), (1, None, 1, 1.0)}
+    stats = {r.term: (r.total, r.df) for r in V.term_stats(df).collect()}
+    assert stats == {"a": (4, 2), "b": (1, 1), None: (1, 1)}
