@@ -202,3 +202,12 @@ def test_vote_columns_match_long_votes(spark):
     long = {r.review_id: (r.voted, r.votes) for r in FR.vote(tp).collect()}
     wide = {r.review_id: (r.voted, r.votes) for r in FR.tree_vote_columns(df, m).collect()}
     assert long == wide
+
+
+def test_svm_scoring_builds_the_feature_table_once(spark, monkeypatch):
+    from trustlens import session
+    from trustlens.plans.queries import QUERIES
+    names, real = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name: names.append(name) or real(df, name))
+    QUERIES["svm_scoring"](spark, "/root/testdata/sf0.001")
+    assert names.count("score_features") == 1

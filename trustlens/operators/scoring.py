@@ -111,7 +111,10 @@ def score_reviews_svm(raw: DataFrame, vocab: DataFrame, scaler: DataFrame, cols:
     """K2 + K4 + K6: SVM scoring; overridden / blank rows get
     ``decision_score = override_score`` (+1.0: FAKE is the positive side)."""
     from trustlens.operators.svm import score_svm
-    valid, blank = split_blank(scoring_features(raw), "text_preprocessed")
+    from trustlens.session import ensure_checkpoint_dir, materialize
+    # both halves and the test for blanks read the feature table: built once
+    ensure_checkpoint_dir(raw.sparkSession)
+    valid, blank = split_blank(materialize(scoring_features(raw), "score_features"), "text_preprocessed")
     feats = V.with_tokens(valid)
     feats = V.scale(feats, scaler, cols, suffix="__s")
     feats = V.tfidf_vector(feats, vocab)
