@@ -204,6 +204,18 @@ def test_vote_columns_match_long_votes(spark):
     assert long == wide
 
 
+def test_baselines_fit_their_text_stages_once(spark):
+    from trustlens.operators.forest import train_baselines
+    rows = [(i, "good place to eat" if i % 2 else "bad food and noise", 1 if i % 2 else -1, float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id int, text string, y int, stars double")
+    models = train_baselines(df, "text", ["stars"])
+    assert list(models) == ["LinearSVC", "RandomForest", "MultinomialNB"]
+    for name, m in models.items():
+        assert m.stages[3] is models["LinearSVC"].stages[3], name
+        out = m.transform(df).select("y", "prediction").collect()
+        assert all((r.prediction == 1.0) == (r.y == 1) for r in out), name
+
+
 def test_svm_scoring_builds_the_feature_table_once(spark, monkeypatch):
     from trustlens import session
     from trustlens.plans.queries import QUERIES
