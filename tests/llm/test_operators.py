@@ -297,6 +297,15 @@ def test_extraction_of_copies_side_by_side(spark):
     assert got == {i: "Copied" if 1 < i < 7 else f"Own {i}" for i in range(1, 9)}
 
 
+def test_pages_with_a_marked_article_are_differenced(spark):
+    page = "<div>Same offer</div><article><p>{}</p><p>A quoted passage</p></article><div>{}</div>"
+    data = [(1, "http://a.net/x/1", page.format("One", "own")), (2, "http://a.net/x/2", page.format("Two", "other")),
+            (3, "http://b.net/x/1", page.format("Three", "far"))]
+    got = {r.page_id: (r.text, r.n_shared) for r in extract.extract(
+        spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got == {1: ("One\n\nA quoted passage", 2), 2: ("Two\n\nA quoted passage", 2), 3: ("Three\n\nA quoted passage", 0)}
+
+
 def test_extraction_empty_repeats_clashes(spark):
     schema = "page_id long, url string, html string, text string, row long, host string, places int"
     data = [(i, u, h, "t", 1, "h", 2) for i, u, h in

@@ -7,7 +7,8 @@ exactly the same lines are copies and prove nothing: each distinct list of lines
 counts once, at the first of its paths. Within each host these lists are ordered by
 path; each is paired with the neighbour whose path agrees longest, their lines are
 aligned by longest common subsequence, and shared lines that the markup does not
-place in the article are deleted from all copies alike.
+place in the article are deleted from all copies alike. Every page is differenced;
+``n_shared`` is the number of its lines that the paired page has too.
 
 Differencing alone keeps adverts that change from page to page and deletes
 passages that two articles share, so the markup goes first.
@@ -188,7 +189,7 @@ def shared(a: list[int], b: list[int]) -> list[int]:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """row, host, path, lines (hashes of all blocks), open (no article is marked)."""
+    """row, host, path, lines (hashes of all blocks)."""
     small_batches(pages.sparkSession, 256)
     host, path = split_url(F.col("url"))
     src = pages.select(F.xxhash64("page_id", "url", "html").alias("row"), host.alias("host"), path.alias("path"), "html")
@@ -196,23 +197,18 @@ def _parsed(pages: DataFrame) -> DataFrame:
     def run(batches):
         import xxhash
         for batch in batches:
-            lines, free = [], []
-            for h in batch["html"]:
-                own = blocks(h.as_py())
-                lines.append([xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t, _, _ in own])
-                free.append(not any(inside and not left for _, inside, left in own))
-            yield pa.RecordBatch.from_arrays([batch["row"], batch["host"], batch["path"], pa.array(lines, pa.list_(pa.int64())),
-                                              pa.array(free, pa.bool_())], names=["row", "host", "path", "lines", "open"])
+            lines = [[xxhash.xxh3_64_intdigest(t.encode()) - (1 << 63) for t, _, _ in blocks(h.as_py())] for h in batch["html"]]
+            yield pa.RecordBatch.from_arrays([batch["row"], batch["host"], batch["path"], pa.array(lines, pa.list_(pa.int64()))],
+                                             names=["row", "host", "path", "lines"])
 
-    return src.mapInArrow(run, "row long, host string, path string, lines array<long>, open boolean")
+    return src.mapInArrow(run, "row long, host string, path string, lines array<long>")
 
 
 def deletions(pages: DataFrame) -> DataFrame:
-    """row, places: blocks that a page without a marked article shares with the
-    page of the nearest url on its host."""
+    """row, places: blocks that a page shares with the page of the nearest url on its
+    host. Pages that share none are left out."""
     parsed = materialize(_parsed(pages).withColumn("list", F.xxhash64("lines")), "op10-parsed")
-    ordered = (parsed.groupBy("host", "list").agg(F.min("path").alias("path"), F.first("lines").alias("lines"),
-                                                  F.max("open").alias("open"))
+    ordered = (parsed.groupBy("host", "list").agg(F.min("path").alias("path"), F.first("lines").alias("lines"))
                .repartitionByRange("host", "path", "list").sortWithinPartitions("host", "path", "list")
                .withColumn("at", F.monotonically_increasing_id()))
     ordered = materialize(ordered, "op10-ordered")
@@ -222,7 +218,7 @@ def deletions(pages: DataFrame) -> DataFrame:
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     ranked = (ordered.withColumn("part", part).join(F.broadcast(before), "part")
               .withColumn("rank", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))))
-    asked = ranked.where("open").select("list", "host", "path", "lines", F.explode(F.array(
+    asked = ranked.select("list", "host", "path", "lines", F.explode(F.array(
         F.col("rank") - 1, F.col("rank") + 1)).alias("rank"), F.col("rank").alias("own"))
     near = ranked.select("rank", F.col("host").alias("host2"), F.col("path").alias("path2"), F.col("lines").alias("lines2"))
     agree = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length("path"), F.lit(1))), F.lit(0), lambda a, i: F.when(
@@ -238,12 +234,13 @@ def deletions(pages: DataFrame) -> DataFrame:
                                         pa.list_(pa.int32()))], names=["host", "list", "places"])
 
     gone = best.mapInArrow(run, "host string, list long, places array<int>").where(F.size("places") > 0)
-    return (parsed.where("open").select("row", "host", "list").join(gone, ["host", "list"])
+    return (parsed.select("row", "host", "list").join(gone, ["host", "list"])
             .select("row", "places").dropDuplicates(["row"]))
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars of every row."""
+    """page_id, url, text, n_chars, n_shared of every row. Where a page marks its article,
+    a shared line inside it stays: two articles may quote the same passage."""
     gone = materialize(deletions(pages), "op10-deletions")
     few = gone.count() <= BROADCAST_ROWS
     src = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("row"))
@@ -252,14 +249,15 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = []
+            texts, shares = [], []
             for h, p in zip(batch["html"], batch["places"], strict=True):
                 own, less = blocks(h.as_py()), set(p.as_py() or ())
                 marked = any(inside and not left for _, inside, left in own)
                 texts.append("\n\n".join(t for i, (t, inside, left) in enumerate(own)
                                          if not left and (inside if marked else i not in less)))
+                shares.append(len(less))
             yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()),
-                                              pa.array([len(t) for t in texts], pa.int64())],
-                                             names=["page_id", "url", "text", "n_chars"])
+                                              pa.array([len(t) for t in texts], pa.int64()), pa.array(shares, pa.int64())],
+                                             names=["page_id", "url", "text", "n_chars", "n_shared"])
 
-    return src.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return src.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, n_shared long")
