@@ -20,6 +20,7 @@ packed each. An empty table gives an empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -45,6 +46,8 @@ KEPT = (1, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.6, 0.5, 0.25, 0)  # shares of the
 GROUP_ROWS = 100_000      # rows that share a length and a salt, about
 CACHE_WORDS = 700_000     # words whose ids a worker remembers
 
+# Letters that the tokenizer's normalizer only lower-cases, each for itself, then ASCII symbols.
+WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-/:-@\[-`{-~]*)")
 PIECE_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -53,8 +56,12 @@ class _Ids(dict):
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        # The merge model's spelling of the letters beyond ASCII, by their bytes.
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelling = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
 
     def __missing__(self, word: str) -> bytes:
         got = self._look_up(word)
@@ -65,16 +72,18 @@ class _Ids(dict):
         return got
 
     def _look_up(self, word: str) -> bytes:
-        """ASCII letters go to the merge model as they are, a last full stop or
-        comma is a token of its own; all else takes the whole tokenizer."""
-        if word.isascii() and word:
-            if word.isalpha():
-                low = word.lower()
-                if low != word:
-                    return self[low]
-                return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-            if word[-1] in ".," and word[:-1].isalpha():
-                return self[word[:-1]] + self[word[-1]]
+        """Letters go to the merge model as they are, symbols after them are a token's
+        beginning of their own; all else takes the whole tokenizer."""
+        if m := WORD.fullmatch(word):
+            letters, symbols = m.groups()
+            if symbols:
+                return self[letters] + self[symbols]
+            low = word.lower()
+            if low != word:
+                return self[low]
+            if not word.isascii():
+                word = word.translate(self.spelling)
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
         return self._whole(word)
 
     def _whole(self, text: str) -> bytes:
