@@ -97,3 +97,11 @@ def test_counts_run_once_and_treat_odd_characters_as_the_expressions_did(spark):
     assert [round(r.tq_avg_word_length, 6) for r in rows] == [5, 4, 2.5, 3, 2, 3000, 0]
     assert [round(r.tq_entropy, 6) for r in rows][4:] == [1.521928, 0, 0]
     assert rows[2].tq_vowel_ratio == 0  # X, b
+
+
+def test_repeated_letters_are_counted_with_the_characters(spark):
+    texts = ["aab  11", "bb\u00e9\u00e9", "", "a", "aA", "\U00010428\U00010428\U0001f600\U0001f600", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    out = with_text_quality(df, "text").orderBy("id")
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [round(r.tq_repeated_ratio, 6) for r in out.collect()] == [0.142857, 0.5, 0, 0, 0, 0.25, 0]

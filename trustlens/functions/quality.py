@@ -1,14 +1,14 @@
 """Text-quality measures (D1-D14) as column expressions.
 
 The counts behind the measures come from one Arrow function, which walks the
-characters of a batch as arrays; repeated letters are one regular expression.
-Both run inside the executors' projection: no explode, no shuffle. Costs are
-linear in the text length, whatever characters are used.
+characters of a batch as arrays inside the executors' projection: no explode, no
+shuffle. Costs are linear in the text length, whatever characters are used.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +67,8 @@ def _within(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
 
 def count_texts(texts: list[str], lexicon: frozenset[str], table: np.ndarray) -> list[np.ndarray]:
     """Per text: vowels, consonants, words, characters in words, words of the lexicon in
-    lower case, the sum over words of the longest consonant run, entropy in bits."""
+    lower case, the sum over words of the longest consonant run, entropy in bits, letters
+    that the same letter follows."""
     size = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(size)
     starts = ends - size
@@ -77,6 +78,10 @@ def count_texts(texts: list[str], lexicon: frozenset[str], table: np.ndarray) ->
     used = np.flatnonzero(letters)
     letters[used] = np.arange(len(used))  # the place of each character among those used
     places = letters[codes]
+    letter = np.array([unicodedata.category(chr(ch))[0] == "L" for ch in used], bool)
+    again = np.zeros(len(codes), bool)
+    again[:-1] = (codes[1:] == codes[:-1]) & letter[places[:-1]]
+    again[ends[size > 0] - 1] = False  # the next letter is another text's
     entropy = np.zeros(len(texts))
     for i in np.flatnonzero(size):
         own = places[starts[i]:ends[i]]
@@ -102,16 +107,17 @@ def count_texts(texts: list[str], lexicon: frozenset[str], table: np.ndarray) ->
         cut = str.split
     hits = [sum(w in lexicon for w in cut(t.lower())) for t in texts]
     return [_within(kinds & VOWEL != 0, starts, ends), _within(kinds & CONSONANT != 0, starts, ends), _within(words, starts, ends),
-            _within(solid, starts, ends), np.array(hits, np.int64), longest, entropy]
+            _within(solid, starts, ends), np.array(hits, np.int64), longest, entropy,
+            _within(again, starts, ends)]
 
 
-COUNTS = ("vowels", "consonants", "words", "chars", "hits", "clusters", "entropy")
+COUNTS = ("vowels", "consonants", "words", "chars", "hits", "clusters", "entropy", "repeats")
 
 
 def text_counts(c: Column | str, lexicon=LEXICON) -> Column:
     """``count_texts`` as a struct column; null counts as ''."""
     lex = frozenset(w for w in lexicon if w)
-    types = [pa.int64()] * 6 + [pa.float64()]
+    types = [pa.int64()] * 6 + [pa.float64(), pa.int64()]
 
     def run(texts: pa.Array) -> pa.Array:
         own = [b.decode("utf-8", "replace") for b in texts.cast(pa.binary()).to_pylist()]
@@ -125,7 +131,7 @@ def text_counts(c: Column | str, lexicon=LEXICON) -> Column:
         parts.append(count_texts(chunk, lex, table))
         return pa.StructArray.from_arrays([pa.array(np.concatenate(x), kind) for x, kind in zip(zip(*parts), types, strict=True)], names=list(COUNTS))
 
-    return F.arrow_udf(run, "vowels long, consonants long, words long, chars long, hits long, clusters long, entropy double")(_text(c))
+    return F.arrow_udf(run, "vowels long, consonants long, words long, chars long, hits long, clusters long, entropy double, repeats long")(_text(c))
 
 
 def vowel_ratio(c: Column | str, counts: Column | None = None) -> Column:
@@ -176,13 +182,12 @@ def high_entropy(ent: Column) -> Column:
     return (ent > ENTROPY_MAX).cast("int")
 
 
-def repeated_ratio(c: Column | str) -> Column:
+def repeated_ratio(c: Column | str, counts: Column | None = None) -> Column:
     """Letters equal to the previous character, over all characters."""
-    t = _text(c)
-    n = F.length(t)
-    repeats = n - F.length(F.regexp_replace(t, r"(\p{L})(?=\1)", ""))
-    return (F.when(is_blank(c) | (n <= 1), F.lit(0.0))
-            .otherwise(repeats.cast("double") / n))
+    length = F.length(_text(c))
+    n = text_counts(c) if counts is None else counts
+    return (F.when(is_blank(c) | (length <= 1), F.lit(0.0))
+            .otherwise(n["repeats"].cast("double") / length))
 
 
 def has_repeated(ratio: Column) -> Column:
@@ -220,7 +225,7 @@ def text_quality_columns(c: Column | str, lexicon=LEXICON, prefix: str = "tq_")
     vw = valid_word_ratio(c, lexicon, n)
     aw = avg_word_length(c, n)
     en = char_entropy(c, n)
-    rr = repeated_ratio(c)
+    rr = repeated_ratio(c, n)
     cc = consonant_cluster(c, n)
     f_abn = abnormal_vowel(vr)
     f_low = low_valid_words(vw)
@@ -265,7 +270,7 @@ def with_text_quality(df, c: str, lexicon=LEXICON, prefix: str = "tq_"):
         p + "valid_word_ratio": valid_word_ratio(c, lexicon, n),
         p + "avg_word_length": avg_word_length(c, n),
         p + "entropy": char_entropy(c, n),
-        p + "repeated_ratio": repeated_ratio(c),
+        p + "repeated_ratio": repeated_ratio(c, n),
         p + "consonant_cluster": consonant_cluster(c, n),
     })
     df = df.withColumns({

@@ -20,6 +20,7 @@ WS_RUN = r"[\s\p{Z}]+"
 URL_RE = r"http\S+|www\S+|https\S+"
 MENTION_RE = r"@[\p{L}\p{N}_]+"
 HASHTAG_RE = r"#[\p{L}\p{N}_]+"
+TAG_RE = r"[@#][\p{L}\p{N}_]+"  # mentions and hashtags: neither can begin where the other was cut out
 SYMBOL_RE = r"[^\p{L}\p{N}_\s]"
 SYMBOL_RUN = r"[^\p{L}\p{N}_]++"  # symbols and blanks: \s holds no letter, number or _
 DIGITS_RE = r"\p{Nd}+"
@@ -77,8 +78,7 @@ def cleanse(c: Column | str, digit_replacement: str = "") -> Column:
     Where digits become nothing or a blank they can go first, and one pass then turns
     each run of symbols and blanks (C5, C7) into one blank."""
     s = strip_urls(c)
-    s = strip_mentions(s)
-    s = strip_hashtags(s)
+    s = F.regexp_replace(s, TAG_RE, "")  # C3, C4
     if digit_replacement in ("", " "):
         s = strip_digits(s, digit_replacement)
         return F.trim(F.regexp_replace(s, SYMBOL_RUN, " "))
