@@ -5,7 +5,10 @@ block holds up to ``BLOCK_ROWS`` rows of one set (train or validation) as a matr
 compressed sparse rows where most entries are zero. A step is one pass over the blocks:
 a block product gives the margins, another one ``sum(mask * y * x)``, and a task returns
 one row a set. Nothing is densified, no row is handled on its own, and a lost executor
-reads its blocks again. The weights (one double per feature, bounded by the vocabulary
+reads its blocks again. Most steps need no pass: a row's side of its margin cannot change
+before the weights have moved by its distance from it, so the sums of all rows beyond a
+radius are fixed until then, and the few rows within it come to the driver, which takes
+steps on both until it leaves the radius. The weights (one double per feature, bounded by the vocabulary
 size + 32) stay on the driver; every step plans from the same written table, so lineage
 does not grow with the number of steps.
 """
@@ -25,6 +28,9 @@ PATIENCE = 50
 BLOCK_ROWS = 4096
 BLOCK_ENTRIES = 1 << 22   # stored numbers of a block (32 MB)
 DIRECT_BLOCKS = 256       # blocks whose partial sums the driver adds up itself
+NEAR_NUMBERS, NEAR_SHARE = 1 << 21, 8  # most numbers (rows * features; 16 MB) near their margin at the driver, and the part of all rows
+NEAR_STEPS = 3            # steps of the last size that a radius must allow
+RADII = 2.0 ** (np.arange(-80, 41) / 4)
 
 
 def row_blocks(df: DataFrame, features: str = "features", y: str = "y", part: str | None = None,
@@ -73,6 +79,123 @@ def row_blocks(df: DataFrame, features: str = "features", y: str = "y", part: st
     return src.mapInArrow(run, "part string, n long, width int, y binary, starts binary, places binary, numbers binary")
 
 
+def _margins(r: dict, w: np.ndarray, b: float) -> tuple:
+    """(y, margins, x or None, starts, places, numbers) of a block."""
+    y, numbers = np.frombuffer(r["y"], "<f8"), np.frombuffer(r["numbers"], "<f8")
+    if r["starts"] is None:
+        x = numbers.reshape(r["n"], r["width"])
+        return y, 1 - y * (x @ w + b), x, None, None, numbers
+    starts, places = np.frombuffer(r["starts"], "<i8"), np.frombuffer(r["places"], "<i4")
+    row = np.repeat(np.arange(r["n"]), np.diff(starts))
+    return y, 1 - y * (np.bincount(row, numbers * w[places], r["n"]) + b), None, starts, places, numbers
+
+
+def _pull(r: dict, pull: np.ndarray, x, starts, places, numbers) -> np.ndarray:
+    """The block's rows, each times its ``pull``, added up."""
+    if x is not None:
+        return pull @ x
+    return np.bincount(places, numbers * np.repeat(pull, np.diff(starts)), r["width"])
+
+
+def _block_sums(r: dict, w: np.ndarray, b: float) -> tuple:
+    y, margin, *cells = _margins(r, w, b)
+    pull = np.where(margin > 0, y, 0.0)
+    return r["n"], np.maximum(margin, 0).sum(), pull.sum(), _pull(r, pull, *cells)
+
+
+def _distances(r: dict, margin: np.ndarray, x, starts, numbers) -> np.ndarray:
+    """How far weights and bias must move before each row can reach its margin."""
+    squares = (x * x).sum(axis=1) if x is not None else np.bincount(np.repeat(np.arange(r["n"]), np.diff(starts)), numbers * numbers, r["n"])
+    return np.abs(margin) / np.sqrt(squares + 1)
+
+
+def distance_counts(blocks: DataFrame, w: np.ndarray, b: float) -> DataFrame:
+    """A row a task: the number of rows nearer to their margin than each of ``RADII``."""
+    w = np.asarray(w, float)
+
+    def run(batches):
+        counts = np.zeros(len(RADII), np.int64)
+        for batch in batches:
+            for r in batch.to_pylist():
+                _, margin, x, starts, _, numbers = _margins(r, w, b)
+                far = np.sort(_distances(r, margin, x, starts, numbers))  # NaN last
+                counts += r["n"] - (np.sum(~np.isnan(far)) - np.searchsorted(far[~np.isnan(far)], RADII))
+        yield pa.RecordBatch.from_arrays([pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["counts"])
+
+    return blocks.mapInArrow(run, "counts array<long>")
+
+
+def near_rows(blocks: DataFrame, w: np.ndarray, b: float, radius: float) -> DataFrame:
+    """Of each block the rows nearer to their margin than ``radius``, as a block, and of
+    the others their number (``others``), how many lie inside the margin (``inside``) and
+    these rows' sum(y) and sum(y*x)."""
+    w = np.asarray(w, float)
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                y, margin, x, starts, places, numbers = _margins(r, w, b)
+                near = ~(_distances(r, margin, x, starts, numbers) >= radius)
+                pull = np.where((margin > 0) & ~near, y, 0.0)
+                if x is not None:
+                    cells = (None, None, x[near].tobytes())
+                else:
+                    size = np.diff(starts)
+                    kept = np.repeat(near, size)
+                    cells = (np.concatenate([[0], np.cumsum(size[near])]).astype("<i8").tobytes(), places[kept].tobytes(), numbers[kept].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["part"]]), pa.array([int(near.sum())], pa.int64()), pa.array([r["width"]], pa.int32()), pa.array([y[near].tobytes()], pa.binary()),
+                     *[pa.array([c], pa.binary()) for c in cells], pa.array([int((~near).sum())], pa.int64()), pa.array([int(((margin > 0) & ~near).sum())], pa.int64()),
+                     pa.array([float(pull.sum())]), pa.array([_pull(r, pull, x, starts, places, numbers).tolist()], pa.list_(pa.float64()))],
+                    names=["part", "n", "width", "y", "starts", "places", "numbers", "others", "inside", "sum_my", "sum_myx"])
+
+    return blocks.mapInArrow(run, "part string, n long, width int, y binary, starts binary, places binary, numbers binary, "
+                                  "others long, inside long, sum_my double, sum_myx array<double>")
+
+
+class _Steps:
+    """Sums at given weights: from what is fixed within a radius and the rows near their
+    margin, or by a pass over the blocks, which then looks for a radius."""
+
+    def __init__(self, blocks: DataFrame, width: int, rows: int, direct: bool):
+        self.blocks, self.direct = blocks, direct
+        self.most = min(NEAR_NUMBERS // max(1, width), rows // NEAR_SHARE)
+        self.at, self.radius, self.fixed, self.near = None, 0.0, {}, []
+        self.passes = 0
+
+    def sums(self, w: np.ndarray, b: float, step: float) -> dict:
+        """``step``: how far the weights moved last."""
+        point = np.append(w, b)
+        if not self.radius or not np.linalg.norm(point - self.at) < 0.999 * self.radius:
+            self.radius = 0.0
+            if self.direct:
+                self._look(w, b, step)
+            if not self.radius:
+                self.passes += 1
+                return _step_sums(self.blocks, w, b, self.direct)
+        out = {part: [n, inside - float(np.dot(w, myx)) - b * my, my, myx] for part, (n, inside, my, myx) in self.fixed.items()}
+        for r in self.near:
+            own = out[r["part"]]
+            for i, v in enumerate(_block_sums(r, w, b)):
+                own[i] = own[i] + v
+        return out
+
+    def _look(self, w: np.ndarray, b: float, step: float) -> None:
+        self.passes += 1
+        counts = np.sum([r["counts"] for r in distance_counts(self.blocks, w, b).collect()], axis=0)
+        few = np.flatnonzero(counts <= self.most)
+        if not len(few) or RADII[few[-1]] < NEAR_STEPS * step:
+            return
+        self.at, self.radius, self.fixed, self.near = np.append(w, b), float(RADII[few[-1]]), {}, []
+        self.passes += 1
+        for r in near_rows(self.blocks, w, b, self.radius).collect():
+            own = self.fixed.setdefault(r["part"], [0, 0, 0.0, 0.0])
+            for i, v in enumerate((r["others"], r["inside"], r["sum_my"], np.array(r["sum_myx"]))):
+                own[i] = own[i] + v
+            if r["n"]:
+                self.near.append(r.asDict())
+
+
 def block_sums(blocks: DataFrame, w: np.ndarray, b: float) -> DataFrame:
     """Per task and part: n, sum of hinge losses, sum(mask*y), sum(mask*y*x)."""
     w = np.asarray(w, float)
@@ -81,18 +204,8 @@ def block_sums(blocks: DataFrame, w: np.ndarray, b: float) -> DataFrame:
         sums: dict[str, list] = {}
         for batch in batches:
             for r in batch.to_pylist():
-                y, numbers = np.frombuffer(r["y"], "<f8"), np.frombuffer(r["numbers"], "<f8")
-                if r["starts"] is None:
-                    x = numbers.reshape(r["n"], r["width"])
-                    margin = 1 - y * (x @ w + b)
-                else:
-                    starts, places = np.frombuffer(r["starts"], "<i8"), np.frombuffer(r["places"], "<i4")
-                    row = np.repeat(np.arange(r["n"]), np.diff(starts))
-                    margin = 1 - y * (np.bincount(row, numbers * w[places], r["n"]) + b)
-                pull = np.where(margin > 0, y, 0.0)
-                grad = pull @ x if r["starts"] is None else np.bincount(places, numbers * pull[row], r["width"])
                 own = sums.setdefault(r["part"], [0, 0.0, 0.0, 0.0])
-                for i, v in enumerate((r["n"], np.maximum(margin, 0).sum(), pull.sum(), grad)):
+                for i, v in enumerate(_block_sums(r, w, b)):
                     own[i] = own[i] + v
         for of, (n, hinge, my, myx) in sums.items():
             yield pa.RecordBatch.from_arrays(
@@ -153,28 +266,30 @@ def fit_linear_svm(train: DataFrame, val: DataFrame | None = None, lr: float = L
                    direct_blocks: int = DIRECT_BLOCKS) -> LinearSVMModel:
     """Batch gradient descent with early stopping on the validation loss.
 
-    One pass per step over train and validation together. Up to ``direct_blocks`` blocks
+    A step takes its sums over train and validation together from ``_Steps``: without a
+    pass while no row can have changed sides unseen. Up to ``direct_blocks`` blocks
     the tasks' sums (a row a task and set) come to the driver as they are; beyond, Spark
-    adds them up first.
+    adds them up first, in one pass a step.
     """
     from trustlens.session import materialize
     parts = train.select(features, y).withColumn("_set", F.lit("train"))
     if val is not None:
         parts = parts.unionByName(val.select(features, y).withColumn("_set", F.lit("val")))
     blocks = materialize(row_blocks(parts, features, y, "_set"), "svm-blocks")
-    size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.max("width").alias("width"), F.count_if(F.col("part") == "train").alias("train")).first()
+    size = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.max("width").alias("width"), F.count_if(F.col("part") == "train").alias("train"), F.sum("n").alias("rows")).first()
     if not size["train"]:
         raise ValueError("no training rows")
     direct = size["blocks"] <= direct_blocks
     if direct:  # a handful of tasks a step, however many files were written
         blocks = blocks.coalesce(max(1, train.sparkSession.sparkContext.defaultParallelism))
+    steps, step = _Steps(blocks, size["width"], size["rows"], direct), 0.0
     w, b = np.zeros(size["width"]), 0.0
     best = (np.inf, w.copy(), b)
     bad, history, pending = 0, [], None
-    # One job per step: the train gradient at w and the validation loss at w, which is
+    # One set of sums per step: the train gradient at w and the validation loss at w, which is
     # the check of the previous step's update (measured right after each update).
     for it in range(1, max_iter + 2):
-        sums = _step_sums(blocks, w, b, direct)
+        sums = steps.sums(w, b, step)
         reg = lam * float(np.dot(w, w))
         if pending is not None:
             prev_it, prev_loss = pending
@@ -191,8 +306,10 @@ def fit_linear_svm(train: DataFrame, val: DataFrame | None = None, lr: float = L
         if it > max_iter:
             break
         n, hinge, my, myx = sums["train"]
+        last = np.append(w, b)
         w = w - lr * (2 * lam * w - myx / n)
         b = b - lr * (-my / n)
+        step = float(np.linalg.norm(np.append(w, b) - last))
         pending = (it, float(hinge / n + reg))
     return LinearSVMModel(w, b, history)
 
