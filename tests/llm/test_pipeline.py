@@ -1,8 +1,10 @@
 """The pipeline's stages against plain versions of them, and rows that must not be lost."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -71,6 +73,33 @@ def test_line_dedup_whole(spark, monkeypatch, long_list, bucket):
     assert {x.doc_id: x.removed for x in linedup.report(df).collect()} == brute_lines(data)
 
 
+def test_postings_of_a_task_stay_few_in_memory(monkeypatch):
+    """Over a million postings of one task: all of them come out, a bounded number at a time."""
+    class Source:
+        def mapInArrow(self, run, schema):
+            return run
+
+    r = random.Random(5)
+    texts = ["\n".join(f"{r.getrandbits(480):0120x} {r.choice(WORDS)}" for _ in range(100)) for _ in range(300)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k:k + 100])], names=["text"]) for k in range(0, 300, 100)]
+    monkeypatch.setattr(linedup, "_source", lambda docs, key: Source())
+    run = linedup.postings(None, "doc_id", buckets=10)
+    tracemalloc.start()
+    try:
+        count, ids = [0, 0], set()
+        for out in run(iter(batches)):
+            for side, tokens, of in zip(*(out[c].to_pylist() for c in ("side", "tokens", "ids")), strict=True):
+                assert len(tokens) * 5 == len(of) * 4
+                count[side] += len(tokens) // 4
+                if side == 0:
+                    ids.update(linedup._numbers(of, 5).tolist())
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert count[0] == 5 * 30_000 and len(ids) == 30_000 and count[1] > 1_000_000
+    assert peak < 60, peak
+
+
 def test_near_dedup_loses_no_row_of_its_own(spark):
     r = random.Random(4)
     a, own = prose(r), prose(r)

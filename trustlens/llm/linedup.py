@@ -46,8 +46,8 @@ CLASSES = ((10, 1), (30, 2), (100, 4))
 WORD = re.compile(r"[^\W_]")
 BROADCAST_ROWS = 500_000  # most ids sent to every executor; beyond, a shuffle join
 SEEN_LINES = 200_000      # lines a task remembers to post them once
-AT_ONCE = 20_000          # lines whose tokens a task computes together
-POSTED = 4_000_000        # probes a task holds before it sends them on
+AT_CHARS = 200_000        # characters of the lines whose tokens a task computes together, about
+POSTED = 500_000          # probes a task holds before it sends them on, about
 LONG_LIST, LIST_ROWS = 256, 2_000  # members of a list's part, and postings of a task, about
 PAIRS_HELD, PAIR_CHARS = 50_000, 4_000_000  # pairs a task gathers, and characters it compares at once
 PROBES, BUCKET_POSTINGS = 54, 1_000_000  # most postings of a line, and of a bucket about
@@ -256,7 +256,7 @@ def _planes(x: np.ndarray, width: int) -> bytes:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, width - 1::-1].T).tobytes()
 
 
-def _numbers(planes: bytes, width: int) -> np.ndarray:
+def _numbers(planes, width: int) -> np.ndarray:
     own = np.frombuffer(planes, np.uint8).reshape(width, -1)
     out = np.zeros(own.shape[1], np.uint64)
     for plane in own:
@@ -281,11 +281,11 @@ def postings(docs: DataFrame, key: str, classes=CLASSES, buckets: int = 1) -> Da
             for side in (0, 1):
                 if not held[side]:
                     continue
-                token, of = (np.concatenate(x) for x in zip(*held[side], strict=True))
-                place = (token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                low = token & np.uint64(0xFFFFFFFF)
-                order = np.argsort(place << np.uint64(32) | low)
-                place, low, of = place[order], low[order], of[order]
+                low, of = (np.concatenate(x) for x in zip(*held[side], strict=True))
+                held[side].clear()
+                order = np.argsort(low)
+                low, of = low[order], of[order]
+                place = (low >> np.uint64(32)).astype(np.int32)
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1, [len(place)]])
                 for k in range(0, len(cuts) - 1, 64):
                     some = list(zip(cuts[k:k + 64].tolist(), cuts[k + 1:k + 65].tolist(), strict=False))
@@ -293,7 +293,6 @@ def postings(docs: DataFrame, key: str, classes=CLASSES, buckets: int = 1) -> Da
                         [pa.array([int(place[x]) for x, _ in some], pa.int32()), pa.array([side] * len(some), pa.int8()),
                          pa.array([_planes(low[x:y], 4) for x, y in some], pa.binary()),
                          pa.array([_planes(of[x:y], 5) for x, y in some], pa.binary())], names=["bucket", "side", "tokens", "ids"])
-                held[side].clear()
 
         for batch in batches:
             lines, ids = [], []
@@ -313,12 +312,14 @@ def postings(docs: DataFrame, key: str, classes=CLASSES, buckets: int = 1) -> Da
             for (low, errors), high in zip(classes, [*(c[0] for c in classes[1:]), 1 << 40], strict=True):
                 # A line just beyond the class may match one in it.
                 own = np.flatnonzero((size >= low) & (size < high + errors))
-                for k in range(0, len(own), AT_ONCE):
-                    part = own[k:k + AT_ONCE]
+                chars = np.cumsum(size[own]) // AT_CHARS
+                for part in np.split(own, np.flatnonzero(np.diff(chars)) + 1) if len(own) else []:
                     some = [lines[i] for i in part]
                     for side, places in enumerate((index_places, moved_places)):
                         at, token = tokens(some, places, errors, powers, (low, high))
-                        held[side].append((token, every[part][at]))
+                        # bucket, and the bits that it leaves open
+                        place = (token >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                        held[side].append((place << np.uint64(32) | token & np.uint64(0xFFFFFFFF), every[part][at]))
                     if sum(len(t) for t, _ in held[1]) >= POSTED:
                         yield from send()
         yield from send()
@@ -354,11 +355,12 @@ def meeting(packed: DataFrame) -> DataFrame:
                 yield table(token[some], of[some], True)
 
         for batch in batches:
-            for at, side, t, i in zip(*(batch[c].to_pylist() for c in ("bucket", "side", "tokens", "ids")), strict=True):
+            for at, side, t, i in zip(*(batch[c] for c in ("bucket", "side", "tokens", "ids")), strict=True):
+                at, side = at.as_py(), side.as_py()
                 if at != bucket:
                     yield from end()
                     bucket, held, runs = at, ([], []), None
-                t, i = _numbers(t, 4), _numbers(i, 5)
+                t, i = _numbers(t.as_buffer(), 4), _numbers(i.as_buffer(), 5)
                 if side == 0:
                     held[0].append(t)
                     held[1].append(i)
